@@ -2,20 +2,39 @@
 
 from pyspark.sql.types import StructType
 
+
+def _schema(**fields: str) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 # The wire contract of a transaction message.
-TRANSACTION = StructType.fromDDL(
-    "transaction_id string, user_id int, amount double, currency string, "
-    "merchant string, timestamp string, location string, is_fraud int"
+TRANSACTION = _schema(
+    transaction_id="string",
+    user_id="integer",
+    amount="double",
+    currency="string",
+    merchant="string",
+    timestamp="string",
+    location="string",
+    is_fraud="integer",
 )
 PAYLOAD = TRANSACTION.fieldNames()
 
 # Row layout of Spark's Kafka source.
-KAFKA = StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+KAFKA = _schema(
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
+    timestampType="integer",
 )
 
-BRONZE = StructType.fromDDL("raw_json string, kafka_ts timestamp, ingest_ts timestamp")
+BRONZE = _schema(raw_json="string", kafka_ts="timestamp", ingest_ts="timestamp")
 
 # Column order of the feature table.
 FEATURES = [
