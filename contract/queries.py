@@ -416,9 +416,8 @@ def _odd_messages(spark, sf_dir) -> DataFrame:
 
 @query
 def check_types(spark, sf_dir):
-    rows = _odd_messages(spark, sf_dir)
-    parsed = rows.withColumn("document", F.try_parse_json("raw_json"))
-    return _passed(parsed, checks.type_faults(F.col("document")))
+    rows = checks.with_json_types(_odd_messages(spark, sf_dir))
+    return _passed(rows, checks.type_faults())
 
 
 @query

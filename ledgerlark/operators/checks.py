@@ -23,6 +23,8 @@ RANGES = {"user_id": (1000, 9999), "amount": (0.01, 10000), "is_fraud": (0, 1)}
 # Whole-text patterns. `$` would also accept a trailing newline.
 PATTERNS = {"currency": r"\A[A-Z]{3}\z", "location": r"\A[A-Z]{2}\z"}
 
+_DOCUMENT = "_document"
+
 
 def _listed(faults: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in faults]))
@@ -70,78 +72,99 @@ def faults_of_rows(df: DataFrame) -> Column:
     return _listed(required_faults(df.columns) + _value_faults(values))
 
 
-def _field(document: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(document, f"$.{name}", kind)
-
-
-def json_type(document: Column, name: str) -> Column:
-    """``string``, ``integer``, ``number``, ``boolean``, ``null``, ``array`` or ``object``;
-    NULL where the field is absent. A number without a fraction is an integer."""
-    found = F.schema_of_variant(_field(document, name))
-    is_number = found.isin("DOUBLE", "FLOAT") | found.startswith("DECIMAL")
-    number = _field(document, name, "double")
-    return (
-        F.when(found.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-        .when(is_number, F.when(number == F.floor(number), "integer").otherwise("number"))
-        .when(found == "STRING", "string")
-        .when(found == "BOOLEAN", "boolean")
-        .when(found == "VOID", "null")
-        .when(found.startswith("ARRAY"), "array")
-        .when(found.startswith("OBJECT"), "object")
-    )
-
+def _field(name: str, kind: str) -> Column:
+    return F.try_variant_get(F.col(_DOCUMENT), f"$.{name}", kind)
 
-def _type_is(found: Column, wanted: str) -> Column:
-    if wanted == "number":
-        return found.isin("number", "integer")
-    return found == wanted
 
+def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
+    """Adds the parsed document and, as ``_kind_<field>``, the JSON type of every field:
+    ``string``, ``integer``, ``number``, ``boolean``, ``null``, ``array`` or ``object``, NULL where
+    the field is absent. A number without a fraction is an integer.
 
-def type_faults(document: Column) -> list[tuple[str, Column]]:
-    """A JSON null in a typed field is a type fault, an absent optional field is not."""
-    return [
-        (f"{name}: type", ~_type_is(json_type(document, name), kind)) for name, kind, _ in FIELDS
-    ]
-
-
-def faults_of_json(document: Column) -> Column:
-    """Names of the violated constraints of a raw JSON document (a variant)."""
-    is_object = F.schema_of_variant(document).startswith("OBJECT")
+    Each step is a projection of its own, so that the next one reads columns instead of parsing
+    again.
+    """
+    names = [name for name, _, _ in FIELDS]
+    parsed = messages.withColumn(_DOCUMENT, F.try_parse_json(raw))
+    found = parsed.withColumns(
+        {f"_found_{n}": F.schema_of_variant(_field(n, "variant")) for n in names}
+    )
+    kinds = {}
+    for n in names:
+        seen = F.col(f"_found_{n}")
+        number = _field(n, "double")
+        kinds[f"_kind_{n}"] = (
+            F.when(seen == "STRING", "string")
+            .when(seen.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
+            .when(
+                seen.isin("DOUBLE", "FLOAT") | seen.startswith("DECIMAL"),
+                F.when(number == F.floor(number), "integer").otherwise("number"),
+            )
+            .when(seen == "BOOLEAN", "boolean")
+            .when(seen == "VOID", "null")
+            .when(seen.startswith("ARRAY"), "array")
+            .when(seen.startswith("OBJECT"), "object")
+        )
+    return found.withColumns(kinds).drop(*[f"_found_{n}" for n in names])
+
+
+def _has_kind(name: str, wanted: str) -> Column:
+    kind = F.col(f"_kind_{name}")
+    return kind.isin("number", "integer") if wanted == "number" else kind == wanted
+
+
+def type_faults() -> list[tuple[str, Column]]:
+    """On a frame ``with_json_types``. A JSON null in a typed field is a type fault, an absent
+    optional field is not."""
+    return [(f"{name}: type", ~_has_kind(name, kind)) for name, kind, _ in FIELDS]
+
+
+def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
+    """Adds ``errors``: names of the violated constraints of a raw JSON message."""
+    typed = with_json_types(messages, raw)
+    # Value constraints apply only to a value of the right type.
+    values = {
+        name: F.when(
+            _has_kind(name, kind), _field(name, "string" if kind == "string" else "double")
+        )
+        for name, kind, _ in FIELDS
+    }
+    facts = F.struct(
+        F.col(_DOCUMENT),
+        *[F.col(f"_kind_{name}") for name in values],
+        *[v.alias(f"_value_{name}") for name, v in values.items()],
+    )
+    # A generated row keeps filters on the errors above the parsing: pushed below, a filter would
+    # repeat it for every place that an error mentions.
+    valued = typed.select(*messages.columns, F.inline(F.array(facts)))
     missing = [
-        (f"{name}: required", json_type(document, name).isNull())
+        (f"{name}: required", F.col(f"_kind_{name}").isNull())
         for name, _, required in FIELDS
         if required
     ]
-    values = {}
-    for name, kind, _ in FIELDS:
-        # Value constraints apply only to a value of the right type.
-        typed = _field(document, name, "string" if kind == "string" else "double")
-        values[name] = F.when(_type_is(json_type(document, name), kind), typed)
-    inner = _listed(missing + type_faults(document) + _value_faults(values))
-    return (
-        F.when(document.isNull(), F.array(F.lit("not JSON")))
+    read = {name: F.col(f"_value_{name}") for name in values}
+    is_object = F.schema_of_variant(_DOCUMENT).startswith("OBJECT")
+    errors = (
+        F.when(F.col(_DOCUMENT).isNull(), F.array(F.lit("not JSON")))
         .when(~is_object, F.array(F.lit("not an object")))
-        .otherwise(inner)
+        .otherwise(_listed(missing + type_faults() + _value_faults(read)))
     )
+    return valued.select(*messages.columns, errors.alias("errors"))
 
 
-def _split(df: DataFrame, faults: Column) -> tuple[DataFrame, DataFrame]:
-    checked = df.withColumn("errors", faults)
+def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     valid = checked.where(F.size("errors") == 0).drop("errors")
     return valid, checked.where(F.size("errors") > 0)
 
 
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Splits typed rows into (valid, quarantine); quarantine adds ``errors``."""
-    return _split(df, faults_of_rows(df))
+    return _split(df.withColumn("errors", faults_of_rows(df)))
 
 
-def validate_json(bronze: DataFrame, raw: str = "raw_json") -> tuple[DataFrame, DataFrame]:
+def validate_json(messages: DataFrame, raw: str = "raw_json") -> tuple[DataFrame, DataFrame]:
     """Splits raw messages into (valid, quarantine) by the full wire contract."""
-    document = "_document"
-    parsed = bronze.withColumn(document, F.try_parse_json(raw))
-    valid, quarantine = _split(parsed, faults_of_json(F.col(document)))
-    return valid.drop(document), quarantine.drop(document)
+    return _split(with_json_faults(messages, raw))
 
 
 def any_fault(faults: list[tuple[str, Column]]) -> Column:

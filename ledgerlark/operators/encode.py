@@ -1,5 +1,6 @@
 """Feature selection and encoding."""
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
@@ -64,20 +65,23 @@ def top_categories(df: DataFrame, columns: list[str], limit: int) -> list[list[s
 
 def category_indexer(
     df: DataFrame, columns: list[str], max_categories: int | None = MAX_CATEGORIES
-) -> StringIndexerModel:
+) -> PipelineModel:
     """Indexes categories by falling frequency into ``<column>_idx``.
 
     Unseen and NULL values share the index after the last. So do the values beyond
     ``max_categories``: names that are nearly unique would otherwise all pass through the driver
     and give a feature each. None takes every value.
     """
-    outputs = [f"{c}_idx" for c in columns]
     if max_categories is None:
+        outputs = [f"{c}_idx" for c in columns]
         unlimited = StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid="keep")
-        return unlimited.fit(df)
-    labels = top_categories(df, columns, max_categories)
-    return StringIndexerModel.from_arrays_of_labels(
-        labels, inputCols=columns, outputCols=outputs, handleInvalid="keep"
+        return PipelineModel([unlimited.fit(df)])
+    # One stage per column: a stage for several would pad shorter label lists with nulls.
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(labels, c, f"{c}_idx", handleInvalid="keep")
+            for c, labels in zip(columns, top_categories(df, columns, max_categories))
+        ]
     )
 
 

@@ -85,10 +85,9 @@ def encoder(train: DataFrame, spec: TrainSpec) -> tuple[list, list[str]]:
 
 def classifier(spec: TrainSpec) -> GBTClassifier:
     trees = spec.trees
-    return GBTClassifier(
+    boosted = GBTClassifier(
         labelCol="label",
         featuresCol="features",
-        weightCol="weight" if trees.weighted else None,
         maxIter=trees.max_iter,
         maxDepth=trees.max_depth,
         stepSize=trees.step_size,
@@ -96,6 +95,7 @@ def classifier(spec: TrainSpec) -> GBTClassifier:
         featureSubsetStrategy=trees.features,
         seed=spec.seed,
     )
+    return boosted.setWeightCol("weight") if trees.weighted else boosted
 
 
 def fit(train: DataFrame, spec: TrainSpec) -> Trained:
