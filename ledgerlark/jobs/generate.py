@@ -2,11 +2,13 @@
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from ledgerlark.jobs.common import add_topic_arguments, topic_from
+from ledgerlark.schema import PAYLOAD
 from ledgerlark.session import job_session
 from ledgerlark.sinks.publish import encode, publish
 from ledgerlark.sources.synthetic import Params, generate
-from ledgerlark.schema import PAYLOAD
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -21,7 +23,8 @@ def main(argv: list[str] | None = None) -> None:
     params = Params(seed=args.seed, high_risk_share=args.high_risk_share)
     rows = generate(spark, args.rows, params=params).select(*PAYLOAD)
     if args.output:
-        encode(rows).write.mode("append").parquet(args.output)
+        stamped = encode(rows).withColumn("timestamp", F.current_timestamp())
+        stamped.write.mode("append").parquet(args.output)
     else:
         publish(rows, topic_from(args))
 

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.once import one, one_row
 from ledgerlark.functions.time import parse_timestamp
 
 # Field, JSON type and whether the field is required.
@@ -134,9 +135,7 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
         *[F.col(f"_kind_{name}") for name in values],
         *[v.alias(f"_value_{name}") for name, v in values.items()],
     )
-    # A generated row keeps filters on the errors above the parsing: pushed below, a filter would
-    # repeat it for every place that an error mentions.
-    valued = typed.select(*messages.columns, F.inline(F.array(facts)))
+    valued = typed.select(*messages.columns, one_row(facts))
     missing = [
         (f"{name}: required", F.col(f"_kind_{name}").isNull())
         for name, _, required in FIELDS
@@ -159,7 +158,7 @@ def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Splits typed rows into (valid, quarantine); quarantine adds ``errors``."""
-    return _split(df.withColumn("errors", faults_of_rows(df)))
+    return _split(df.select("*", one(faults_of_rows(df)).alias("errors")))
 
 
 def validate_json(messages: DataFrame, raw: str = "raw_json") -> tuple[DataFrame, DataFrame]:

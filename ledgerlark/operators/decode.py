@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.once import one_row
 from ledgerlark.functions.time import parse_timestamp
 from ledgerlark.schema import TRANSACTION
 
@@ -21,8 +22,8 @@ def decode(bronze: DataFrame) -> DataFrame:
 
     Text that is not JSON gives NULL in every field, an ill-typed value only in its own.
     """
-    parsed = F.from_json("raw_json", TRANSACTION).alias("t")
-    return bronze.select(parsed, "kafka_ts", "ingest_ts").select("t.*", "kafka_ts", "ingest_ts")
+    fields = one_row(F.from_json("raw_json", TRANSACTION))
+    return bronze.select(fields, "kafka_ts", "ingest_ts")
 
 
 def with_event_time(decoded: DataFrame) -> DataFrame:

@@ -30,8 +30,12 @@ def _cut(df: DataFrame, score: str, ranges: int) -> Bucketizer:
 def ranked_groups(
     df: DataFrame, score: str, label: str = "label", ranges: int | None = None
 ) -> DataFrame:
-    """Per distinct score: ``pos`` and ``neg`` rows with it, ``tp`` and ``fp`` with at least it."""
-    rows = df.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label"))
+    """Per distinct score: ``pos`` and ``neg`` rows with it, ``tp`` and ``fp`` with at least it.
+
+    A missing score ranks last.
+    """
+    ranked_by = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
+    rows = df.select(ranked_by.alias("score"), F.col(label).alias("label"))
     groups = rows.groupBy("score").agg(
         F.sum(F.when(F.col("label") > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("label") > 0.5, 0).otherwise(1)).alias("neg"),
