@@ -24,11 +24,20 @@ RANGES = {"user_id": (1000, 9999), "amount": (0.01, 10000), "is_fraud": (0, 1)}
 # Whole-text patterns. `$` would also accept a trailing newline.
 PATTERNS = {"currency": r"\A[A-Z]{3}\z", "location": r"\A[A-Z]{2}\z"}
 
-_DOCUMENT = "_document"
+# Fields whose values, not only types, are constrained.
+_CONSTRAINED = {*RANGES, *PATTERNS, "timestamp"}
+_DOCUMENT, _MEMBERS = "_document", "_members"
+
+
+def any_fault(faults: list[tuple[str, Column]]) -> Column:
+    """True where at least one of the constraints is violated."""
+    return reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(False)) for _, bad in faults])
 
 
 def _listed(faults: list[tuple[str, Column]]) -> Column:
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in faults]))
+    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in faults]))
+    # Most rows have no fault; only the others build a list.
+    return F.when(any_fault(faults), names).otherwise(F.array().cast("array<string>"))
 
 
 def required_faults(columns: list[str]) -> list[tuple[str, Column]]:
@@ -73,12 +82,12 @@ def faults_of_rows(df: DataFrame) -> Column:
     return _listed(required_faults(df.columns) + _value_faults(values))
 
 
-def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get(F.col(_DOCUMENT), f"$.{name}", kind)
+def _member(name: str, kind: str) -> Column:
+    return F.try_variant_get(F.col(f"{_MEMBERS}.{name}"), "$", kind)
 
 
 def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
-    """Adds the parsed document and, as ``_kind_<field>``, the JSON type of every field:
+    """Adds the parsed document, its members and, as ``_kind_<field>``, the JSON type of every field:
     ``string``, ``integer``, ``number``, ``boolean``, ``null``, ``array`` or ``object``, NULL where
     the field is absent. A number without a fraction is an integer.
 
@@ -87,13 +96,16 @@ def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
     """
     names = [name for name, _, _ in FIELDS]
     parsed = messages.withColumn(_DOCUMENT, F.try_parse_json(raw))
-    found = parsed.withColumns(
-        {f"_found_{n}": F.schema_of_variant(_field(n, "variant")) for n in names}
+    # One walk over the document; NULL if it is not an object.
+    layout = ", ".join(f"{n}: variant" for n in names)
+    members = F.try_variant_get(_DOCUMENT, "$", f"struct<{layout}>")
+    found = parsed.withColumn(_MEMBERS, members).withColumns(
+        {f"_found_{n}": F.schema_of_variant(f"{_MEMBERS}.{n}") for n in names}
     )
     kinds = {}
     for n in names:
         seen = F.col(f"_found_{n}")
-        number = _field(n, "double")
+        number = _member(n, "double")
         kinds[f"_kind_{n}"] = (
             F.when(seen == "STRING", "string")
             .when(seen.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
@@ -126,13 +138,15 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
     # Value constraints apply only to a value of the right type.
     values = {
         name: F.when(
-            _has_kind(name, kind), _field(name, "string" if kind == "string" else "double")
+            _has_kind(name, kind), _member(name, "string" if kind == "string" else "double")
         )
         for name, kind, _ in FIELDS
+        if name in _CONSTRAINED
     }
     facts = F.struct(
-        F.col(_DOCUMENT),
-        *[F.col(f"_kind_{name}") for name in values],
+        F.col(_DOCUMENT).isNotNull().alias("_is_json"),
+        F.col(_MEMBERS).isNotNull().alias("_is_object"),
+        *[F.col(f"_kind_{name}") for name, _, _ in FIELDS],
         *[v.alias(f"_value_{name}") for name, v in values.items()],
     )
     valued = typed.select(*messages.columns, one_row(facts))
@@ -142,10 +156,9 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
         if required
     ]
     read = {name: F.col(f"_value_{name}") for name in values}
-    is_object = F.schema_of_variant(_DOCUMENT).startswith("OBJECT")
     errors = (
-        F.when(F.col(_DOCUMENT).isNull(), F.array(F.lit("not JSON")))
-        .when(~is_object, F.array(F.lit("not an object")))
+        F.when(~F.col("_is_json"), F.array(F.lit("not JSON")))
+        .when(~F.col("_is_object"), F.array(F.lit("not an object")))
         .otherwise(_listed(missing + type_faults() + _value_faults(read)))
     )
     return valued.select(*messages.columns, errors.alias("errors"))
@@ -164,8 +177,3 @@ def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def validate_json(messages: DataFrame, raw: str = "raw_json") -> tuple[DataFrame, DataFrame]:
     """Splits raw messages into (valid, quarantine) by the full wire contract."""
     return _split(with_json_faults(messages, raw))
-
-
-def any_fault(faults: list[tuple[str, Column]]) -> Column:
-    """True where at least one of the constraints is violated."""
-    return reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(False)) for _, bad in faults])
