@@ -118,7 +118,7 @@ def rolling(source: str, spans: list[str]) -> str:
         columns += [
             f"count(*) {frame} as u_txn_cnt_{s}",
             f"cast({total} as double) as u_amt_sum_{s}",
-            f"round(cast({total} as double) / count(amount) {frame}, 6) as u_amt_avg_{s}",
+            f"cast({total} as double) / count(amount) {frame} as u_amt_avg_{s}",
         ]
     return f"select {', '.join(columns)} from {source}"
 

@@ -234,16 +234,10 @@ def feat_epoch_seconds(spark, sf_dir):
 
 
 def _rolled(rows: DataFrame, spans: list[str], **how) -> DataFrame:
-    """Sums of whole cents; averages to six places."""
     chosen = {s: rolling.SPANS[s] for s in spans}
     rows = _with_seconds(_timed(rows)).select("transaction_id", "user_id", "amount", "sec")
     rolled = rolling.add_rolling(rows, second="sec", spans=chosen, **how)
-    found = [row_id()]
-    for s in spans:
-        found.append(F.col(f"u_txn_cnt_{s}"))
-        found.append(F.round(f"u_amt_sum_{s}", 2).alias(f"u_amt_sum_{s}"))
-        found.append(F.round(f"u_amt_avg_{s}", 6).alias(f"u_amt_avg_{s}"))
-    return rolled.select(*found)
+    return rolled.select(row_id(), *[c for c in rolled.columns if c not in rows.columns])
 
 
 @query
@@ -286,10 +280,7 @@ def feat_roll_hot_user(spark, sf_dir):
 
 
 def _feature_edges(features: DataFrame) -> DataFrame:
-    """A feature table with amounts rounded and times without zone."""
-    rounded = {c: F.round(c, 2) for c in features.columns if c.startswith("u_amt_sum")}
-    rounded |= {c: F.round(c, 6) for c in features.columns if c.startswith("u_amt_avg")}
-    return features.withColumns(rounded | {"event_ts": F.col("event_ts").cast("timestamp_ntz")})
+    return features.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
 @query

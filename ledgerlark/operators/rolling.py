@@ -8,13 +8,14 @@ if a later frame can still reach it, to the next one. Three ways compute a cell:
 
 ``sliding``    adds up every frame, so its work grows with rows times frame. For small cells.
 ``by_row``     takes each frame as the difference of two running sums: one pass, whatever the
-               frames hold. The sums are decimals, so subtracting them is exact.
+               frames hold.
 ``by_second``  first sums up per second, on the map side before the shuffle, which leaves at most
                one row per second of the chunk however many rows a cell has. The results are
                joined back to the rows on (user, second); adaptive execution splits a skewed key.
 
 ``auto`` looks at the size of the cells first and sends only those too large for a task the last
-way.
+way. Sums are taken in decimals: subtracting them is exact, and the result depends neither on the
+way nor on the order in which rows arrive.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,17 +46,6 @@ def _spread(df: DataFrame, second: str, reach: int, chunk: int) -> DataFrame:
     return spread.withColumn(_OWN, F.col(_CELL).eqNullSafe(first))
 
 
-def _sliding(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
-    ordered = Window.partitionBy(key, _CELL).orderBy(second)
-    found = {}
-    for name, span in spans.items():
-        frame = ordered.rangeBetween(-span, Window.currentRow)
-        found[f"{prefix}_txn_cnt_{name}"] = F.count(F.lit(1)).over(frame)
-        found[f"{prefix}_amt_sum_{name}"] = F.sum(amount).over(frame)
-        found[f"{prefix}_amt_avg_{name}"] = F.avg(amount).over(frame)
-    return cells.withColumns(found).where(_OWN).select(*columns, *found)
-
-
 def _row_measures(amount: str) -> dict[str, Column]:
     value = f"`{amount}`"
     return {
@@ -81,47 +71,73 @@ def _running_sums(
     return {f"{m}_{f}": agg.over(w) for f, w in frames.items() for m, agg in measures.items()}
 
 
-def _differences(second: str, spans: dict[str, int], prefix: str) -> dict[str, Column]:
-    """The features from the running sums."""
-    found = {}
-    for name in spans:
+def _difference(second: str):
+    """SQL of a measure inside a span, from its running sums."""
+
+    def inside(measure: str, span: str) -> str:
+        # Rows without a time are peers of each other only: nothing leaves their frame.
+        gone = f"if(`{second}` is null, null, `{measure}_{span}`)"
+        return f"(coalesce({measure}_now, 0) - coalesce({gone}, 0))"
 
-        def inside(measure: str, name=name) -> str:
-            # Rows without a time are peers of each other only: nothing leaves their frame.
-            gone = f"if(`{second}` is null, null, `{measure}_{name}`)"
-            return f"(coalesce({measure}_now, 0) - coalesce({gone}, 0))"
+    return inside
 
+
+def _features(spans: dict[str, int], prefix: str, inside) -> dict[str, Column]:
+    """The features from the measures that ``inside(measure, span)`` gives as SQL."""
+    found = {}
+    for name in spans:
+        n, valued, total, above, below = (
+            inside(m, name) for m in ("_n", "_valued", "_total", "_above", "_below")
+        )
         total = f"""case
-            when {inside('_valued')} = 0 then null
-            when {inside('_above')} > 0 and {inside('_below')} > 0 then double('NaN')
-            when {inside('_above')} > 0 then double('Infinity')
-            when {inside('_below')} > 0 then double('-Infinity')
-            else cast({inside('_total')} as double) end"""
-        found[f"{prefix}_txn_cnt_{name}"] = F.expr(inside("_n"))
+            when {valued} = 0 then null
+            when {above} > 0 and {below} > 0 then double('NaN')
+            when {above} > 0 then double('Infinity')
+            when {below} > 0 then double('-Infinity')
+            else cast(coalesce({total}, 0) as double) end"""
+        found[f"{prefix}_txn_cnt_{name}"] = F.expr(n)
         found[f"{prefix}_amt_sum_{name}"] = F.expr(total)
-        found[f"{prefix}_amt_avg_{name}"] = F.expr(f"{total} / nullif({inside('_valued')}, 0)")
+        found[f"{prefix}_amt_avg_{name}"] = F.expr(f"{total} / nullif({valued}, 0)")
     return found
 
 
-def _by_row(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
-    # Copies sent to the next cell carry only what the sums need.
-    carried = [F.when(F.col(_OWN), F.col(c)).alias(c) for c in columns if c not in (key, second, amount)]
-    slim = cells.select(key, second, amount, _CELL, _OWN, *carried)
-    summed = slim.withColumns(_running_sums(_row_measures(amount), key, second, spans))
-    features = _differences(second, spans, prefix)
+def _own_rows(summed: DataFrame, columns: list[str], features: dict[str, Column]) -> DataFrame:
     return summed.where(_OWN).select(*columns, *[c.alias(n) for n, c in features.items()])
 
 
+def _slim(cells: DataFrame, columns: list[str], *needed: str) -> DataFrame:
+    """Copies sent to the next cell carry only what the sums need."""
+    carried = [F.when(F.col(_OWN), F.col(c)).alias(c) for c in columns if c not in needed]
+    return cells.select(*needed, _CELL, _OWN, *carried)
+
+
+def _sliding(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
+    ordered = Window.partitionBy(key, _CELL).orderBy(second)
+    measures = {
+        f"{m}_{name}": agg.over(ordered.rangeBetween(-span, Window.currentRow))
+        for name, span in spans.items()
+        for m, agg in _row_measures(amount).items()
+    }
+    summed = _slim(cells, columns, key, second, amount).withColumns(measures)
+    features = _features(spans, prefix, lambda measure, span: f"`{measure}_{span}`")
+    return _own_rows(summed, columns, features)
+
+
+def _by_row(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
+    sums = _running_sums(_row_measures(amount), key, second, spans)
+    summed = _slim(cells, columns, key, second, amount).withColumns(sums)
+    return _own_rows(summed, columns, _features(spans, prefix, _difference(second)))
+
+
 def _by_second(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
     keys = [key, _CELL, second]
     measures = _row_measures(amount)
     per_second = cells.groupBy(*keys, _OWN).agg(*[m.alias(name) for name, m in measures.items()])
     again = {name: F.sum(name) for name in measures}
-    summed = per_second.withColumns(_running_sums(again, key, second, spans)).where(_OWN)
-    features = _differences(second, spans, prefix)
-    seconds = summed.select(
-        *[F.col(k).alias(f"_at_{k}") for k in keys], *[c.alias(n) for n, c in features.items()]
-    )
+    summed = per_second.withColumns(_running_sums(again, key, second, spans))
+    features = _features(spans, prefix, _difference(second))
+    named = [F.col(k).alias(f"_at_{k}") for k in keys]
+    seconds = _own_rows(summed, named, features)
     rows = cells.where(_OWN)
     same = [rows[k].eqNullSafe(seconds[f"_at_{k}"]) for k in keys]
     return rows.join(seconds, same, "inner").select(*columns, *features)
