@@ -21,26 +21,29 @@ def digest(seed: int, block: int, row_id: Column) -> Column:
 
 
 class Draws:
-    """Named draws over digest columns added once per row by :meth:`attach`."""
+    """Named draws, as columns that :meth:`attach` computes once per row."""
 
     def __init__(self, names: list[str], seed: int):
-        self._slot = {name: divmod(i, LANES) for i, name in enumerate(names)}
+        self._names = names
         self._seed = seed
-
-    @property
-    def columns(self) -> list[str]:
-        blocks = 1 + max(block for block, _ in self._slot.values())
-        return [f"_draw{b}" for b in range(blocks)]
+        self.columns = [f"_draw_{n}" for n in names]
 
     def attach(self, df: DataFrame, row_id: str) -> DataFrame:
-        return df.withColumns(
-            {c: digest(self._seed, b, F.col(row_id)) for b, c in enumerate(self.columns)}
+        blocks = -(-len(self._names) // LANES)
+        digests = [f"_digest{b}" for b in range(blocks)]
+        hashed = df.withColumns(
+            {c: digest(self._seed, b, F.col(row_id)) for b, c in enumerate(digests)}
         )
+        units = {}
+        for i, column in enumerate(self.columns):
+            block, lane = divmod(i, LANES)
+            bits = bits32(F.col(digests[block]), lane)
+            units[column] = bits.cast("double") / F.lit(4294967296.0)
+        return hashed.withColumns(units).drop(*digests)
 
     def unit(self, name: str) -> Column:
         """Uniform in [0, 1)."""
-        block, lane = self._slot[name]
-        return bits32(F.col(self.columns[block]), lane).cast("double") / F.lit(4294967296.0)
+        return F.col(f"_draw_{name}")
 
     def between(self, name: str, low: float, high: float) -> Column:
         """Uniform double in [low, high)."""

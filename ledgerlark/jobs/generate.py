@@ -19,7 +19,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", help="folder for the encoded messages; default: the topic")
     add_topic_arguments(parser)
     args = parser.parse_args(argv)
-    spark = job_session("generate")
+    # A row takes many expressions. As one generated method they exceed the 8000 bytes up to
+    # which the JVM compiles; beyond this limit Spark runs them as several methods.
+    spark = job_session("generate", **{"spark.sql.codegen.hugeMethodLimit": "8000"})
     params = Params(seed=args.seed, high_risk_share=args.high_risk_share)
     rows = generate(spark, args.rows, params=params).select(*PAYLOAD)
     if args.output:

@@ -12,8 +12,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def job_session(app_name: str) -> SparkSession:
-    return use_utc(SparkSession.builder.appName(app_name).getOrCreate())
+def job_session(app_name: str, **settings: str) -> SparkSession:
+    spark = use_utc(SparkSession.builder.appName(app_name).getOrCreate())
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

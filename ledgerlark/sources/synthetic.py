@@ -105,9 +105,9 @@ def base_rows(ids: DataFrame, params: Params, base_ts: Column, row_id: str = "id
         merchant = F.when(d.chance("company_form", params.high_risk_share), risky).otherwise(merchant)
     event = F.timestamp_add("SECOND", d.integer("jitter", *params.jitter_seconds), base_ts)
     name = F.md5(F.concat_ws("|", F.lit(params.seed), F.lit("id"), F.col(row_id).cast("string")))
-    drawn = d.attach(ids, row_id)
+    drawn = d.attach(ids, row_id).withColumn("_name", name)
     return drawn.select(
-        _uuid(name).alias("transaction_id"),
+        _uuid(F.col("_name")).alias("transaction_id"),
         d.integer("user", *params.users).cast("int").alias("user_id"),
         d.cents("amount", 1, 1_000_000).alias("amount"),
         F.lit("USD").alias("currency"),
