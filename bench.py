@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Every query runs twice; the second run counts. ``reference_windows_*`` is the plain form of the
+Every query runs twice; the second run counts. ``per_user_window_*`` is the plain form of the
 rolling features, one window per user over the same input, for comparison.
 """
 
@@ -51,7 +51,7 @@ def headline(spark: SparkSession) -> dict:
     runs = {}
     for name, source in SOURCES.items():
         runs[f"features_{name}"] = lambda s=source: build_features(s(spark, SF_DIR))
-        runs[f"reference_windows_{name}"] = lambda s=source: window_per_user(s(spark, SF_DIR))
+        runs[f"per_user_window_{name}"] = lambda s=source: window_per_user(s(spark, SF_DIR))
     for method in (rolling.BY_ROW, rolling.BY_SECOND):
         runs[f"features_lineitem_{method}"] = lambda m=method: build_features(
             given.from_lineitem(spark, SF_DIR), method=m
@@ -88,7 +88,7 @@ def main() -> None:
         timed(make)
         seconds[name] = timed(make)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
-    total = sum(v for k, v in seconds.items() if not k.startswith("reference_"))
+    total = sum(v for k, v in seconds.items() if not k.startswith("per_user_window_"))
     rows = {n: given.table(spark, SF_DIR, n).count() for n in SOURCES}
     line = {
         "metric": "headline queries, total",

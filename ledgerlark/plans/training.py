@@ -12,7 +12,7 @@ from ledgerlark.operators import encode
 from ledgerlark.operators.balance import positive_weight, with_event_seconds, with_label
 from ledgerlark.operators.ranking import ranking_metrics
 from ledgerlark.operators.split import split
-from ledgerlark.session import ensure_checkpoint_dir
+from ledgerlark.session import ensure_checkpoint_dir, stored
 from ledgerlark.sinks.runs import default_run_name, log_run, save_model
 from ledgerlark.sources.tables import scan_features
 
@@ -128,7 +128,9 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
-    found = ranking_metrics(score(model, test), "margin").head()
+    # The metrics take several passes over the scores; every one would run all trees again.
+    scores = stored(score(model, test).select("margin", "label"), "scores")
+    found = ranking_metrics(scores, "margin").head()
     return {k: float("nan") if v is None else v for k, v in found.asDict().items()}
 
 

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -37,6 +37,14 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows from a table below the shared folder, so that several passes compute them
+    once and a lost executor does not compute them again."""
+    path = fresh_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative training cuts its lineage through the context's checkpoint folder."""
     if spark.sparkContext.getCheckpointDir() is None:
