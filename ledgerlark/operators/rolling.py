@@ -4,16 +4,15 @@ Both ends are inclusive and rows of the same second see each other.
 
 One window per user would put a user's whole history into one task. Here time is cut into chunks,
 and (user, chunk) is the unit of work, called a cell. A row is sent to the cell that owns it and,
-if a later frame can still reach it, to the next one. Three ways compute a cell:
+if a later frame can still reach it, to the next one. Two ways compute a cell:
 
-``sliding``    adds up every frame, so its work grows with rows times frame. For small cells.
 ``by_row``     takes each frame as the difference of two running sums: one pass, whatever the
                frames hold.
 ``by_second``  first sums up per second, on the map side before the shuffle, which leaves at most
                one row per second of the chunk however many rows a cell has. The results are
                joined back to the rows on (user, second); adaptive execution splits a skewed key.
 
-``auto`` looks at the size of the cells first and sends only those too large for a task the last
+``auto`` looks at the size of the cells first and sends only those too large for a task the second
 way. Sums are taken in decimals: subtracting them is exact, and the result depends neither on the
 way nor on the order in which rows arrive.
 """
@@ -23,14 +22,12 @@ from pyspark.sql import functions as F
 
 SPANS = {"1h": 3600, "24h": 86400}
 CHUNK_SECONDS = 7 * 86400
-# Up to this many rows per cell adding up frames is no slower than running sums.
-SLIDING_LIMIT = 2_000
 # Above this many rows a cell is summed up per second.
 CELL_LIMIT = 8_000_000
 # With more hot cells than this the list of them is not shipped; every cell goes per second.
 MAX_LISTED_CELLS = 10_000
 
-AUTO, SLIDING, BY_ROW, BY_SECOND = "auto", "sliding", "by_row", "by_second"
+AUTO, BY_ROW, BY_SECOND = "auto", "by_row", "by_second"
 
 _CELL, _OWN = "_cell", "_own"
 # Amounts from here on, and NaN, are counted instead of summed; the sum is then infinite or NaN.
@@ -111,18 +108,6 @@ def _slim(cells: DataFrame, columns: list[str], *needed: str) -> DataFrame:
     return cells.select(*needed, _CELL, _OWN, *carried)
 
 
-def _sliding(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
-    ordered = Window.partitionBy(key, _CELL).orderBy(second)
-    measures = {
-        f"{m}_{name}": agg.over(ordered.rangeBetween(-span, Window.currentRow))
-        for name, span in spans.items()
-        for m, agg in _row_measures(amount).items()
-    }
-    summed = _slim(cells, columns, key, second, amount).withColumns(measures)
-    features = _features(spans, prefix, lambda measure, span: f"`{measure}_{span}`")
-    return _own_rows(summed, columns, features)
-
-
 def _by_row(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
     sums = _running_sums(_row_measures(amount), key, second, spans)
     summed = _slim(cells, columns, key, second, amount).withColumns(sums)
@@ -143,7 +128,7 @@ def _by_second(cells, columns, key, second, amount, spans, prefix) -> DataFrame:
     return rows.join(seconds, same, "inner").select(*columns, *features)
 
 
-_WAYS = {SLIDING: _sliding, BY_ROW: _by_row, BY_SECOND: _by_second}
+_WAYS = {BY_ROW: _by_row, BY_SECOND: _by_second}
 
 
 def add_rolling(
@@ -174,7 +159,7 @@ def add_rolling(
     sizes = cells.groupBy(key, _CELL).agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.agg(F.max("size")).head()[0] or 0
     if largest <= cell_limit:
-        return _WAYS[SLIDING if largest <= SLIDING_LIMIT else BY_ROW](cells, *how)
+        return _by_row(cells, *how)
 
     hot = sizes.where(F.col("size") > cell_limit).select(key, _CELL)
     listed = hot.limit(MAX_LISTED_CELLS + 1).collect()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import rolling
 
-METHODS = [rolling.AUTO, rolling.SLIDING, rolling.BY_ROW, rolling.BY_SECOND]
+METHODS = [rolling.AUTO, rolling.BY_ROW, rolling.BY_SECOND]
 SCHEMA = "id int, user_id int, sec bigint, amount double"
 
 
@@ -124,12 +124,6 @@ def test_more_hot_cells_than_are_listed(spark, monkeypatch):
     check(spark, rows, {"a": 10}, cell_limit=5, chunk_seconds=20)
 
 
-def test_large_cells_use_running_sums(spark, monkeypatch):
-    monkeypatch.setattr(rolling, "SLIDING_LIMIT", 10)
-    rows = [(i, 1, i, float(i)) for i in range(100)]
-    check(spark, rows, {"a": 10})
-
-
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert rolling.add_rolling(df, second="sec").count() == 0
