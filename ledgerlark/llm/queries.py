@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import fingerprints as prints
-from ledgerlark.llm import mixing, url_filter
+from ledgerlark.llm import language, mixing, quality, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +36,32 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = language.remainder(F.col("doc_id"), 3) == 1
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held)
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language.remainder(F.col("doc_id"), 5) == 0
+    said = language.identify(docs.select("doc_id", "text"), language.fit(docs.filter(~held)))
+    return said.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.rate(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_fingerprints": op4_fingerprints,
     "op5_url_filter": op5_url_filter,
+    "op8_quality": op8_quality,
+    "op9_language": op9_language,
+    "op10_toxicity": op10_toxicity,
 }
