@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import fingerprints as prints
-from ledgerlark.llm import language, mixing, quality, toxicity, url_filter
+from ledgerlark.llm import language, mixing, quality, token_files, toxicity, url_filter
+from ledgerlark.session import fresh_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,23 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def word_tokenizer() -> str:
+    """The path of the public tokenizer of the contract, on the driver and on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    token_files.write(docs, path, word_tokenizer())
+    return token_files.read(spark, path).drop("ids")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prints.with_next(_table(spark, sf_dir, "documents"))
     rows = rows.withColumn("edited", prints.edited(F.col("text"), F.col("next_text")))
@@ -59,6 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_token_files": op3_token_files,
     "op4_fingerprints": op4_fingerprints,
     "op5_url_filter": op5_url_filter,
     "op8_quality": op8_quality,
