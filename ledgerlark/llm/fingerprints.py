@@ -17,18 +17,17 @@ an empty table.
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.expressions import let
+from ledgerlark.llm.ranges import with_ranges
 
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
 GRAM = 3
 WINDOW = 5
-#: Rows that one range of ids has on average, and the most ranges there are.
+#: Rows that one range of ids has on average.
 RANGE_ROWS = 1000
-MAX_RANGES = 100_000
 
 
 def _gram_hashes(text: Column, k: int) -> Column:
@@ -95,19 +94,12 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     Ids are cut into ranges by approximate quantiles. Each range also gets the first row of the range
     that follows it, so every row finds its successor in its own range; texts are shuffled once.
     """
-    spark = docs.sparkSession
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.coalesce(F.col(doc_id).cast("double"), F.lit(float("-inf"))).alias("_value"),
+        F.col(doc_id).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).withColumn("_tie", F.xxhash64("text"))
-    ranges = min(MAX_RANGES, docs.count() // RANGE_ROWS + 1)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(docs.approxQuantile(doc_id, shares, 1 / (4 * ranges)))) if shares else []
-    bounds = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    ranged = Bucketizer(splits=bounds, inputCol="_value", outputCol="_range").transform(rows).drop("_value")
+    ranged = with_ranges(rows, docs, doc_id, RANGE_ROWS)
     heads = ranged.groupBy("_range").agg(F.max(F.struct("doc_id", "_tie")).alias("_head"))
-    # One row per range, at most MAX_RANGES: ordered in one task, sent to all.
+    # One row per range, of which there is a bounded number: ordered in one task, sent to all.
     down = Window.orderBy(F.desc("_range"))
     to = F.coalesce(F.lag("_range").over(down), F.min("_range").over(Window.partitionBy()))
     heads = heads.select("_range", F.col("_head.doc_id").alias("_id"), F.col("_head._tie").alias("_tie"), to.alias("_to"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import fingerprints as prints
-from ledgerlark.llm import language, mixing, quality, token_files, toxicity, url_filter
+from ledgerlark.llm import decontaminate, language, mixing, quality, token_files, toxicity, url_filter
 from ledgerlark.session import fresh_dir
 
 
@@ -54,6 +54,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held = language.remainder(F.col("doc_id"), 3) == 1
@@ -80,6 +85,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_fingerprints": op4_fingerprints,
     "op5_url_filter": op5_url_filter,
+    "op6_decontaminate": op6_decontaminate,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
