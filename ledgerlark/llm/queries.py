@@ -4,7 +4,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import fingerprints as prints
-from ledgerlark.llm import decontaminate, language, mixing, quality, token_files, toxicity, url_filter
+from ledgerlark.llm import (
+    decontaminate,
+    language,
+    mixing,
+    quality,
+    similarity_join,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from ledgerlark.session import fresh_dir
 
 
@@ -17,6 +26,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.link(_table(spark, sf_dir, "documents"))
+
+
 def word_tokenizer() -> str:
     """The path of the public tokenizer of the contract, on the driver and on every executor."""
     import public_tokenizers
@@ -82,6 +95,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_ngram_join": op2_ngram_join,
     "op3_token_files": op3_token_files,
     "op4_fingerprints": op4_fingerprints,
     "op5_url_filter": op5_url_filter,
