@@ -10,6 +10,7 @@ from ledgerlark.llm import (
     mixing,
     quality,
     similarity_join,
+    substrings,
     token_files,
     toxicity,
     url_filter,
@@ -72,6 +73,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held = language.remainder(F.col("doc_id"), 3) == 1
@@ -100,6 +105,7 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
