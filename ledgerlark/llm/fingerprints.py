@@ -15,8 +15,6 @@ one are not (0). Equal texts have equal fingerprints, whatever else the rows hol
 an empty table.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +49,10 @@ def _run(grams: Column, i: Column, here: Column, w: int, step: int) -> Column:
         there = F.get(grams, i + step * j)
         return there >= here if step < 0 else there > here
 
-    return reduce(lambda more, j: F.when(beyond(j), more + 1 if more is not None else F.lit(1)).otherwise(0), range(w - 1, 0, -1), None)
+    more = F.lit(0)
+    for j in range(w - 1, 0, -1):
+        more = F.when(beyond(j), more + 1).otherwise(0)
+    return more
 
 
 def winnow(text: Column, k: int = GRAM, w: int = WINDOW) -> Column:
