@@ -41,7 +41,7 @@ def word_tokenizer() -> str:
 def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     token_files.write(docs, path, word_tokenizer())
-    return token_files.read(spark, path).drop("ids")
+    return token_files.read(spark, path, with_ids=False)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,10 @@ reads as an empty table. Columns other than the id and the text are not written.
 """
 
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +39,9 @@ END_ID = 1
 FRAME_IDS = 1 << 20
 #: Documents of one file, about.
 FILE_ROWS = 8192
-#: Words whose ids a task remembers.
-REMEMBERED = 200_000
+#: Words whose ids a task remembers, and words that are encoded in one call.
+REMEMBERED = 600_000
+CALL = 1000
 LEVEL = 3
 
 # Fixed values of the seekable format.
@@ -51,11 +54,18 @@ ENTRY = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 PLACE = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frames", "<u4")])
 
 
+#: Words that the tokenizer's rules leave as they are but for their case: printable ASCII without digits
+#: and apostrophes. It cuts them between letters and other characters.
+_PLAIN = re.compile(r"[!-&(-/:-~]+")
+_PARTS = re.compile(r"[a-z]+|[^a-z]+")
+
+
 class WordIds(dict):
     """The ids, as bytes, of texts without spaces and line breaks.
 
     The tokenizer works on words between white space, so a text's ids are those of its words in a row.
-    Other white space stays inside a word and is left to the tokenizer.
+    Other white space stays inside a word and is left to the tokenizer. Plain words go straight to the
+    tokenizer's model, all others (and what may hold a special token) through all of its steps.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -63,13 +73,25 @@ class WordIds(dict):
 
         self._tokenizer, self._dtype = Tokenizer.from_file(path), dtype
 
+    def _learn(self, new: set[str]) -> None:
+        model, kind = self._tokenizer.model.tokenize, "H" if self._dtype == "<u2" else "I"
+        others = []
+        for word in new:
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                ids = array(kind, [t.id for part in _PARTS.findall(word.lower()) for t in model(part)])
+                self[word] = ids.tobytes()
+            else:
+                others.append(word)
+        for i in range(0, len(others), CALL):
+            part = others[i : i + CALL]
+            for word, found in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
+                self[word] = np.array(found.ids, self._dtype).tobytes()
+
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self) > REMEMBERED:
             self.clear()
-        new = list({w for words in split for w in words if w not in self})
-        for word, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[word] = np.array(found.ids, self._dtype).tobytes()
+        self._learn(set().union(*split) - self.keys())
         end, ids_of = np.array([END_ID], self._dtype).tobytes(), self.__getitem__
         return [b"".join(map(ids_of, words)) + end for words in split]
 
@@ -192,16 +214,17 @@ class TokenFile:
         self._in.close()
 
 
-def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
+def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None, with_ids: bool = True) -> DataFrame:
     """Rows ``doc_id``, ``start`` (ids of all documents before it in the folder), ``n_tokens``,
-    ``ids_crc32`` (of the ids as 32 bits each) and ``ids``; of all documents, or of a list of them, of
-    which only those frames are read."""
+    ``ids_crc32`` (of the ids as 32 bits each) and, if asked for, ``ids``; of all documents, or of a list
+    of them, of which only those frames are read."""
     order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     manifest = spark.read.parquet(f"{path}/manifest")
     manifest = manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
     wanted = None if doc_ids is None else set(doc_ids)
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<long>"
-    types = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int64()))])
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
+    plain = [(c, pa.int64()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")]
+    types = pa.schema(plain + [("ids", pa.list_(pa.int64()))] * with_ids)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +239,7 @@ def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> Da
                     ids = file.ids(i)
                     crc = zlib.crc32(ids.astype("<u4").tobytes())
                     doc = None if file.places["null"][i] else int(file.places["doc_id"][i])
-                    rows.append((doc, int(starts[i]), len(ids), crc, ids))
+                    rows.append((doc, int(starts[i]), len(ids), crc, ids) if with_ids else (doc, int(starts[i]), len(ids), crc))
                     held += len(ids)
                     if held > FRAME_IDS:
                         yield batch_of(rows)
