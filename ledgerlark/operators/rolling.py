@@ -12,26 +12,25 @@ if a later frame can still reach it, to the next one. Two ways compute a cell:
                one row per second of the chunk however many rows a cell has. The results are
                joined back to the rows on (user, second); adaptive execution splits a skewed key.
 
-``auto`` looks at the size of the cells first and sends only those too large for a task the second
-way. Sums are taken in decimals: subtracting them is exact, and the result depends neither on the
-way nor on the order in which rows arrive.
+Both are lazy, and nothing about them depends on how large the input is. ``by_row``, the default, moves
+each row once; a cell's task sorts its rows and streams over them. ``by_second`` is for keys with very
+many rows to a second. Sums are taken in decimals: subtracting them is exact, and the result depends
+neither on the way nor on the order in which rows arrive. Amounts count to 22 decimal places and up to
+10^27; from there on a sum is infinite.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPANS = {"1h": 3600, "24h": 86400}
+#: The shortest chunk unless one is given.
 CHUNK_SECONDS = 7 * 86400
-# Above this many rows a cell is summed up per second.
-CELL_LIMIT = 8_000_000
-# With more hot cells than this the list of them is not shipped; every cell goes per second.
-MAX_LISTED_CELLS = 10_000
 
-AUTO, BY_ROW, BY_SECOND = "auto", "by_row", "by_second"
+BY_ROW, BY_SECOND = "by_row", "by_second"
 
 _CELL, _OWN = "_cell", "_own"
 # Amounts from here on, and NaN, are counted instead of summed; the sum is then infinite or NaN.
-_SUMMABLE = "1e15D"
+_SUMMABLE = "1e27D"
 
 
 def _spread(df: DataFrame, second: str, reach: int, chunk: int) -> DataFrame:
@@ -45,12 +44,13 @@ def _spread(df: DataFrame, second: str, reach: int, chunk: int) -> DataFrame:
 
 def _row_measures(amount: str) -> dict[str, Column]:
     value = f"`{amount}`"
+    summable = f"if(abs({value}) < {_SUMMABLE}, {{}}, null)"
     return {
         "_n": F.count(F.lit(1)),
         "_valued": F.count(amount),
-        "_total": F.expr(
-            f"sum(cast(if(abs({value}) < {_SUMMABLE}, {value}, null) as decimal(38,16)))"
-        ),
+        # Whole part and rest apart: together they keep a double's digits at any size.
+        "_whole": F.expr(f"sum(cast({summable.format(f'{value} - {value} % 1D')} as decimal(38,0)))"),
+        "_rest": F.expr(f"sum(cast({summable.format(f'{value} % 1D')} as decimal(38,22)))"),
         # NaN compares as greater than any number.
         "_above": F.expr(f"count_if({value} >= {_SUMMABLE})"),
         "_below": F.expr(f"count_if({value} <= -{_SUMMABLE} or isnan({value}))"),
@@ -83,15 +83,15 @@ def _features(spans: dict[str, int], prefix: str, inside) -> dict[str, Column]:
     """The features from the measures that ``inside(measure, span)`` gives as SQL."""
     found = {}
     for name in spans:
-        n, valued, total, above, below = (
-            inside(m, name) for m in ("_n", "_valued", "_total", "_above", "_below")
+        n, valued, whole, rest, above, below = (
+            inside(m, name) for m in ("_n", "_valued", "_whole", "_rest", "_above", "_below")
         )
         total = f"""case
             when {valued} = 0 then null
             when {above} > 0 and {below} > 0 then double('NaN')
             when {above} > 0 then double('Infinity')
             when {below} > 0 then double('-Infinity')
-            else cast(coalesce({total}, 0) as double) end"""
+            else cast(coalesce({whole}, 0) as double) + cast(coalesce({rest}, 0) as double) end"""
         found[f"{prefix}_txn_cnt_{name}"] = F.expr(n)
         found[f"{prefix}_amt_sum_{name}"] = F.expr(total)
         found[f"{prefix}_amt_avg_{name}"] = F.expr(f"{total} / nullif({valued}, 0)")
@@ -139,36 +139,17 @@ def add_rolling(
     amount: str = "amount",
     spans: dict[str, int] | None = None,
     prefix: str = "u",
-    method: str = AUTO,
-    chunk_seconds: int = CHUNK_SECONDS,
-    cell_limit: int = CELL_LIMIT,
+    method: str = BY_ROW,
+    chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Adds ``<prefix>_txn_cnt_<span>``, ``_amt_sum_`` and ``_amt_avg_`` for every span.
 
-    ``second`` names a bigint column of epoch seconds, ``amount`` a numeric one. ``auto`` runs a
-    job over ``key`` and ``second`` to size the cells; the other methods are lazy.
+    ``second`` names a bigint column of epoch seconds, ``amount`` a numeric one. A chunk is at least as
+    long as the longest span, so a row is sent to two cells at most.
     """
     spans = SPANS if spans is None else spans
-    if method != AUTO and method not in _WAYS:
-        raise ValueError(f"method is one of {[AUTO, *_WAYS]}, not {method!r}")
-    cells = _spread(df, second, max(spans.values()), chunk_seconds)
-    how = (df.columns, key, second, amount, spans, prefix)
-    if method != AUTO:
-        return _WAYS[method](cells, *how)
-
-    sizes = cells.groupBy(key, _CELL).agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.agg(F.max("size")).head()[0] or 0
-    if largest <= cell_limit:
-        return _by_row(cells, *how)
-
-    hot = sizes.where(F.col("size") > cell_limit).select(key, _CELL)
-    listed = hot.limit(MAX_LISTED_CELLS + 1).collect()
-    if len(listed) > MAX_LISTED_CELLS:
-        return _by_second(cells, *how)
-    # At most MAX_LISTED_CELLS pairs of numbers: small enough to broadcast.
-    small = F.broadcast(
-        df.sparkSession.createDataFrame(listed, hot.schema).toDF("_hot_key", "_hot_cell")
-    )
-    is_hot = F.col(key).eqNullSafe(F.col("_hot_key")) & F.col(_CELL).eqNullSafe(F.col("_hot_cell"))
-    cool = _by_row(cells.join(small, is_hot, "left_anti"), *how)
-    return cool.unionByName(_by_second(cells.join(small, is_hot, "left_semi"), *how))
+    if method not in _WAYS:
+        raise ValueError(f"method is one of {list(_WAYS)}, not {method!r}")
+    chunk = chunk_seconds or max(CHUNK_SECONDS, max(spans.values()))
+    cells = _spread(df, second, max(spans.values()), chunk)
+    return _WAYS[method](cells, df.columns, key, second, amount, spans, prefix)

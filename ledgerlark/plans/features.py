@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.time import as_timestamp, epoch_seconds, with_time_parts
-from ledgerlark.operators.rolling import AUTO, SPANS, add_rolling
+from ledgerlark.operators.rolling import BY_ROW, SPANS, add_rolling
 from ledgerlark.schema import FEATURES
 from ledgerlark.sinks.tables import write_run
 from ledgerlark.sources.tables import scan_silver
@@ -31,7 +31,7 @@ def feature_columns(spans: dict[str, int]) -> list[str]:
 def build_features(
     df: DataFrame,
     spans: dict[str, int] | None = None,
-    method: str = AUTO,
+    method: str = BY_ROW,
     dates: tuple[dt.date, dt.date] | None = None,
     **rolling,
 ) -> DataFrame:
@@ -60,7 +60,7 @@ def run(
     dates: tuple[dt.date, dt.date] | None = None,
     files: int | None = None,
     spans: dict[str, int] | None = None,
-    method: str = AUTO,
+    method: str = BY_ROW,
 ) -> str:
     """Reads silver, writes ``<output>/date=<run_date>`` and returns that path.
 

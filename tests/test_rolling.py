@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import rolling
 
-METHODS = [rolling.AUTO, rolling.BY_ROW, rolling.BY_SECOND]
+METHODS = [rolling.BY_ROW, rolling.BY_SECOND]
 SCHEMA = "id int, user_id int, sec bigint, amount double"
 
 
@@ -115,13 +115,19 @@ def test_one_user_with_most_rows_is_split_from_the_others(spark):
         (i, 1 if i % 3 else draw.randrange(2, 20), draw.randrange(0, 400), draw.uniform(0, 100))
         for i in range(900)
     ]
-    check(spark, rows, {"a": 30}, cell_limit=50, chunk_seconds=100)
+    for method in METHODS:
+        check(spark, rows, {"a": 30}, method=method, chunk_seconds=100)
 
 
-def test_more_hot_cells_than_are_listed(spark, monkeypatch):
-    monkeypatch.setattr(rolling, "MAX_LISTED_CELLS", 1)
-    rows = [(i, i % 3, i % 40, float(i)) for i in range(300)]
-    check(spark, rows, {"a": 10}, cell_limit=5, chunk_seconds=20)
+@pytest.mark.parametrize("method", METHODS)
+def test_large_amounts_are_numbers(spark, method):
+    rows = [(1, 1, 0, 1e15), (2, 1, 10, -2e15), (3, 1, 100000, 7.25), (4, 1, 100001, 5e17), (5, 1, 300000, 1e-17), (6, 2, 0, -3e25)]
+    check(spark, rows, rolling.SPANS, method=method)
+
+
+def test_a_span_longer_than_the_shortest_chunk(spark):
+    rows = [(i, 1, i * 400000, float(i)) for i in range(60)]
+    check(spark, rows, {"30d": 30 * 86400})
 
 
 def test_empty_input(spark):
