@@ -1,15 +1,18 @@
 """Exact ranking metrics of a score against a 0/1 label.
 
-Cumulative counts over all rows need a global order. Rows are first summed up per distinct score.
-Approximate quantiles then cut the scores into ranges of similar size; each range is accumulated
-in its own task on top of the totals of the ranges above it. The cuts only spread the work, the
-result does not depend on them.
+Cumulative counts over all rows need a global order. Rows are first summed up per distinct score and
+kept as a table. Approximate quantiles of the distinct scores, each counted once however many rows
+have it, then cut them into ranges of similar size; each range is accumulated in its own task on top
+of the totals of the ranges above it. The cuts only spread the work, the result does not depend on
+them. Rows without a label are left out.
 """
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.session import stored
+
 MIN_RANGES = 256
 
 
@@ -36,11 +39,12 @@ def ranked_groups(
     """
     ranked_by = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
     rows = df.select(ranked_by.alias("score"), F.col(label).alias("label"))
-    groups = rows.groupBy("score").agg(
+    groups = rows.where(F.col("label").isNotNull()).groupBy("score").agg(
         F.sum(F.when(F.col("label") > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("label") > 0.5, 0).otherwise(1)).alias("neg"),
     )
-    ranged = _cut(rows, "score", ranges or _ranges(df)).transform(groups)
+    groups = stored(groups, "scores")
+    ranged = _cut(groups, "score", ranges or _ranges(df)).transform(groups)
     totals = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     # One row per range, as many as the shuffle has tasks: one task orders them, all get them.
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
