@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ledgerlark.schema import CATEGORICAL
+from ledgerlark.session import stored
 
 # Columns that are never numeric features.
 NOT_FEATURES = {
@@ -24,7 +25,6 @@ NOT_FEATURES = {
     "merchant",
     "location",
 }
-MAX_CATEGORIES = 10_000
 
 
 def numeric_features(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -39,38 +39,54 @@ def categorical_features(df: DataFrame) -> list[str]:
     return [c for c in CATEGORICAL if c in df.columns]
 
 
-def top_categories(df: DataFrame, columns: list[str], limit: int) -> list[list[str]]:
-    """The ``limit`` most frequent values of each column, ties in alphabetical order.
+def _counted(df: DataFrame, column: str) -> DataFrame:
+    values = df.select(F.col(column).cast("string").alias("value")).where("value is not null")
+    return values.groupBy("value").count()
 
-    One job for all columns. Values are counted before the shuffle, ranked per task before they
-    meet, and at most ``limit`` per column reach the driver.
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """Every value of a column with its index ``idx`` by falling frequency, ties in alphabetical order.
+
+    Values are counted before the shuffle, dealt out by range of (count, value) and kept; a value's
+    index is the number of values in the ranges before its own and its rank in it. No task and no
+    driver holds all values.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
-    counts = (
-        df.select(F.explode(pairs).alias("pair"))
-        .select("pair.*")
-        .where(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .count()
-    )
-    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("count"), "value"))
-    ranked = counts.withColumn("rank", rank).where(F.col("rank") <= limit)
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
-    for row in ranked.collect():
-        found[row["name"]].append((row["rank"], row["value"]))
-    return [[value for _, value in sorted(found[c])] for c in columns]
+    order = [F.desc("count"), F.col("value")]
+    ranged = _counted(df, column).repartitionByRange(*order)
+    kept = stored(ranged.withColumn("range", F.spark_partition_id()), "categories")
+    sizes = kept.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
+    # One row per range, as many as the shuffle has tasks.
+    before = F.sum("size").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("range", F.coalesce(before, F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("range").orderBy(*order))
+    index = (F.col("before") + rank - 1).cast("double")
+    return kept.join(F.broadcast(offsets), "range").select("value", index.alias("idx"), "count")
+
+
+def indexed_by(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Adds ``<column>_idx`` from a category table; NULL and unseen values get the next index."""
+    known = table.select(F.col("value").alias(column), F.col("idx").alias(f"{column}_idx"))
+    unseen = table.agg(F.count(F.lit(1)).cast("double")).head()[0]
+    found = df.join(known, column, "left")
+    columns = [*df.columns, F.coalesce(f"{column}_idx", F.lit(unseen)).alias(f"{column}_idx")]
+    return found.select(*columns)
+
+
+def top_categories(df: DataFrame, column: str, limit: int) -> list[str]:
+    """The ``limit`` most frequent values, ties in alphabetical order."""
+    top = _counted(df, column).orderBy(F.desc("count"), "value").limit(limit)
+    return [row["value"] for row in top.collect()]
 
 
 def category_indexer(
-    df: DataFrame, columns: list[str], max_categories: int | None = MAX_CATEGORIES
+    df: DataFrame, columns: list[str], max_categories: int | None = None
 ) -> PipelineModel:
-    """Indexes categories by falling frequency into ``<column>_idx``.
+    """Indexes categories by falling frequency into ``<column>_idx``; unseen and NULL values share the
+    index after the last.
 
-    Unseen and NULL values share the index after the last. So do the values beyond
-    ``max_categories``: names that are nearly unique would otherwise all pass through the driver
-    and give a feature each. None takes every value.
+    Every value has an index of its own. A model of MLlib holds the values it knows, so they pass
+    through the driver here; ``category_table`` indexes columns too wide for that. A caller may give
+    ``max_categories`` instead: values beyond it then share the index of unseen ones.
     """
     if max_categories is None:
         outputs = [f"{c}_idx" for c in columns]
@@ -79,8 +95,10 @@ def category_indexer(
     # One stage per column: a stage for several would pad shorter label lists with nulls.
     return PipelineModel(
         [
-            StringIndexerModel.from_labels(labels, c, f"{c}_idx", handleInvalid="keep")
-            for c, labels in zip(columns, top_categories(df, columns, max_categories))
+            StringIndexerModel.from_labels(
+                top_categories(df, c, max_categories), c, f"{c}_idx", handleInvalid="keep"
+            )
+            for c in columns
         ]
     )
 

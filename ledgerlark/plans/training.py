@@ -44,7 +44,7 @@ class TrainSpec:
     split: str = "hash"
     train_share: float = 0.8
     fill: str = "median"
-    max_categories: int | None = encode.MAX_CATEGORIES
+    max_categories: int | None = None
     boosting: Boosting | None = None
 
     def __post_init__(self):
