@@ -19,7 +19,8 @@ from ledgerlark.operators import rolling
 from ledgerlark.operators.checks import validate_json
 from ledgerlark.operators.ranking import ranking_metrics
 from ledgerlark.plans.features import build_features
-from ledgerlark.plans.ingest import to_bronze, to_silver
+from ledgerlark.operators.decode import to_bronze
+from ledgerlark.plans.ingest import to_silver
 from ledgerlark.session import use_utc
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

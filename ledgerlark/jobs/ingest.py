@@ -19,7 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--dedup", choices=[FOREVER, WATERMARK], default=FOREVER)
     parser.add_argument("--state-partitions", type=int, help="fixed by the first start")
     parser.add_argument("--keep-bad", action="store_true")
-    parser.add_argument("--silver-from-bronze", action="store_true")
+    parser.add_argument("--silver-from-topic", action="store_true", help="read the topic per query")
     parser.add_argument("--drain", action="store_true", help="stop at the end of the input")
     add_topic_arguments(parser)
     args = parser.parse_args(argv)
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
         args.watermark_minutes,
         args.dedup,
         args.keep_bad,
-        args.silver_from_bronze,
+        not args.silver_from_topic,
         drain=args.drain,
     )
     if args.drain:

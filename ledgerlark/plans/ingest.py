@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.decode import decode, to_bronze, with_event_time
+from ledgerlark.operators.decode import decode, with_event_time
 from ledgerlark.operators.dedup import FOREVER, dedup_stream, first_per_key
 from ledgerlark.schema import PAYLOAD
 
@@ -11,8 +11,6 @@ from ledgerlark.schema import PAYLOAD
 # 55 minutes behind the latest.
 WATERMARK_MINUTES = 60
 
-__all__ = ["to_bronze", "to_silver", "WATERMARK_MINUTES"]
-
 
 def to_silver(
     bronze: DataFrame,

@@ -21,7 +21,8 @@ def plain_login(username: str, password: str) -> str:
 class KafkaTopic:
     servers: str
     topic: str
-    starting_offsets: str = "latest"
+    # The whole topic; the first start of a checkpoint decides.
+    starting_offsets: str = "earliest"
     security_protocol: str | None = None
     sasl_mechanism: str | None = None
     username: str | None = None
@@ -30,13 +31,17 @@ class KafkaTopic:
     max_offsets_per_trigger: int | None = None
     # More read tasks than topic partitions.
     min_partitions: int | None = None
+    # Further client settings, such as kafka.compression.type, for reader and writer.
+    options: dict[str, str] = field(default_factory=dict)
 
     def connection(self) -> dict[str, str]:
-        """Options that reader and writer share."""
-        chosen = {
+        """Options that reader and writer share. A user logs in over SASL_SSL with PLAIN unless the
+        topic says otherwise; without a user the client's own defaults hold."""
+        login = self.username is not None
+        chosen = dict(self.options) | {
             "kafka.bootstrap.servers": self.servers,
-            "kafka.security.protocol": self.security_protocol,
-            "kafka.sasl.mechanism": self.sasl_mechanism,
+            "kafka.security.protocol": self.security_protocol or ("SASL_SSL" if login else None),
+            "kafka.sasl.mechanism": self.sasl_mechanism or ("PLAIN" if login else None),
         }
         if self.username is not None:
             chosen["kafka.sasl.jaas.config"] = plain_login(self.username, self.password or "")

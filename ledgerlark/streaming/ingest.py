@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ledgerlark.operators.decode import to_bronze, undecodable
 from ledgerlark.operators.dedup import FOREVER
@@ -78,16 +79,16 @@ def start_ingest(
     watermark_minutes: int = WATERMARK_MINUTES,
     mode: str = FOREVER,
     keep_bad: bool = False,
-    silver_from_bronze: bool = False,
+    silver_from_bronze: bool = True,
     quarantine: bool = True,
     drain: bool = False,
 ) -> list[StreamingQuery]:
     """Independent queries below ``tables`` and ``checkpoints``: bronze, silver and, for what
     cannot be decoded, quarantine.
 
-    Each reads the topic on its own and recovers on its own. With ``silver_from_bronze`` the
-    topic is read once and the others follow the committed bronze files; a drain then takes
-    bronze to its end first.
+    Each recovers on its own. The topic is read once, by bronze; the others follow the committed
+    bronze files, so that all of them see the same messages. A drain takes bronze to its end first.
+    Without ``silver_from_bronze`` each query reads the topic from its own starting point.
     """
     messages = open_stream(spark, source)
     bronze_query = start_bronze(messages, f"{tables}/bronze", f"{checkpoints}/bronze", drain)
@@ -121,8 +122,36 @@ def wait(spark: SparkSession, timeout: int | None = None) -> bool | None:
     return spark.streams.awaitAnyTermination(timeout)
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows that fell behind the watermark, over the progress reports still held."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that fell behind the watermark, for every query of the session.
+
+    Spark keeps the last progress reports only; a listener sees each of them once.
+    """
+
+    def __init__(self):
+        self._dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self._dropped[query] = self._dropped.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def dropped(self, query: StreamingQuery) -> int:
+        """Over all runs of the query since the listener was added."""
+        return self._dropped.get(str(query.id), 0)
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """Adds the listener; do so before the queries start."""
+    late = LateRows()
+    spark.streams.addListener(late)
+    return late
