@@ -5,9 +5,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
+#: A full date and time of day; the zone may be left out and is then the session's.
+DATE_TIME = r"\A\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})?\z"
+
+
 def parse_timestamp(text: Column) -> Column:
-    """Text to timestamp; NULL where it does not parse, also under ANSI."""
-    return F.try_to_timestamp(text)
+    """Full date-time text to timestamp; NULL for anything else, also under ANSI.
+
+    Spark alone would also read a bare year, and a bare time as of today.
+    """
+    return F.when(text.rlike(DATE_TIME), F.try_to_timestamp(text))
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
@@ -17,7 +24,7 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
         return col
     if isinstance(kind, TimestampNTZType):
         return col.cast("timestamp")
-    return F.coalesce(col.try_cast("timestamp"), parse_timestamp(col))
+    return parse_timestamp(col.cast("string"))
 
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.draws import bits32
 
 TRAIN, TEST = "train", "test"
-_STEPS = 1000
+_HASHES = 1 << 32
 
 
 def _part(is_train: Column) -> Column:
@@ -15,8 +15,8 @@ def _part(is_train: Column) -> Column:
 
 def split_hash(df: DataFrame, share: float = 0.8, key: str = "transaction_id") -> DataFrame:
     """By a hash of the key: the same rows on every run, whatever the partitioning."""
-    bucket = bits32(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))) % _STEPS
-    return df.withColumn("part", _part(bucket < round(share * _STEPS)))
+    bits = bits32(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return df.withColumn("part", _part(bits < F.lit(round(share * _HASHES))))
 
 
 def split_time(df: DataFrame, share: float = 0.8, at: str = "event_ts") -> DataFrame:

@@ -1,6 +1,5 @@
 """Session settings the operators rely on."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +21,11 @@ def job_session(app_name: str, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder only serves a local master; on a cluster the setting is required.
+    There is no fallback: a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.gettempdir() + "/ledgerlark"
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
