@@ -61,6 +61,7 @@ ORACLES = {
             cast(sum(cast(amount as decimal(18,2))) as double) as amount_sum
         from f1 group by 1""",
     "bronze_raw_records": f"with {F3} select raw_json, kafka_ts from f3",
+    "bronze_ingest_stamp": f"with {F3} select count(*) as stamped, 1::bigint as stamps from f3",
     "publish_encode": f"{F1_JSON} select transaction_id as key, raw_json as value from j",
     "silver_parse_json": f"""with {F3}
         select if(good, transaction_id, null) as transaction_id,
@@ -500,6 +501,12 @@ ORACLES |= {
     "train_index_other": f"""with {F1}
         select merchant, least(idx, 3.0::double) as merchant_idx, n
         from ({indexed('merchant')})""",
+    "train_index_wide": f"""with {F1}
+        select transaction_id as id, cast(row_number() over (order by transaction_id) - 1 as double)
+            as transaction_id_idx
+        from f1""",
+    "train_index_table": f"""with {F1}
+        select merchant as value, idx, n as count from ({indexed('merchant')})""",
     "train_onehot": f"""with {F1}
         select merchant, cast(idx as integer) as slot,
             cast(count(*) over () + 1 as integer) as width
@@ -515,7 +522,7 @@ ORACLES |= {
         select transaction_id, 1, amount from f1""",
     "train_split_hash": f"""with {F1}
         select transaction_id as id,
-            if({bits('md5(transaction_id)')} % 1000 < 800, 'train', 'test') as part
+            if({bits('md5(transaction_id)')} < 3435973837, 'train', 'test') as part
         from f1""",
     "train_split_time": f"""with {F1}, span as (
             select epoch(min(ts)) as a, epoch(max(ts)) as z from f1)
@@ -532,3 +539,37 @@ ORACLES |= {
             from ranked)
         select round(sum(pos * (here + before) / 2) / sum(pos), 6) as auc_pr from points""",
 }
+
+ORACLES |= {
+    "sink_features": f"""with {F1}, t as (select id, u_txn_cnt_24h, user_id from
+            (select *, transaction_id as id from ({rolling('f1', ['24h'])})))
+        select id, u_txn_cnt_24h, '2024-01-01' as date from t
+        union all
+        select id, u_txn_cnt_24h, '2024-01-02' from t where user_id % 2 = 0""",
+    "sink_run_ledger": f"""with {F1}
+        select 'half-' || event_id % 2 as run_name, cast(count(*) as double) as n,
+            cast(sum(cast(amount as decimal(18,2))) as double) as total
+        from f1 group by 1""",
+    "sink_model": f"with {F1} select count(*) as n, 0::bigint as differing from f1",
+    "feat_roll_large_amounts": f"""with {F1}, large as (
+            select * replace (case event_id % 10 when 0 then 1e15 when 1 then -2e15 when 2 then 5e17
+                else amount end as amount) from f1)
+        select id, u_txn_cnt_24h, round(u_amt_sum_24h / 1e9, 3) as sum_24h_billions
+        from (select {rolled(['24h'])} from ({rolling('large', ['24h']).replace('18,2', '38,2')}))""",
+    "eval_auc_skewed": f"""with {F1},
+        groups as (
+            select if(event_id % 50 = 3, amount, 1.0::double) as score,
+                count(*) filter (event_id % 3 = 0) as pos, count(*) filter (event_id % 3 <> 0) as neg
+            from f1 where event_id % 7 <> 0 group by 1),
+        ranked as (
+            select *, sum(pos) over w as tp, sum(neg) over w as fp from groups
+            window w as (order by score desc)),
+        points as (
+            select *, tp / (tp + fp)::double as here,
+                if(tp + fp = pos + neg, tp / (tp + fp)::double,
+                   (tp - pos) / (tp - pos + fp - neg)::double) as before
+            from ranked)
+        select round(sum(neg * (tp - pos / 2.0::double)) / (sum(pos) * sum(neg)), 6) as auc_roc,
+            round(sum(pos * (here + before) / 2) / sum(pos), 6) as auc_pr
+        from points""",
+}

@@ -15,18 +15,20 @@ from ledgerlark.operators.balance import (
     with_event_seconds,
     with_label,
 )
-from ledgerlark.operators.decode import decode, undecodable, with_event_time
+from ledgerlark.operators.decode import decode, to_bronze, undecodable, with_event_time
 from ledgerlark.operators.ranking import ranking_metrics
 from ledgerlark.operators.split import split_hash, split_time
 from ledgerlark.plans.features import build_features
-from ledgerlark.plans.ingest import to_bronze, to_silver
+from ledgerlark.plans.ingest import to_silver
 from ledgerlark.plans.training import TrainSpec, fit, prepare, score, train
 from ledgerlark.schema import PAYLOAD
 from ledgerlark.session import fresh_dir
 from ledgerlark.sinks.publish import encode as encode_messages
+from ledgerlark.sinks.runs import compare_runs, load_model, log_run, save_model
+from ledgerlark.sinks.tables import write_run
 from ledgerlark.sources import synthetic
 from ledgerlark.sources.streams import LandingFolder
-from ledgerlark.sources.tables import scan_silver
+from ledgerlark.sources.tables import scan_features, scan_silver
 from ledgerlark.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,15 @@ def bronze_raw_records(spark, sf_dir):
     return to_bronze(given.messages(spark, sf_dir)).select("raw_json", plain("kafka_ts"))
 
 
+@query
+def bronze_ingest_stamp(spark, sf_dir):
+    """Every row of a batch has the batch's one stamp."""
+    bronze = to_bronze(given.messages(spark, sf_dir))
+    return bronze.agg(
+        F.count("ingest_ts").alias("stamped"), F.countDistinct("ingest_ts").alias("stamps")
+    )
+
+
 @query
 def publish_encode(spark, sf_dir):
     sent = encode_messages(given.from_events(spark, sf_dir))
@@ -273,10 +284,10 @@ def feat_roll_few_users(spark, sf_dir):
 
 @query
 def feat_roll_hot_user(spark, sf_dir):
-    """A third of all rows belongs to one user, whose cells go another way than the rest."""
+    """A third of all rows belongs to one user, summed up per second before the shuffle."""
     rows = given.from_events(spark, sf_dir, "event_id")
     hot = F.when(F.col("event_id") % 3 == 0, 1000).otherwise(F.col("user_id"))
-    return _rolled(rows.withColumn("user_id", hot), ["1h", "24h"], cell_limit=200)
+    return _rolled(rows.withColumn("user_id", hot), ["1h", "24h"], method=rolling.BY_SECOND)
 
 
 def _feature_edges(features: DataFrame) -> DataFrame:
@@ -293,7 +304,47 @@ def feat_project(spark, sf_dir):
 def feat_table(spark, sf_dir):
     """Messages to silver to the whole feature table."""
     silver = to_silver(to_bronze(given.messages(spark, sf_dir)))
-    return _feature_edges(build_features(silver, method=rolling.BY_ROW))
+    return _feature_edges(build_features(silver))
+
+
+@query
+def sink_features(spark, sf_dir):
+    """Three runs of two dates; the second run of a date replaces the first."""
+    root, features = fresh_dir(spark, "features"), build_features(given.from_events(spark, sf_dir))
+    write_run(features.where("user_id % 3 = 0"), root, "2024-01-01")
+    write_run(features, root, "2024-01-01")
+    write_run(features.where("user_id % 2 = 0"), root, "2024-01-02")
+    dates = ["2024-01-01", "2024-01-02"]
+    read = [scan_features(spark, f"{root}/date={d}").withColumn("date", F.lit(d)) for d in dates]
+    return read[0].unionByName(read[1]).select(row_id(), "u_txn_cnt_24h", "date")
+
+
+@query
+def sink_run_ledger(spark, sf_dir):
+    """Two runs, logged with metrics of the table and compared."""
+    ledger, rows = fresh_dir(spark, "ledger"), given.from_events(spark, sf_dir, "event_id")
+    for part in (0, 1):
+        half = rows.where(F.col("event_id") % 2 == part)
+        found = half.agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("total")
+        ).head()
+        log_run(spark, ledger, f"half-{part}", {"part": part}, found.asDict())
+    return compare_runs(spark, ledger, ["n", "total"]).select("run_name", "n", "total")
+
+
+@query
+def sink_model(spark, sf_dir):
+    """A stored and reloaded model's output beside the original's."""
+    rows = given.from_events(spark, sf_dir)
+    model, path = encode.category_indexer(rows, ["merchant", "location"]), fresh_dir(spark, "model")
+    save_model(model, path)
+    columns = ["merchant_idx", "location_idx"]
+    kept = model.transform(rows).select("transaction_id", F.struct(*columns).alias("a"))
+    again = load_model(path).transform(rows).select("transaction_id", F.struct(*columns).alias("b"))
+    both = kept.join(again, "transaction_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") != F.col("b")).alias("differing")
+    )
 
 
 # Checks
@@ -595,6 +646,20 @@ def train_index_other(spark, sf_dir):
     return indexed.groupBy("merchant", "merchant_idx").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def train_index_wide(spark, sf_dir):
+    """As many categories as rows."""
+    rows = given.from_events(spark, sf_dir)
+    table = encode.category_table(rows, "transaction_id")
+    return encode.indexed_by(rows, "transaction_id", table).select(row_id(), "transaction_id_idx")
+
+
+@query
+def train_index_table(spark, sf_dir):
+    rows = given.from_events(spark, sf_dir)
+    return encode.category_table(rows, "merchant")
+
+
 @query
 def train_onehot(spark, sf_dir):
     indexed = _indexed(spark, sf_dir)
@@ -673,3 +738,28 @@ def eval_auc_roc(spark, sf_dir):
 @query
 def eval_auc_pr(spark, sf_dir):
     return _ranked(spark, sf_dir).select(F.round("auc_pr", 6).alias("auc_pr"))
+
+
+@query
+def eval_auc_skewed(spark, sf_dir):
+    """49 of 50 rows share one score; rows without a label do not count."""
+    rows = given.from_events(spark, sf_dir, "event_id")
+    e = F.col("event_id")
+    scored = rows.select(
+        F.when(e % 50 == 3, F.col("amount")).otherwise(1.0).alias("score"),
+        F.when(e % 7 != 0, (e % 3 == 0).cast("double")).alias("label"),
+    )
+    found = ranking_metrics(scored, "score")
+    return found.select(*[F.round(c, 6).alias(c) for c in ("auc_roc", "auc_pr")])
+
+
+@query
+def feat_roll_large_amounts(spark, sf_dir):
+    """Amounts far beyond the valid range are summed as numbers."""
+    e = F.col("event_id")
+    rows = given.from_events(spark, sf_dir, "event_id")
+    large = F.when(e % 10 == 0, 1e15).when(e % 10 == 1, -2e15).when(e % 10 == 2, 5e17)
+    rolled = _rolled(rows.withColumn("amount", F.coalesce(large, F.col("amount"))), ["1h", "24h"])
+    return rolled.select(
+        "id", "u_txn_cnt_24h", F.round(F.col("u_amt_sum_24h") / 1e9, 3).alias("sum_24h_billions")
+    )
