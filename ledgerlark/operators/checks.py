@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.once import one, one_row
 from ledgerlark.functions.time import parse_timestamp
+from ledgerlark.schema import TRANSACTION
 
 # Field, JSON type and whether the field is required.
 FIELDS = [
@@ -156,8 +157,11 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
         if required
     ]
     read = {name: F.col(f"_value_{name}") for name in values}
+    # The parser of documents refuses a repeated key, of which decoding takes one.
+    decodes = F.from_json(raw, TRANSACTION)["transaction_id"].isNotNull()
     errors = (
-        F.when(~F.col("_is_json"), F.array(F.lit("not JSON")))
+        F.when(~F.col("_is_json") & decodes, F.array(F.lit("repeated key")))
+        .when(~F.col("_is_json"), F.array(F.lit("not JSON")))
         .when(~F.col("_is_object"), F.array(F.lit("not an object")))
         .otherwise(_listed(missing + type_faults() + _value_faults(read)))
     )

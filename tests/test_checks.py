@@ -1,6 +1,6 @@
 import json
 
-from ledgerlark.operators.checks import validate, validate_json
+from ledgerlark.operators.checks import timestamp_faults, validate, validate_json
 from ledgerlark.schema import TRANSACTION
 
 GOOD = ("t", 1000, 0.01, "USD", "m", "2024-01-01T00:00:00+00:00", "US", 0)
@@ -77,3 +77,18 @@ def test_raw_json(spark):
     found |= {r["raw_json"]: None for r in valid.collect()}
     assert found == dict(texts)
     assert valid.columns == ["raw_json"]
+
+
+def test_a_repeated_key_has_a_reason_of_its_own(spark):
+    good = '{"transaction_id":"a","user_id":1000,"amount":1.5,"currency":"USD","timestamp":"2024-01-01T00:00:00Z","is_fraud":0}'
+    rows = [(1, good), (2, good[:-1] + ',"amount":2}'), (3, "{")]
+    valid, bad = validate_json(spark.createDataFrame(rows, "id int, raw_json string"))
+    assert [r.id for r in valid.collect()] == [1]
+    assert {r.id: r.errors for r in bad.collect()} == {2: ["repeated key"], 3: ["not JSON"]}
+
+
+def test_only_full_date_times_pass(spark):
+    texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00.5+02:00", "2024", "12:30:00", "2024-01-01", "2024-13-01T00:00:00Z", "2024-01-01T00:00:00Z\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "timestamp string")
+    bad = timestamp_faults({"timestamp": df["timestamp"]})[0][1]
+    assert [r[0] for r in df.select(bad).collect()] == [False, False, True, True, True, True, True]
