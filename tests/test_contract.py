@@ -4,6 +4,7 @@ import pytest
 from contract_check import DATA, connect, differences
 
 import __spark_entry__ as contract
+from contract.queries import QUERIES
 
 SF = f"{DATA}/sf0.001"
 
@@ -13,13 +14,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert differences(spark, con, name, SF) is None
 
 
 def test_only_fitted_models_lack_sql():
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(QUERIES) - set(contract.oracle_sql())
     assert without == {"train_gbt_metrics", "train_weighted_metrics", "train_score"}
 
 
