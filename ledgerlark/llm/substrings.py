@@ -220,7 +220,7 @@ class Shard:
             repeat = own > firsts  # all of the context's strings begin in an earlier document here
             np.add.at(change, self.begin[rows[repeat]], 1)
             np.add.at(change, self.end[rows[repeat]], -1)
-            if b in earlier:
+            if b in earlier and len(earlier[b][0]):
                 context, start, stop = earlier[b]
                 # What others hold before the first one here, for that first one and rows of its id.
                 rows = rows[~repeat]
