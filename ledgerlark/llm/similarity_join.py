@@ -14,9 +14,9 @@ kind and it meets at a combination.
 3. Elements whose documents are all in one component are done. At the others, and at combinations of the
    frequent ones, the pairs from different components are the candidates. At each key the documents
    outside its largest component are joined with all, so a large group is not paired with itself.
-4. Candidates pass a length filter and a bitmap filter, which lose no pair (256 parity bits of the sets:
-   they differ in at most as many bits as the sets differ in elements). The rest is verified on the whole
-   sets.
+4. Candidates pass a length filter and two bitmap filters, which lose no pair (parity bits of the sets:
+   they differ in at most as many bits as the sets differ in elements): 512 bits while keys are joined,
+   then at least a bit for every second element. The rest is verified on the whole sets.
 
 Defined results: a text of fewer words than a shingle has one shingle of all its words; a null text and one
 without words have an empty set, which is linked with nothing. Rows of one doc_id count as one document.
@@ -43,7 +43,9 @@ COMBINED = 2
 FREQUENT = 64
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
-_MAP = ["m0", "m1", "m2", "m3"]
+#: The short bitmap that travels with the keys: 512 bits.
+_MAP = [f"m{i}" for i in range(8)]
+BITS = 64 * len(_MAP)
 
 
 def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +69,21 @@ def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(of, np.arange(len(texts) + 1))
 
 
+def _bitmap(values: np.ndarray) -> bytes:
+    """Parity bits of a set, at least one for every second element, in a power of two."""
+    size = max(256, 1 << (max(len(values) // 2, 1) - 1).bit_length())
+    cells = (values & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ, after the longer one is folded."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per document: size and 128-bit mark of its set, the bitmap and the extended prefix."""
 
@@ -79,14 +96,15 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 spread = mixed(values ^ np.uint64(0x5BD1E995)), mixed(values + np.uint64(0x1B873593))
                 sums = [np.concatenate(([np.uint64(0)], np.cumsum(s))) for s in spread]
                 marks = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
-            cell = of * 256 + (values & np.uint64(255)).astype(np.int64)
-            bits = np.packbits((np.bincount(cell, minlength=rows * 256) & 1).astype(np.uint8)).view("<i8").reshape(rows, 4)
+            cell = of * BITS + (values & np.uint64(BITS - 1)).astype(np.int64)
+            bits = np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8)).view("<i8").reshape(rows, len(_MAP))
             length = n - -(-percent * n // 100) + COMBINED
             prefixes = [values[a : a + min(k, m)].tobytes() for a, k, m in zip(at, length, n)]
-            columns = [batch.column("doc_id"), pa.array(n), pa.array(marks[0]), pa.array(marks[1]), *(pa.array(b) for b in bits.T.copy()), pa.array(prefixes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s0", "s1", *_MAP, "prefix"])
+            maps = [_bitmap(values[a:b]) for a, b in zip(at, at[1:])]
+            columns = [batch.column("doc_id"), pa.array(n), pa.array(marks[0]), pa.array(marks[1]), *(pa.array(b) for b in bits.T.copy()), pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s0", "s1", *_MAP, "prefix", "map"])
 
-    schema = "doc_id long, n long, s0 long, s1 long, m0 long, m1 long, m2 long, m3 long, prefix binary"
+    schema = "doc_id long, n long, s0 long, s1 long, " + ", ".join(f"{m} long" for m in _MAP) + ", prefix binary, map binary"
     return docs.mapInArrow(profiled, schema)
 
 
@@ -99,9 +117,9 @@ def _entries(profiles: DataFrame) -> DataFrame:
             many = np.array([len(f) for f in found], int)
             at = pa.array(np.repeat(np.arange(len(many)), many))
             key = np.concatenate([*found, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("doc").take(at), batch.column("n").take(at)], ["key", "doc", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("doc").take(at)], ["key", "doc"])
 
-    return profiles.select("doc", "n", "prefix").mapInArrow(listed, "key long, doc long, n long")
+    return profiles.select("doc", "prefix").mapInArrow(listed, "key long, doc long")
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -119,8 +137,18 @@ def _restricted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if listed <= SENT else ids, "doc_id", "left_semi")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that are alike enough, by their whole sets."""
+def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that are alike enough, by their whole sets; ``maps`` has every document's
+    ``n`` and ``map``."""
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("x", "y", "k", "m")))
+            near = [
+                min(k, m) * 100 >= max(k, m) * percent and _differing(x, y) * (100 + percent) <= (k + m) * (100 - percent)
+                for x, y, k, m in rows
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -128,7 +156,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["id", "set"])
 
-    pairs = stored(pairs, "join-pairs")
+    first = pairs.join(maps.select(F.col("doc").alias("a"), F.col("n").alias("k"), F.col("map").alias("x")), "a")
+    both = first.join(maps.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("map").alias("y")), "b")
+    pairs = stored(both.mapInArrow(sifted, "a long, b long"), "join-pairs")
     ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "join-ids")
     sets = stored(_restricted(docs, ids).mapInArrow(full, "id long, set array<long>").dropDuplicates(["id"]), "join-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
@@ -160,30 +190,30 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     # A smaller set is alike enough to an equal one only.
     least = -(-percent // (100 - percent)) if percent < 100 else None
     single = classes.filter(F.col("n") >= least) if least else classes.limit(0)
-    profile = profiles.select(F.col("doc_id").alias("doc"), *marks, *_MAP, "prefix").dropDuplicates(["doc", *marks])
-    standing = profile.join(single, ["doc", *marks])
+    profile = profiles.select(F.col("doc_id").alias("doc"), *marks, *_MAP, "prefix", "map").dropDuplicates(["doc", *marks])
+    standing = stored(profile.join(single, ["doc", *marks]).dropDuplicates(["doc"]), "join-standing")
     entries = _entries(standing)
     # Which element how many prefixes hold; the smallest document is its hub.
-    held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("doc", "n")).alias("hub"))
+    held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("hub"))
     shared = stored(entries.join(held.filter("held > 1"), "key"), "join-entries")
-    near = shared.filter((F.col("doc") != F.col("hub.doc")) & _near_sizes(F.col("n"), F.col("hub.n"), percent))
-    hubs = near.groupBy(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
-    links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), width, percent)
+    near = shared.filter(F.col("doc") != F.col("hub"))
+    hubs = near.groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
+    maps = standing.select("doc", "n", "map")
+    links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
     links = stored(links, "join-links")
     first = components(links)
-    described = standing.select("doc", *_MAP).dropDuplicates(["doc"])
-    described = described.join(first.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    described = standing.select("doc", "n", *_MAP).join(first.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     # Elements at which two components meet.
     open_keys = shared.join(described.select("doc", "c"), "doc").groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "n", "held")
+    still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "held")
     still = stored(still, "join-open")
-    alone = still.filter(F.col("held") <= frequent).select("key", "doc", "n")
-    often = still.filter(F.col("held") > frequent).select("key", "doc", "n")
+    alone = still.filter(F.col("held") <= frequent).select("key", "doc")
+    often = still.filter(F.col("held") > frequent).select("key", "doc")
     other = often.select(F.col("key").alias("other"), "doc")
     combined = often.join(other, "doc").filter(F.col("key") < F.col("other"))
-    combined = combined.select(F.xxhash64("key", "other").alias("key"), "doc", "n")
+    combined = combined.select(F.xxhash64("key", "other").alias("key"), "doc")
     keyed = alone.unionByName(combined).join(described, "doc")
-    more = _verified(docs, _candidates(keyed, percent), width, percent)
+    more = _verified(docs, _candidates(keyed, percent), maps, width, percent)
     found = components(links.unionByName(more))
     named = classes.join(found.withColumnRenamed("v", "doc"), "doc", "left")
     named = named.select(*marks, F.coalesce("c", "doc").alias("component_id"))
