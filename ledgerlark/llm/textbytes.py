@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone and whole.
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE, rows: int = 512) -> Iterator[pa.RecordBatch]:
