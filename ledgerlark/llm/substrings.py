@@ -95,20 +95,27 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
 
 
 def bounded_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by at least their first ``depth`` symbols (0 to 256), by prefix doubling."""
+    """Suffixes sorted by at least their first ``depth`` symbols (0 to 256), by prefix doubling. Suffixes
+    that differ from all others already are not sorted again."""
     n, step = len(symbols), 7
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(step, np.int64)])
     key = np.zeros(n, np.int64)
     for i in range(step):
         key = key << 9 | padded[i : i + n]
+    order, rank, places = np.arange(n), np.zeros(n + 1, np.int64), np.arange(n)
     while True:
-        order = np.argsort(key, kind="stable")
-        if step >= depth:
+        by = np.argsort(key)
+        key, suffix = key[by], order[places][by]
+        order[places] = suffix
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        rank[suffix] = places[first] + 1
+        places = places[~(new & np.append(new[1:], True))]
+        if step >= depth or not len(places):
             return order
-        place = key[order]
-        rank = np.zeros(n + step, np.int64)
-        rank[order] = np.concatenate(([0], np.cumsum(place[1:] != place[:-1]))) + 1
-        key, step = rank[:n] * (n + 2) + rank[step : step + n], step * 2
+        suffix = order[places]
+        key = rank[suffix] * (n + 2) + rank[np.minimum(suffix + step, n)]
+        step *= 2
 
 
 def equal_from(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
