@@ -4,10 +4,10 @@ A text is lower-cased, everything but letters becomes a single space, and its bi
 counted in ``DIMENSIONS`` hash cells. Counts become ``log(1 + count) * idf``, scaled to length 1. Every
 language has several centroids, found by spherical k-means over its examples. A text gets the language of
 the centroid with the highest cosine; of equal ones the first by language, then by cluster. It is rejected
-if that cosine is below the language's bound, which is half of what 99 % of its examples reach, or if it
+if that cosine is below a fifth of what 99 % of the language's examples reach, or if it
 has no letter.
 
-The fit uses at most ``EXAMPLES`` texts per language, those with the smallest hash of the id. Their inverse
+The fit uses at most ``EXAMPLES`` texts per language, those with the smallest hash of id and text, each once. Their inverse
 document frequencies and clusters are computed in tasks; one task holds the examples of one language. The
 prediction covers every whole text.
 
@@ -34,6 +34,8 @@ DIMENSIONS = 4096
 EXAMPLES = 600
 CLUSTERS = 4
 ROUNDS = 10
+#: Share of the cosine that 99 % of the examples reach, below which a text is rejected.
+BOUND = 0.2
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -105,9 +107,12 @@ class Languages:
 def fit(examples: DataFrame, doc_id: str = "doc_id", lang: str = "lang", per_language: int = EXAMPLES) -> Languages:
     """From the examples' texts and languages; rows with a null text or language are left out."""
     known = examples.filter(F.col("text").isNotNull() & F.col(lang).isNotNull())
-    order = Window.partitionBy("lang").orderBy("key", "text")
-    known = known.select(F.xxhash64(F.col(doc_id)).alias("key"), F.col(lang).alias("lang"), "text")
-    chosen = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    known = known.select(F.xxhash64(doc_id, "text").alias("key"), F.col(lang).alias("lang"), "text")
+    order = Window.partitionBy("lang").orderBy("key")
+    ranked = known.select("key", "lang").distinct().withColumn("n", F.row_number().over(order))
+    # One row per language: the largest key that is still taken. Texts move only once they are chosen.
+    tops = ranked.filter(F.col("n") <= per_language).groupBy("lang").agg(F.max("key").alias("top"))
+    chosen = known.join(F.broadcast(tops), "lang").filter(F.col("key") <= F.col("top")).dropDuplicates(["lang", "key"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, rows=64):
@@ -134,7 +139,7 @@ def fit(examples: DataFrame, doc_id: str = "doc_id", lang: str = "lang", per_lan
     def clustered(table: pa.Table) -> pa.Table:
         x = _weighed(np.stack([np.frombuffer(v, np.float32) for v in table.column("v").to_pylist()]), idf)
         centroids = _cluster(x, CLUSTERS)
-        bound = 0.5 * float(np.quantile((x @ centroids.T).max(1), 0.01))
+        bound = BOUND * float(np.quantile((x @ centroids.T).max(1), 0.01))
         name = table.column("lang")[0].as_py()
         return pa.table(
             {"lang": [name] * len(centroids), "bound": [bound] * len(centroids), "c": [c.tobytes() for c in centroids]},
