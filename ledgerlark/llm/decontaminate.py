@@ -1,14 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-Texts are read as words (runs of letters, A-Z lower-cased). For the n-grams of the test items the number
-of documents that hold them is counted over all documents. Of every ``SPREAD`` consecutive n-grams of an
-item the rarest is a seed, so a copy that keeps any n + SPREAD - 1 words in a row meets a seed however
-often it occurs. Where a seed occurs in a document, the passage around it is aligned with the item by
-Smith-Waterman on words (equal +1, different -1, gap -1), which rates edited copies too. The score is the
-alignment's over the item's number of words; from ``SCORE`` on the document is contaminated.
+Texts are read as words (runs of letters, A-Z lower-cased). Every n-gram of a test item is a seed, so a
+copy that keeps any n words in a row meets one. Where a seed occurs in a document, the passage around it
+is aligned with the item by Smith-Waterman on words (equal +1, different -1, gap -1), which rates edited
+copies too. The passage reaches as far as an alignment of the least score through the seed can, so scores
+are those of the whole text. Passages that hold too few of the item's words for that score are not
+aligned. The score is the alignment's over the item's number of words; from ``SCORE`` on the document is
+contaminated.
 
-Seeds go to the documents, in blocks of items of bounded size: each block is one pair of passes over the
-documents and nothing of the documents is shuffled but the counts of the block's n-grams.
+Seeds go to the documents, in blocks of items of bounded size: each block is one pass over the documents,
+of which nothing is shuffled.
 
 Defined results: items that are null or have fewer than n words are not searched for. Null and empty
 texts match nothing. Every row is judged by itself, so repeated rows give repeated results; of alignments
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.textbytes import NOT_LETTER, flat, mixed, owner, pieces, words
 
 GRAM = 3
-SPREAD = 4
 SCORE = 0.4
 #: Bytes of test items, about, that a block holds.
 BLOCK_BYTES = 4 << 20
@@ -72,6 +72,19 @@ def align(items: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> tuple[np
     return best >> 32, low - (best & low), ends
 
 
+def reach(sizes: np.ndarray, least: float) -> np.ndarray:
+    """Words an alignment of the least score can have beyond an item's own: each costs what an equal word gains."""
+    return np.ceil((1 - least) * sizes).astype(int) + 1
+
+
+def shared(items: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many words of each row's item occur in its window."""
+    found = np.zeros(len(items), int)
+    for i in range(items.shape[1]):
+        found += (windows == items[:, i : i + 1]).any(1) & (i < sizes)
+    return found
+
+
 class Items:
     """A block of test items: their words and seeds, for use inside tasks."""
 
@@ -83,33 +96,17 @@ class Items:
         self.n, self.ids, self.words = n, [ids[i] for i in long], [hashes[at[i] : at[i + 1]] for i in long]
         self.sizes = np.array([len(w) for w in self.words], int)
         each = [grams(w, n) for w in self.words]
-        self.gram = np.concatenate([*each, np.zeros(0, np.uint64)])
-        self.item = np.repeat(np.arange(len(each)), [len(g) for g in each])
-        self.place = np.concatenate([np.arange(len(g)) for g in each] + [np.zeros(0, int)])
-        self.known = np.unique(self.gram)
+        gram = np.concatenate([*each, np.zeros(0, np.uint64)])
+        order = np.argsort(gram, kind="stable")
+        self.gram, self.known = gram[order], np.unique(gram)
+        self.item = np.repeat(np.arange(len(each)), [len(g) for g in each])[order]
+        self.place = np.concatenate([np.arange(len(g)) for g in each] + [np.zeros(0, int)])[order]
 
     def sieve(self) -> np.ndarray:
         table = np.zeros(1 << SIEVE_BITS, bool)
         table[(self.known >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
         return table
 
-    def seeded(self, holders: dict[int, int]) -> "Items":
-        """The same with only the seeds kept; ``holders``: documents by index of ``known``."""
-        count = np.zeros(len(self.known), np.int64)
-        count[list(holders)] = list(holders.values())
-        rarity = count[np.searchsorted(self.known, self.gram)]
-        keep = np.zeros(len(self.gram), bool)
-        starts = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
-        for a, b in zip(starts, starts[1:]):
-            w = min(SPREAD, b - a)
-            picked = np.lib.stride_tricks.sliding_window_view(rarity[a:b], w).argmin(1)
-            keep[a + np.arange(len(picked)) + picked] = True
-        self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
-        order = np.argsort(self.gram, kind="stable")
-        self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
-        self.known = np.unique(self.gram)
-        return self
-
     def found(self, hashes: np.ndarray, text: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of n-grams that are known, and which; n-grams do not span texts."""
         g = grams(hashes, self.n)
@@ -133,7 +130,7 @@ class Items:
         many = np.diff(np.append(first, len(self.gram)))[which]
         seed = np.repeat(first[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         at, item = np.repeat(at, many), self.item[seed]
-        slack = self.sizes[item] // 4 + 2
+        slack = reach(self.sizes[item], least)
         # Starts that differ by less than the slack share a window, which is wider by as much.
         start = (at - self.place[seed]) // slack
         pairs = np.unique(np.stack([text[at], item, start], 1), axis=0)
@@ -143,12 +140,12 @@ class Items:
         cut = 0
         while cut < len(pairs):
             step = 1
-            while cut + step < len(pairs) and step < 512 and (step + 1) * 2 * (self.sizes[pairs[min(cut + step, len(pairs) - 1), 1]] + 8) < CELLS // 64:
+            while cut + step < len(pairs) and step < 512 and (step + 1) * 3 * (self.sizes[pairs[min(cut + step, len(pairs) - 1), 1]] + 8) < CELLS // 64:
                 step += 1
             rows = pairs[cut : cut + step]
             cut += step
             size = self.sizes[rows[:, 1]]
-            slack = size // 4 + 2
+            slack = reach(size, least)
             lo = np.maximum((rows[:, 2] - 1) * slack, edge[rows[:, 0]])
             hi = np.minimum((rows[:, 2] + 2) * slack + size, edge[rows[:, 0] + 1])
             windows = np.zeros((len(rows), int((hi - lo).max())), np.uint64)
@@ -156,7 +153,12 @@ class Items:
             for k, (a, b, r) in enumerate(zip(lo, hi, rows)):
                 windows[k, : b - a] = hashes[a:b]
                 items[k, : size[k]] = self.words[r[1]]
-            score, begin, end = align(items, windows, size)
+            # No alignment has more equal words than the item has words that occur in the window.
+            able = np.flatnonzero(shared(items, windows, size) >= least * size)
+            if not len(able):
+                continue
+            rows, lo, size = rows[able], lo[able], size[able]
+            score, begin, end = align(items[able], windows[able], size)
             for k in np.flatnonzero(score >= least * size):
                 a, b = lo[k] + begin[k], lo[k] + end[k] - 1
                 key, base = (int(rows[k, 0]), int(rows[k, 1])), offsets[rows[k, 0]]
@@ -165,33 +167,16 @@ class Items:
         return [(t, self.ids[i], -s, b, e) for (t, i), (s, b, e) in sorted(best.items())]
 
 
-def blocks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", n: int = GRAM) -> Iterator[Items]:
-    """Blocks of items with their seeds, each after a pass over the documents that counts n-grams."""
+def blocks(items: DataFrame, item_id: str = "item_id", n: int = GRAM) -> Iterator[Items]:
+    """Blocks of items with their seeds."""
     rows = items.select(F.col(item_id).alias("item_id"), "text").filter(F.col("text").isNotNull())
     total = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     count = total // BLOCK_BYTES + 1
-    texts = docs.select("text")
     for b in range(count):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()
         block = Items([r.item_id for r in part], [r.text for r in part], n)
-        if not len(block.known):
-            continue
-
-        def counted(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
-            sieve, seen = block.sieve(), np.zeros(len(block.known), np.int64)
-            for batch in pieces(batches):
-                data, offsets = flat(batch.column("text"))
-                begins, _, hashes = words(data, offsets, NOT_LETTER)
-                text = owner(begins, offsets)
-                at, which = block.found(hashes, text, sieve)
-                pairs = np.unique(text[at] * len(block.known) + which)
-                seen += np.bincount(pairs % len(block.known), minlength=len(block.known))
-            some = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(seen[some])], ["gram", "n"])
-
-        # At most a row for each n-gram of the block.
-        holders = texts.mapInArrow(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        yield block.seeded({r.gram: r.n for r in holders.collect()})
+        if len(block.known):
+            yield block
 
 
 def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", least: float = SCORE) -> DataFrame:
@@ -202,7 +187,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], schema)
     item_type = pa.string() if kinds[1] == "string" else pa.int64()
-    for block in blocks(docs, items, item_id):
+    for block in blocks(items, item_id):
 
         def matched(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             sieve = block.sieve()
@@ -221,7 +206,7 @@ def clean(docs: DataFrame, items: DataFrame, item_id: str = "item_id", least: fl
     """The documents without the contaminated ones."""
     at = docs.columns.index("text")
     kept = docs
-    for block in blocks(docs, items, item_id):
+    for block in blocks(items, item_id):
 
         def passed(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             sieve = block.sieve()

@@ -92,3 +92,32 @@ def test_empty_tables(spark):
     full = spark.createDataFrame([(1, "a b c d", 0)], ITEMS)
     assert dc.find(docs.filter(F.lit(False)), full).count() == 0
     assert dc.clean(docs.filter(F.lit(False)), full).count() == 0
+
+
+def test_edited_copies_are_those_of_brute_force(spark):
+    rng = random.Random(5)
+    sizes = [20, 38, 12, 20, 38, 25]
+    items = [words(rng, n) for n in sizes]
+    docs = []
+    for d in range(240):
+        item, step = items[d % 6], 4 + d // 6 % 2
+        if d % 4 == 3:  # words at random, as many
+            copy = [w if rng.random() > 1 / step else "edited" for w in item]
+        else:
+            copy = ["edited" if (i + d) % step == 0 else w for i, w in enumerate(item)]
+        if d % 4 == 1:  # words put in besides
+            for at in rng.sample(range(len(copy)), len(copy) // 4):
+                copy.insert(at, "more")
+        docs.append(words(rng, 30, "f") + copy + words(rng, 30, "f"))
+    holds = lambda item, text: any(item[i : i + 3] == text[j : j + 3] for i in range(len(item) - 2) for j in range(len(text) - 2))
+    truth = {}
+    for d, text in enumerate(docs):
+        for i, item in enumerate(items):
+            score = slow_score(item, text) if holds(item, text) else 0
+            if score >= 0.4 * len(item):
+                truth[d, i] = score / len(item)
+    frame = spark.createDataFrame([(d, " ".join(t), "", 0) for d, t in enumerate(docs)], DOCS)
+    bench = spark.createDataFrame([(i, " ".join(t), 0) for i, t in enumerate(items)], ITEMS)
+    got = {(r.doc_id, r.item_id): r.score for r in dc.find(frame, bench).collect()}
+    assert got == truth and len(truth) > 100
+    assert dc.clean(frame, bench).count() == len(docs) - len({d for d, _ in truth})
