@@ -28,6 +28,20 @@ def test_language_held_out(spark, tables):
     assert held[0] > 0.95 and held[1] < 0.02 and got.count() == 1000
 
 
+def test_unlearned_languages_are_rejected(spark, tables):
+    rng = random.Random(6)
+    kinds = {
+        "cyrillic": [chr(c) for c in range(0x430, 0x450)], "greek": [chr(c) for c in range(0x3B1, 0x3CA)],
+        "han": [chr(c) for c in range(0x4E00, 0x5800)], "consonants": list("bcdfghjklmnpqrstvwxz"),
+    }
+    rows = [
+        (i, " ".join("".join(rng.choice(kinds[k]) for _ in range(rng.randint(2, 8))) for _ in range(n)), k, "", "", "")
+        for k in kinds for n in (20, 60, 200, 1000, 5000) for i in range(5)
+    ]
+    said = language.identify(spark.createDataFrame(rows, SCHEMA), language.fit(tables["documents"])).collect()
+    assert [(r.lang, len(r.text), r.score) for r in said if not r.rejected] == []
+
+
 def test_quality_held_out(spark, tables):
     got = QUERIES["op8_quality"](spark, SF).join(tables["labels"], "doc_id").filter("held_out")
     right = got.agg(F.avg((F.col("quality") == F.col("predicted")).cast("int"))).head()[0]
