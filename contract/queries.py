@@ -703,8 +703,7 @@ def _train_features(spark, sf_dir) -> DataFrame:
 
 
 def _metrics(spark, sf_dir, model: str) -> DataFrame:
-    spec = TrainSpec(model=model).with_trees(max_iter=3, max_depth=3)
-    trained = train(_train_features(spark, sf_dir), spec)
+    trained = train(_train_features(spark, sf_dir), TrainSpec(model=model))
     return spark.createDataFrame(list(trained.metrics.items()), "metric string, value double")
 
 
@@ -721,8 +720,7 @@ def train_weighted_metrics(spark, sf_dir):
 @query
 def train_score(spark, sf_dir):
     features = _train_features(spark, sf_dir)
-    spec = TrainSpec().with_trees(max_iter=3, max_depth=3)
-    model = fit(prepare(features), spec).model
+    model = fit(prepare(features), TrainSpec()).model
     return score(model, features).select(row_id(), "probability")
 
 
