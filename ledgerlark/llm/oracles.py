@@ -38,4 +38,64 @@ select doc_id, size, source_size, target,
 from placed p left join fills f on p.s = f.s
 """
 
-ORACLES = {"op1_mix_sources": OP1}
+
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _row(text: str) -> str:
+    return "sha256(" + " || ".join(_encoded(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# The checksum of CRC-32, bit by bit: a byte of the text comes in, eight shifts follow.
+_CRC = """xor(list_reduce(
+  list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda b: list_prepend(ascii(b)::bigint, [-1::bigint for i in range(8)])))),
+  lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end), 4294967295)"""
+
+OP11 = f"""
+with recursive
+docs as (
+  select doc_id, coalesce('1' || source, '0') as s, {_row('text')} as leaf,
+         case when {_CRC} % 2 = 0 then {_row("replace(text, chr(10), '')")} else {_row('text')} end as shown
+  from documents),
+placed as (select *, row_number() over (partition by s order by doc_id nulls first) - 1 as i from docs),
+nodes as (
+  select 0 as lev, s, i, leaf as h, count(*) over (partition by s) as n from placed
+  union all
+  select lev + 1, s, i // 3, sha256(string_agg(h, '' order by i)), (max(n) + 2) // 3 from nodes where n > 1
+  group by lev, s, i // 3),
+roots as (select s, h as subroot, lev as deep, row_number() over (order by s) - 1 as i from nodes where n = 1),
+tops as (
+  select 0 as lev, i, subroot as h, count(*) over () as n from roots
+  union all
+  select lev + 1, i // 3, sha256(string_agg(h, '' order by i)), (max(n) + 2) // 3 from tops where n > 1
+  group by lev, i // 3),
+forest as (
+  select s, lev, i, h from nodes where n > 1
+  union all
+  select r.s, r.deep + t.lev, t.i, t.h from tops t, roots r where t.n > 1),
+steps as (
+  select p.s, p.i as own, 0 as lev, case when r.deep = 0 then r.i else p.i end as i from placed p join roots r on p.s = r.s
+  union all
+  select x.s, x.own, x.lev + 1, case when x.lev + 1 = r.deep then r.i else x.i // 3 end
+  from steps x join roots r on x.s = r.s
+  where x.lev + 1 < r.deep + (select max(lev) from tops)),
+sides as (
+  select p.s, p.own, p.lev,
+         coalesce(string_agg(f.h, '' order by f.i) filter (where f.i < p.i), '') as l,
+         coalesce(string_agg(f.h, '' order by f.i) filter (where f.i > p.i), '') as r
+  from steps p join forest f on f.s = p.s and f.lev = p.lev and f.i // 3 = p.i // 3
+  group by p.s, p.own, p.lev, p.i),
+proofs as (select s, own, sha256(string_agg(l || r, '' order by lev)) as proof, count(*) as deep from sides group by s, own),
+folds as (
+  select s, i as own, 0 as lev, shown as h from placed
+  union all
+  select f.s, f.own, f.lev + 1, sha256(x.l || f.h || x.r) from folds f join sides x on x.s = f.s and x.own = f.own and x.lev = f.lev),
+ends as (select s, own, arg_max(h, lev) as h from folds group by s, own)
+select p.doc_id, p.leaf, r.subroot, t.h as root, coalesce(f.proof, sha256('')) as proof_sha256, e.h as folded_root, e.h = t.h as verified
+from placed p join roots r on p.s = r.s join tops t on t.n = 1 join ends e on e.s = p.s and e.own = p.i
+left join proofs f on f.s = p.s and f.own = p.i
+"""
+
+ORACLES = {"op1_mix_sources": OP1, "op11_merkle_manifest": OP11}

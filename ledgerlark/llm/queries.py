@@ -7,6 +7,7 @@ from ledgerlark.llm import fingerprints as prints
 from ledgerlark.llm import (
     decontaminate,
     language,
+    merkle,
     mixing,
     quality,
     similarity_join,
@@ -98,6 +99,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(docs, model).select("doc_id", "severity", "grade", "toxic")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = merkle.row_digest(F.regexp_replace("text", "\n", ""))
+    other = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, tampered)
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), other)
+    folded = merkle.folded(F.coalesce("other", "leaf"), F.col("path"))
+    proof = merkle.proof_digest(F.col("path")).alias("proof_sha256")
+    rows = rows.select("doc_id", "leaf", "subroot", "root", proof, folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
@@ -109,4 +120,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
