@@ -9,6 +9,7 @@ from ledgerlark.llm import (
     language,
     merkle,
     mixing,
+    periodic,
     quality,
     similarity_join,
     substrings,
@@ -109,6 +110,25 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic.replayed(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.find(docs, keep=["doc_id"])
+    # The greatest is the longest; of equally long ones the first, of those the one with the least period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("_most", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_most.col2")).alias("start"),
+        F.col("_most.length").alias("length"),
+        (-F.col("_most.col3")).alias("period"),
+        F.floor(1000 * F.col("_most.length") / -F.col("_most.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
@@ -121,4 +141,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
 }
