@@ -1,6 +1,6 @@
 """The registered queries: each operator over its whole table, with the parameters of production."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import fingerprints as prints
@@ -11,6 +11,7 @@ from ledgerlark.llm import (
     mixing,
     periodic,
     quality,
+    secret_scan,
     similarity_join,
     substrings,
     token_files,
@@ -129,6 +130,21 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find(docs, secret_scan.fit(docs), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s.kind != secret_scan.MODEL)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in secret_scan.KINDS if kind != secret_scan.MODEL]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
@@ -142,4 +158,5 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_secret_scan": op13_secret_scan,
 }

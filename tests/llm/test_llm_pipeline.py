@@ -20,12 +20,15 @@ COLUMNS = {
     "op8": "doc_id held_out score predicted",
     "op9": "doc_id held_out lang_pred score",
     "op10": "doc_id severity toxic",
+    "op11": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13": "doc_id n_assign n_access n_hex base_sha256 spans",
 }
 
 
 def test_registered():
     names = set(contract.queries())
-    assert set(QUERIES) | {"pipeline"} <= names and len(QUERIES) == 10
+    assert set(QUERIES) | {"pipeline"} <= names and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -33,8 +36,9 @@ def test_columns(spark, name):
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(QUERIES[name](spark, SF).columns)
 
 
-def test_mix_equals_sql(spark):
-    assert differences(spark, connect(SF), "op1_mix_sources", SF) is None
+@pytest.mark.parametrize("name", ["op1_mix_sources", "op11_merkle_manifest"])
+def test_equals_sql(spark, name):
+    assert differences(spark, connect(SF), name, SF) is None
 
 
 def test_stages(spark):
