@@ -143,6 +143,29 @@ FEATURES = """transaction_id, user_id, amount, currency, merchant, location, eve
     dayofweek, u_txn_cnt_1h, u_amt_sum_1h, u_amt_avg_1h, u_txn_cnt_24h, u_amt_sum_24h,
     u_amt_avg_24h, is_fraud"""
 
+# Amounts of 1e300, 1e-17 and 1e-30 are counted, cents are summed; whatever is summed is then one number.
+LARGE = """large as (
+        select *, case event_id % 10 when 0 then 1 when 1 then -1 else 0 end as huge, event_id % 10 = 2 as dust,
+            event_id % 10 = 3 as grain, if(event_id % 10 > 4, cast(amount as decimal(18,2)), 0) as cents
+        from f1),
+    counted as (select *, """ + ", ".join(
+    f"""count(*) over w{s} as u_txn_cnt_{s}, count(*) filter (event_id % 10 <> 4) over w{s} as valued_{s},
+        cast(count(*) filter (dust) over w{s} || 'e-30' as double) + cast(count(*) filter (grain) over w{s} || 'e-17' as double)
+        + cast(sum(cents) over w{s} as double) + cast(sum(huge) over w{s} || 'e300' as double) as total_{s}"""
+    for s in BOTH
+) + " from large window " + ", ".join(
+    f"w{s} as (partition by user_id order by sec range between {SECONDS[s]} preceding and current row)" for s in BOTH
+) + ")"
+LARGE_SUMS = ", ".join(
+    f"if(valued_{s} > 0, total_{s}, null) as u_amt_sum_{s}, if(valued_{s} > 0, total_{s} / valued_{s}, null) as u_amt_avg_{s}"
+    for s in BOTH
+)
+UNTIMED = ", ".join(
+    f"""count(*) over w as u_txn_cnt_{s}, cast(sum(cast(amount as decimal(18,2))) over w as double) as u_amt_sum_{s},
+        cast(sum(cast(amount as decimal(18,2))) over w as double) / count(amount) over w as u_amt_avg_{s}"""
+    for s in BOTH
+)
+
 both_f1 = f"with {F1} select {rolled(BOTH)} from ({rolling('f1', BOTH)})"
 
 ORACLES |= {
@@ -551,11 +574,14 @@ ORACLES |= {
             cast(sum(cast(amount as decimal(18,2))) as double) as total
         from f1 group by 1""",
     "sink_model": f"with {F1} select count(*) as n, 0::bigint as differing from f1",
-    "feat_roll_large_amounts": f"""with {F1}, large as (
-            select * replace (case event_id % 10 when 0 then 1e15 when 1 then -2e15 when 2 then 5e17
-                else amount end as amount) from f1)
-        select id, u_txn_cnt_24h, round(u_amt_sum_24h / 1e9, 3) as sum_24h_billions
-        from (select {rolled(['24h'])} from ({rolling('large', ['24h']).replace('18,2', '38,2')}))""",
+    "feat_roll_large_amounts": f"with {F1}, {LARGE} select {rolled(BOTH)} from (select *, {LARGE_SUMS} from counted)",
+    "feat_roll_hot_hour": f"""with {F1}, hot as (
+            select * replace (if(event_id % 3 = 0, 1000, user_id) as user_id,
+                case when event_id % 10 = 0 then null when event_id % 3 = 0 then event_id % 3600 else sec end as sec)
+            from f1),
+        timed as ({rolling('(select * from hot where sec is not null)', BOTH)}),
+        untimed as (select *, {UNTIMED} from hot where sec is null window w as (partition by user_id))
+        select {rolled(BOTH)} from timed union all select {rolled(BOTH)} from untimed""",
     "eval_auc_skewed": f"""with {F1},
         groups as (
             select if(event_id % 50 = 3, amount, 1.0::double) as score,

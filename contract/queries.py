@@ -753,11 +753,23 @@ def eval_auc_skewed(spark, sf_dir):
 
 @query
 def feat_roll_large_amounts(spark, sf_dir):
-    """Amounts far beyond the valid range are summed as numbers."""
+    """Amounts of any size beside cents: nothing is lost, and nothing stays behind."""
     e = F.col("event_id")
     rows = given.from_events(spark, sf_dir, "event_id")
-    large = F.when(e % 10 == 0, 1e15).when(e % 10 == 1, -2e15).when(e % 10 == 2, 5e17)
-    rolled = _rolled(rows.withColumn("amount", F.coalesce(large, F.col("amount"))), ["1h", "24h"])
-    return rolled.select(
-        "id", "u_txn_cnt_24h", F.round(F.col("u_amt_sum_24h") / 1e9, 3).alias("sum_24h_billions")
+    odd = F.when(e % 10 == 0, 1e300).when(e % 10 == 1, -1e300).when(e % 10 == 2, 1e-30).when(e % 10 == 3, 1e-17)
+    changed = F.when(e % 10 == 4, None).otherwise(F.coalesce(odd, F.col("amount")))
+    return _rolled(rows.withColumn("amount", changed), ["1h", "24h"])
+
+
+@query
+def feat_roll_hot_hour(spark, sf_dir):
+    """A third of all rows belongs to one user, within one hour; a tenth has no time."""
+    rows, e = given.from_events(spark, sf_dir, "event_id"), F.col("event_id")
+    hot = _with_seconds(_timed(rows)).select(
+        "transaction_id",
+        F.when(e % 3 == 0, 1000).otherwise(F.col("user_id")).alias("user_id"),
+        "amount",
+        F.when(e % 10 == 0, None).when(e % 3 == 0, e % 3600).otherwise(F.col("sec")).alias("sec"),
     )
+    rolled = rolling.add_rolling(hot, second="sec", method=rolling.BY_BLOCK, chunk_seconds=60)
+    return rolled.select(row_id(), *[c for c in rolled.columns if c.startswith("u_")])
