@@ -17,7 +17,7 @@ time) is the unit of work, called a cell. Three ways compute a cell:
                user's cells in order say what every cell starts with, and that is an event like the others,
                put before those of its cell. Rows are moved once, with a slim event for each span; nothing is
                joined back, and a user with a third of all rows is as many cells as there are hours. On
-               evenly spread rows this takes about twice as long as ``by_row``.
+               evenly spread rows this takes two to three times as long as ``by_row``.
 
 The way is the caller's choice, nothing is sized or switched at run time. Rows without a time are peers of each
 other and of no other row; ``by_block`` deals them out over ``SALTS`` cells, each starting with what the others
