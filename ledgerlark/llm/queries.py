@@ -31,7 +31,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_join.link(_table(spark, sf_dir, "documents"))
+    linked = similarity_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked.select("doc_id", "n_shingles", "component_id")
 
 
 def word_tokenizer() -> str:

@@ -1,14 +1,16 @@
 """Jaccard join of documents by word n-grams, with token-combination prefixes.
 
-A document's set holds the 64-bit hashes of its distinct shingles; the hashes also order them. If two
-sets of n and m elements share enough, the first ``n - ceil(t n) + k`` elements of each (the prefix,
-extended by k - 1) share at least k = 2. How many prefixes hold an element is counted over all documents.
-An element held by at most ``FREQUENT`` prefixes is indexed by itself, the others in combinations of two.
-So a pair of documents meets at an element of the first kind, or all its shared elements are of the second
-kind and it meets at a combination.
-
-1. Documents with equal sets form a class, of which the smallest doc_id stands for all.
-2. At every element the smallest document is a hub. Pairs of a document and a hub that meet at two
+A document's set holds the 64-bit hashes of its distinct shingles. All sets are put in one order, the rarest
+elements first: a sketch of ``CELLS`` counters, in which every document counts its elements, gives an
+element's frequency, and the hash decides among equals. Any order that is the same for all sets loses no pair;
+this one keeps what many documents share out of their prefixes. If two sets of n and m elements share
+enough, the first ``n - ceil(t n) + k`` elements of each (the prefix, extended by k - 1) share at least k = 2.
+How many prefixes hold an element is counted over all documents. An element held by at most ``FREQUENT``
+prefixes is indexed by itself, the others in combinations of two. So a pair of documents meets at an element
+of the first kind, or all its shared elements are of the second kind and it meets at a combination.
+
+1. Texts with equal sets form a class; joins work on classes, named by a hash of their sets.
+2. At every element the first class is a hub. Pairs of a document and a hub that meet at two
    elements or more are verified; what is linked is one component. That takes care of groups of copies,
    however large, with one pair a document.
 3. Elements whose documents are all in one component are done. At the others, and at combinations of the
@@ -19,10 +21,11 @@ kind and it meets at a combination.
    then at least a bit for every second element. The rest is verified on the whole sets.
 
 Defined results: a text of fewer words than a shingle has one shingle of all its words; a null text and one
-without words have an empty set, which is linked with nothing. Rows of one doc_id count as one document.
-A row with a null doc_id takes no part in the join and is its own component, null unless it equals another
-document. An empty table gives an empty table. Further columns of the input are not carried; join them
-by doc_id.
+without words have an empty set, which is linked with nothing. Every row is compared by its own text: rows of
+one doc_id with different texts may be in different components, and rows with a null doc_id take part like
+others. A component's id is its smallest doc_id that is not null, or null if it has none. An empty table gives
+an empty table. Further columns of the input are not carried; ``row0`` and ``row1``, hashes of doc_id and text,
+tell the rows apart (``row_keys``).
 """
 
 from collections.abc import Iterator
@@ -46,6 +49,8 @@ SENT = 200_000
 #: The short bitmap that travels with the keys: 512 bits.
 _MAP = [f"m{i}" for i in range(8)]
 BITS = 64 * len(_MAP)
+#: Counters of the sketch and how many of them travel in one piece. A counter is kept as its logarithm.
+CELLS, CELLS_AT_ONCE = 1 << 20, 1 << 16
 
 
 def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,27 +89,75 @@ def _differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def frequencies(docs: DataFrame, width: int) -> np.ndarray:
+    """A level for every counter of the sketch, higher for more frequent elements: one byte each."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(CELLS, np.int64)
+        for batch in pieces(batches):
+            values, _ = _sets(batch.column(0), width)
+            found += np.bincount((values & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+        # Counts of one task are cut at 16 bits; the sketch only orders.
+        parts = np.minimum(found, 65535).astype("<u2").reshape(-1, CELLS_AT_ONCE)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[part] = found.get(part, 0) + np.frombuffer(counts, "<u2").astype(np.int64)
+        levels = [np.minimum(8 * np.log2(c + 1.0), 255).astype(np.uint8).tobytes() for c in found.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(levels, pa.binary())], ["part", "levels"])
+
+    counts = docs.select("text").mapInArrow(counted, "part int, counts binary")
+    # One byte a counter comes to the driver, however many documents there are.
+    rows = counts.repartition("part").mapInArrow(summed, "part int, levels binary").collect()
+    levels = np.zeros((CELLS // CELLS_AT_ONCE, CELLS_AT_ONCE), np.uint8)
+    for r in rows:
+        levels[r.part] = np.frombuffer(r.levels, np.uint8)
+    return levels.ravel()
+
+
+def row_keys(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two hashes that tell rows with different ids or texts apart."""
+    return F.xxhash64(doc_id, text).alias("row0"), F.xxhash64(text, doc_id, F.lit(1)).alias("row1")
+
+
+def _classes_of(n: np.ndarray, marks: list[np.ndarray]) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mixed(mixed(marks[0] + n.astype(np.uint64)) ^ marks[1]).view(np.int64)
+
+
+def _marked(values: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Two sums of scattered elements of every set."""
+    with np.errstate(over="ignore"):
+        spread = mixed(values ^ np.uint64(0x5BD1E995)), mixed(values + np.uint64(0x1B873593))
+        sums = [np.concatenate(([np.uint64(0)], np.cumsum(s))) for s in spread]
+        return [s[at[1:]] - s[at[:-1]] for s in sums]
+
+
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document: size and 128-bit mark of its set, the bitmap and the extended prefix."""
+    """Per row: size and class of its set, the bitmap and the extended prefix."""
+    levels = docs.sparkSession.sparkContext.broadcast(frequencies(docs, width))
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             values, at = _sets(batch.column("text"), width)
             n, rows = np.diff(at), batch.num_rows
             of = np.repeat(np.arange(rows), n)
-            with np.errstate(over="ignore"):
-                spread = mixed(values ^ np.uint64(0x5BD1E995)), mixed(values + np.uint64(0x1B873593))
-                sums = [np.concatenate(([np.uint64(0)], np.cumsum(s))) for s in spread]
-                marks = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
+            classes = _classes_of(n, _marked(values, at))
             cell = of * BITS + (values & np.uint64(BITS - 1)).astype(np.int64)
             bits = np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8)).view("<i8").reshape(rows, len(_MAP))
             length = n - -(-percent * n // 100) + COMBINED
-            prefixes = [values[a : a + min(k, m)].tobytes() for a, k, m in zip(at, length, n)]
+            level = levels.value[(values & np.uint64(CELLS - 1)).astype(np.int64)]
+            rarest = values[np.lexsort((values, level, of))]
+            prefixes = [rarest[a : a + min(k, m)].tobytes() for a, k, m in zip(at, length, n)]
             maps = [_bitmap(values[a:b]) for a, b in zip(at, at[1:])]
-            columns = [batch.column("doc_id"), pa.array(n), pa.array(marks[0]), pa.array(marks[1]), *(pa.array(b) for b in bits.T.copy()), pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s0", "s1", *_MAP, "prefix", "map"])
+            own = [batch.column(c) for c in ("doc_id", "row0", "row1")]
+            columns = [*own, pa.array(n), pa.array(classes), *(pa.array(b) for b in bits.T.copy()), pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row0", "row1", "n", "doc", *_MAP, "prefix", "map"])
 
-    schema = "doc_id long, n long, s0 long, s1 long, " + ", ".join(f"{m} long" for m in _MAP) + ", prefix binary, map binary"
+    schema = "doc_id long, row0 long, row1 long, n long, doc long, " + ", ".join(f"{m} long" for m in _MAP) + ", prefix binary, map binary"
     return docs.mapInArrow(profiled, schema)
 
 
@@ -138,8 +191,8 @@ def _restricted(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that are alike enough, by their whole sets; ``maps`` has every document's
-    ``n`` and ``map``."""
+    """The pairs (``a``, ``b``) that are alike enough, by their whole sets; ``maps`` has every class's
+    ``n``, ``map`` and smallest ``doc_id``."""
 
     def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,14 +206,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, pe
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             values, at = _sets(batch.column("text"), width)
+            classes = _classes_of(np.diff(at), _marked(values, at))
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["id", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(classes), lists], ["id", "set"])
 
     first = pairs.join(maps.select(F.col("doc").alias("a"), F.col("n").alias("k"), F.col("map").alias("x")), "a")
     both = first.join(maps.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("map").alias("y")), "b")
     pairs = stored(both.mapInArrow(sifted, "a long, b long"), "join-pairs")
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "join-ids")
-    sets = stored(_restricted(docs, ids).mapInArrow(full, "id long, set array<long>").dropDuplicates(["id"]), "join-sets")
+    asked = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    ids = stored(maps.join(asked, "doc", "left_semi").select("doc_id").distinct(), "join-ids")
+    # A row without an id is read if any class has no other.
+    texts = _restricted(docs, ids.filter("doc_id is not null"))
+    if not ids.filter("doc_id is null").isEmpty():
+        texts = texts.unionByName(docs.filter("doc_id is null"))
+    sets = texts.mapInArrow(full, "id long, set array<long>").join(asked.withColumnRenamed("doc", "id"), "id", "left_semi")
+    sets = stored(sets.dropDuplicates(["id"]), "join-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
     whole = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
@@ -181,24 +241,24 @@ def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, doc_id: str = "doc_id") -> DataFrame:
-    """Rows ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable by links)."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text")
+    """Rows ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable by links), ``component``
+    (null for an empty set), ``row0`` and ``row1``."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text", *row_keys(F.col(doc_id), F.col("text")))
     profiles = stored(_profiles(docs, width, percent), "join-profiles")
-    marks = ["n", "s0", "s1"]
-    classes = profiles.filter("n > 0").groupBy(*marks).agg(F.min("doc_id").alias("doc"))
+    classes = profiles.filter("n > 0").groupBy("doc").agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes, "join-classes")
     # A smaller set is alike enough to an equal one only.
     least = -(-percent // (100 - percent)) if percent < 100 else None
-    single = classes.filter(F.col("n") >= least) if least else classes.limit(0)
-    profile = profiles.select(F.col("doc_id").alias("doc"), *marks, *_MAP, "prefix", "map").dropDuplicates(["doc", *marks])
-    standing = stored(profile.join(single, ["doc", *marks]).dropDuplicates(["doc"]), "join-standing")
+    single = profiles.filter(F.col("n") >= least) if least else profiles.limit(0)
+    standing = single.select("doc", "n", *_MAP, "prefix", "map").dropDuplicates(["doc"])
+    standing = stored(standing.join(classes, "doc"), "join-standing")
     entries = _entries(standing)
-    # Which element how many prefixes hold; the smallest document is its hub.
+    # Which element how many prefixes hold; the first class is its hub.
     held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("hub"))
     shared = stored(entries.join(held.filter("held > 1"), "key"), "join-entries")
     near = shared.filter(F.col("doc") != F.col("hub"))
     hubs = near.groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
-    maps = standing.select("doc", "n", "map")
+    maps = standing.select("doc", "n", "map", "doc_id")
     links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
     links = stored(links, "join-links")
     first = components(links)
@@ -215,7 +275,9 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     keyed = alone.unionByName(combined).join(described, "doc")
     more = _verified(docs, _candidates(keyed, percent), maps, width, percent)
     found = components(links.unionByName(more))
-    named = classes.join(found.withColumnRenamed("v", "doc"), "doc", "left")
-    named = named.select(*marks, F.coalesce("c", "doc").alias("component_id"))
-    rows = profiles.select("doc_id", *marks).join(named, marks, "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = classes.join(found.withColumnRenamed("v", "doc"), "doc", "left").withColumn("component", F.coalesce("c", "doc"))
+    least_id = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.select("doc", "component").join(least_id, "component")
+    rows = profiles.select("doc_id", "row0", "row1", F.col("n").alias("n_shingles"), "doc").join(named, "doc", "left")
+    lone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", lone.alias("component_id"), "component", "row0", "row1")

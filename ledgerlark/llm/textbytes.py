@@ -1,5 +1,6 @@
 """Texts of an Arrow batch as one byte array, for vectorised work inside tasks."""
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,10 @@ PIECE = 1 << 20
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a piece has at most ``most`` bytes of text (or one row) and ``rows`` rows."""
+    """The batches cut so that a piece has at most ``most`` bytes of text (or one row) and ``rows`` rows.
+
+    After the last one a reused worker gives back the memory it no longer needs.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -21,6 +25,10 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             to = min(max(at + 1, int(np.searchsorted(ends, done + most, "right"))), at + rows)
             yield batch.slice(at, to - at)
             at = to
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

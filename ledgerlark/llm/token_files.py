@@ -17,6 +17,7 @@ by their ids' bytes; null doc_ids come first. An empty table gives a folder with
 reads as an empty table. Columns other than the id and the text are not written.
 """
 
+import json
 import os
 import re
 import uuid
@@ -39,9 +40,8 @@ END_ID = 1
 FRAME_IDS = 1 << 20
 #: Documents of one file, about.
 FILE_ROWS = 8192
-#: Words whose ids a task remembers, and words that are encoded in one call.
-REMEMBERED = 600_000
-CALL = 1000
+#: Words whose ids a task remembers, besides those of one text.
+REMEMBERED = 250_000
 LEVEL = 3
 
 # Fixed values of the seekable format.
@@ -54,46 +54,86 @@ ENTRY = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 PLACE = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frames", "<u4")])
 
 
-#: Words that the tokenizer's rules leave as they are but for their case: printable ASCII without digits
-#: and apostrophes. It cuts them between letters and other characters.
-_PLAIN = re.compile(r"[!-&(-/:-~]+")
-_PARTS = re.compile(r"[a-z]+|[^a-z]+")
+#: Rules of a tokenizer file under which a text's ids are those of its words in a row. Fixed values.
+LETTERS_NUMBERS_SIGNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+BY_WORD = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": LETTERS_NUMBERS_SIGNS}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+#: Words that those rules leave as they are but for their case: printable ASCII without digits and apostrophes,
+#: and letters of Latin scripts in one code point. They are cut between letters and other characters.
+_LATIN = "À-ÖØ-öø-įı-ɏ"
+_PLAIN = re.compile(f"[!-&(-/:-~{_LATIN}]+")
+_PARTS = re.compile(f"[a-z{_LATIN}]+|[^a-z{_LATIN}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in vocabularies on bytes: itself if it can be printed, else
+    the next one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_BYTES = _byte_letters()
 
 
 class WordIds(dict):
-    """The ids, as bytes, of texts without spaces and line breaks.
+    """The ids, as bytes, of texts; of words, which are remembered, if the tokenizer's rules allow that.
 
-    The tokenizer works on words between white space, so a text's ids are those of its words in a row.
-    Other white space stays inside a word and is left to the tokenizer. Plain words go straight to the
-    tokenizer's model, all others (and what may hold a special token) through all of its steps.
+    Under ``BY_WORD`` a text's ids are those of its words between white space. Spaces and line breaks are
+    cut at, other white space stays inside a word. Plain words go straight to the tokenizer's model, all
+    others (and what may hold a special token) through all of its steps. A tokenizer with other rules gets
+    whole texts.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._dtype = Tokenizer.from_file(path), dtype
-
-    def _learn(self, new: set[str]) -> None:
-        model, kind = self._tokenizer.model.tokenize, "H" if self._dtype == "<u2" else "I"
-        others = []
-        for word in new:
-            if _PLAIN.fullmatch(word) and "<|" not in word:
-                ids = array(kind, [t.id for part in _PARTS.findall(word.lower()) for t in model(part)])
-                self[word] = ids.tobytes()
-            else:
-                others.append(word)
-        for i in range(0, len(others), CALL):
-            part = others[i : i + CALL]
-            for word, found in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[word] = np.array(found.ids, self._dtype).tobytes()
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self._whole = any(rules.get(part) != wanted for part, wanted in BY_WORD.items())
+        self._tokenizer, self._dtype, self._kind = Tokenizer.from_file(path), dtype, "H" if dtype == "<u2" else "I"
+        self._model = self._tokenizer.model.tokenize
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._dtype).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            parts = _PARTS.findall(word.lower())
+            if not word.isascii():
+                parts = [p.encode().decode("latin-1").translate(_BYTES) for p in parts]
+            ids = array(self._kind, [t.id for part in parts for t in self._model(part)]).tobytes()
+        else:
+            ids = self._encoded(word)
+        self[word] = ids
+        return ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) > REMEMBERED:
-            self.clear()
-        self._learn(set().union(*split) - self.keys())
-        end, ids_of = np.array([END_ID], self._dtype).tobytes(), self.__getitem__
-        return [b"".join(map(ids_of, words)) + end for words in split]
+        end, ids_of, found = np.array([END_ID], self._dtype).tobytes(), self.__getitem__, []
+        for text in texts:
+            if self._whole:
+                found.append(self._encoded(text) + end)
+                continue
+            if len(self) > REMEMBERED:
+                self.clear()
+            found.append(b"".join(map(ids_of, text.replace("\n", " ").split(" "))) + end)
+        return found
 
 
 def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", wide: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from ledgerlark.llm import similarity_join
 from ledgerlark.llm.components import components
 from ledgerlark.llm.similarity_join import link
 
@@ -77,10 +78,29 @@ def test_hot_group_of_near_copies(spark):
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):
-    rows = [(1, "a b c d", 0, 0), (1, "a b c d", 0, 0), (None, "q r s", 0, 0), (None, None, 0, 0), (7, "A b c d", 0, 0)]
-    got = [(r.doc_id, r.n_shingles, r.component_id) for r in link(spark.createDataFrame(rows, SCHEMA)).collect()]
-    assert sorted(got, key=str) == sorted([(1, 2, 1), (1, 2, 1), (7, 2, 1), (None, 1, None), (None, 0, None)], key=str)
+    long = " ".join(f"t{i}" for i in range(60))
+    rows = [(1, "a b c d"), (1, "a b c d"), (None, "q r s"), (None, None), (7, "A b c d"), (None, "d e f g"), (5, "d E f g")]
+    # One id, two texts: each is compared. Copies among rows without an id, near ones too.
+    rows += [(9, long), (9, "u v w x"), (8, "u v W x"), (None, long + " end"), (None, "solo " + long), (None, long)]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in link(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)).collect()]
+    wanted = [(1, 2, 1), (1, 2, 1), (7, 2, 1), (None, 1, None), (None, 0, None), (None, 2, 5), (5, 2, 5)]
+    wanted += [(9, 58, 9), (9, 2, 8), (8, 2, 8), (None, 59, 9), (None, 59, 9), (None, 58, 9)]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
     assert link(spark.createDataFrame([], SCHEMA)).count() == 0
+    nameless = link(spark.createDataFrame([(None, long, 0, 0), (None, long + " end", 0, 0), (None, "x y z", 0, 0)], SCHEMA)).collect()
+    assert all(r.component_id is None for r in nameless) and len({r.component for r in nameless}) == 2
+
+
+def test_shared_boilerplate_makes_few_candidates(spark):
+    rng = random.Random(6)
+    plate = " ".join(f"legal{i}" for i in range(40))
+    docs = [(i, plate + " " + " ".join(f"v{rng.randrange(10**6)}" for _ in range(150))) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    profiles = similarity_join._profiles(df.select("doc_id", "text", *similarity_join.row_keys(F.col("doc_id"), F.col("text"))), 3, 90)
+    held = similarity_join._entries(profiles).groupBy("key").count()
+    # By hash alone some key holds all 600; what all share stands last, behind a prefix's end.
+    assert held.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).head()[0] < 600
+    assert link(df).filter("doc_id <> component_id").count() == 0
 
 
 def test_components_of_a_long_chain(spark):

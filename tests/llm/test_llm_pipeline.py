@@ -57,6 +57,14 @@ def test_stages(spark):
     said = corpus_pipeline.identify_language(spark, docs.union(odd.filter("doc_id < 3")).filter("doc_id < 50 or text is null or text = '12'"), SF)
     assert said.filter("text is null or text = '12'").count() == 0
     assert corpus_pipeline.drop_near_copies(spark, odd, SF).count() == 3
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, long), (1, "other words stand here now"), (2, long + " end"), (None, long), (None, "alone in the world today"), (4, " ")]
+    rows += [(None, "alone in the world today"), (5, ""), (5, "")]
+    several = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], docs.schema)
+    stay = corpus_pipeline.drop_near_copies(spark, several, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in stay) == sorted(
+        [("1", long), ("1", rows[1][1]), ("None", rows[4][1]), ("4", " "), ("5", ""), ("5", "")]
+    )
     one_each = corpus_pipeline.drop_near_copies(spark, docs, SF)
     texts = [t for _, t in table]
     assert one_each.select("doc_id").distinct().count() == one_each.count() <= len(set(texts))

@@ -69,3 +69,30 @@ def test_empty_table(spark):
     folder = fresh_dir(spark, "tokens-empty")
     token_files.write(spark.createDataFrame([], SCHEMA), folder, word_tokenizer())
     assert token_files.read(spark, folder).count() == 0
+
+
+def test_words_stand_for_texts_only_under_known_rules():
+    """Ids of whole texts, for a tokenizer whose words can be encoded apart and for one whose cannot."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    letters = "abcXYZ éÉßñÅǅ İıſ ŉ  ' .,!?-_ 0123 \t\n\x0b\u0301\u00a0漢字 αΣς ẞɏɎ µªº <|>"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    texts += ["<|endoftext|> x<|startoftext|>y", "don't WE'LL it's", "", " "]
+    for name, whole in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = public_tokenizers.path(name)
+        ids, tokenizer = token_files.WordIds(path, "<u4"), Tokenizer.from_file(path)
+        assert ids._whole is whole
+        for text, found in zip(texts, ids.texts(texts)):
+            assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], text
+
+
+def test_few_words_are_remembered(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 10)
+    ids = token_files.WordIds(public_tokenizers.path("word_bpe_49k.json"), "<u2")
+    texts = [f"one{i} two{i} three" for i in range(50)]
+    again = token_files.WordIds(public_tokenizers.path("word_bpe_49k.json"), "<u2")
+    assert ids.texts(texts) == [again.texts([t])[0] for t in texts] and len(ids) <= 13
