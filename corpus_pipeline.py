@@ -5,7 +5,7 @@ test items go, sources are mixed to their target weights (a document may then ap
 what is left is written as token ids and read back.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import decontaminate, language, mixing, similarity_join
@@ -26,12 +26,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, once. Null ids stay."""
-    linked = similarity_join.link(docs, SHINGLE, PERCENT)
-    copies = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(copies, "doc_id", "left_anti")
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return left.withColumn("_n", again).filter("_n = 1 or doc_id is null").select(*docs.columns)
+    """One row of each group: the one with the smallest doc_id, of several the one with the smallest hash.
+
+    Texts without a word belong to no group and stay.
+    """
+    linked = similarity_join.link(docs, SHINGLE, PERCENT).filter(F.col("component").isNotNull())
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row0", "row1")
+    first = linked.groupBy("component").agg(F.min(order).alias("first"))
+    first = first.select("component", F.col("first.row0").alias("first0"), F.col("first.row1").alias("first1"))
+    stays = (F.col("row0") == F.col("first0")) & (F.col("row1") == F.col("first1"))
+    rows = linked.groupBy("component", "row0", "row1").agg(F.count(F.lit(1)).alias("times")).join(first, "component")
+    # Rows that go, and those that stay but are there several times.
+    marks = rows.select("row0", "row1", stays.alias("_stays"), "times").filter("not _stays or times > 1").drop("times")
+    found = docs.select("*", *similarity_join.row_keys(F.col("doc_id"), F.col("text"))).join(marks, ["row0", "row1"], "left")
+    once = found.filter("_stays").dropDuplicates(["row0", "row1"])
+    return found.filter("_stays is null").unionByName(once).select(*docs.columns)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
