@@ -4,10 +4,12 @@ A document's set holds the 64-bit hashes of its distinct shingles. All sets are
 elements first: a sketch of ``CELLS`` counters, in which every document counts its elements, gives an
 element's frequency, and the hash decides among equals. Any order that is the same for all sets loses no pair;
 this one keeps what many documents share out of their prefixes. If two sets of n and m elements share
-enough, the first ``n - ceil(t n) + k`` elements of each (the prefix, extended by k - 1) share at least k = 2.
-How many prefixes hold an element is counted over all documents. An element held by at most ``FREQUENT``
-prefixes is indexed by itself, the others in combinations of two. So a pair of documents meets at an element
-of the first kind, or all its shared elements are of the second kind and it meets at a combination.
+enough, the first ``n - ceil(t n) + k`` elements of each (the prefix, extended by k - 1) share at least k =
+``SHARED``. How many prefixes hold an element is counted over all documents. An element held by at most
+``FREQUENT`` prefixes is indexed by itself, the others in combinations of two from one of k - 1 groups, into
+which the hash deals them. So a pair of documents meets at an element of the first kind, or it shares k of the
+second kind, two of them in one group, and meets at that combination. Sets so small that they may share fewer
+than k are indexed with all combinations.
 
 1. Texts with equal sets form a class; joins work on classes, named by a hash of their sets.
 2. At every element the first class is a hub. Pairs of a document and a hub that meet at two
@@ -42,7 +44,8 @@ from ledgerlark.session import stored
 
 SHINGLE = 3
 PERCENT = 90
-COMBINED = 2
+#: Elements of a combination, elements that extended prefixes share, prefixes that hold a rare element.
+COMBINED, SHARED = 2, 8
 FREQUENT = 64
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
@@ -148,7 +151,7 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
             classes = _classes_of(n, _marked(values, at))
             cell = of * BITS + (values & np.uint64(BITS - 1)).astype(np.int64)
             bits = np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8)).view("<i8").reshape(rows, len(_MAP))
-            length = n - -(-percent * n // 100) + COMBINED
+            length = n - -(-percent * n // 100) + SHARED
             level = levels.value[(values & np.uint64(CELLS - 1)).astype(np.int64)]
             rarest = values[np.lexsort((values, level, of))]
             prefixes = [rarest[a : a + min(k, m)].tobytes() for a, k, m in zip(at, length, n)]
@@ -228,6 +231,14 @@ def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, pe
     return linked.filter(F.col("both") * 100 >= (F.col("sum") - F.col("both")) * percent).select("a", "b")
 
 
+def _combined(often: DataFrame, group: Column) -> DataFrame:
+    """Combinations of two of a document's elements from one group, as keys."""
+    one = often.select("doc", "n", "key", group.alias("group"))
+    two = one.select("doc", "group", F.col("key").alias("other"))
+    both = one.join(two, ["doc", "group"]).filter(F.col("key") < F.col("other"))
+    return both.select(F.xxhash64("key", "other", "group").alias("key"), "doc", "n")
+
+
 def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different components (``c``) that share a key and pass both filters."""
     each = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
@@ -247,6 +258,8 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     profiles = stored(_profiles(docs, width, percent), "join-profiles")
     classes = profiles.filter("n > 0").groupBy("doc").agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes, "join-classes")
+    # From this size on sets that are alike enough share SHARED elements.
+    enough = -(-100 * SHARED // percent)
     # A smaller set is alike enough to an equal one only.
     least = -(-percent // (100 - percent)) if percent < 100 else None
     single = profiles.filter(F.col("n") >= least) if least else profiles.limit(0)
@@ -268,10 +281,11 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "held")
     still = stored(still, "join-open")
     alone = still.filter(F.col("held") <= frequent).select("key", "doc")
-    often = still.filter(F.col("held") > frequent).select("key", "doc")
-    other = often.select(F.col("key").alias("other"), "doc")
-    combined = often.join(other, "doc").filter(F.col("key") < F.col("other"))
-    combined = combined.select(F.xxhash64("key", "other").alias("key"), "doc")
+    often = still.filter(F.col("held") > frequent).select("key", "doc").join(described.select("doc", "n"), "doc")
+    combined = _combined(often, F.pmod("key", F.lit(SHARED - 1))).filter(F.col("n") >= enough)
+    # A pair with a set below that has none beyond the second bound.
+    few = _combined(often.filter(F.col("n") < -(-100 * enough // percent) + 1), F.lit(-1))
+    combined = combined.unionByName(few).select("key", "doc")
     keyed = alone.unionByName(combined).join(described, "doc")
     more = _verified(docs, _candidates(keyed, percent), maps, width, percent)
     found = components(links.unionByName(more))
