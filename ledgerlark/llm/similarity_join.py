@@ -5,7 +5,7 @@ elements first: a sketch of ``CELLS`` counters, in which every document counts i
 element's frequency, and the hash decides among equals. Any order that is the same for all sets loses no pair;
 this one keeps what many documents share out of their prefixes. If two sets of n and m elements share
 enough, the first ``n - ceil(t n) + k`` elements of each (the prefix, extended by k - 1) share at least k =
-``SHARED``. How many prefixes hold an element is counted over all documents. An element held by at most
+``SHARED``; the smaller set's prefix needs to be no longer than ``n - ceil(2 t n / (1 + t)) + k``. How many prefixes hold an element is counted over all documents. An element held by at most
 ``FREQUENT`` prefixes is indexed by itself, the others in combinations of two from one of k - 1 groups, into
 which the hash deals them. So a pair of documents meets at an element of the first kind, or it shares k of the
 second kind, two of them in one group, and meets at that combination. Sets so small that they may share fewer
@@ -164,18 +164,21 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(profiled, schema)
 
 
-def _entries(profiles: DataFrame) -> DataFrame:
-    """One row per document and element of its extended prefix."""
+def _entries(profiles: DataFrame, percent: int) -> DataFrame:
+    """One row per class and element of its extended prefix; ``early`` elements are those that a set must
+    share with any that is not smaller: of two sets, the smaller one's prefix may be shorter."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "prefix"):
             found = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
-            many = np.array([len(f) for f in found], int)
-            at = pa.array(np.repeat(np.arange(len(many)), many))
+            many, n = np.array([len(f) for f in found], int), batch.column("n").to_numpy()
+            at = np.repeat(np.arange(len(many)), many)
+            place = np.arange(len(at)) - np.concatenate(([0], np.cumsum(many)))[at]
+            early = place < (n - -(-2 * percent * n // (100 + percent)) + SHARED)[at]
             key = np.concatenate([*found, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("doc").take(at)], ["key", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("doc").take(pa.array(at)), pa.array(early)], ["key", "doc", "early"])
 
-    return profiles.select("doc", "prefix").mapInArrow(listed, "key long, doc long")
+    return profiles.select("doc", "n", "prefix").mapInArrow(listed, "key long, doc long, early boolean")
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -233,10 +236,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, pe
 
 def _combined(often: DataFrame, group: Column) -> DataFrame:
     """Combinations of two of a document's elements from one group, as keys."""
-    one = often.select("doc", "n", "key", group.alias("group"))
-    two = one.select("doc", "group", F.col("key").alias("other"))
+    one = often.select("doc", "n", "key", "early", group.alias("group"))
+    two = one.select("doc", "group", F.col("key").alias("other"), F.col("early").alias("too"))
     both = one.join(two, ["doc", "group"]).filter(F.col("key") < F.col("other"))
-    return both.select(F.xxhash64("key", "other", "group").alias("key"), "doc", "n")
+    return both.select(F.xxhash64("key", "other", "group").alias("key"), "doc", (F.col("early") & F.col("too")).alias("early"), "n")
 
 
 def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
@@ -246,7 +249,9 @@ def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
     mixed_keys = keyed.join(main.filter("parts > 1").drop("parts"), "key")
     x, y = mixed_keys.filter("c <> main").alias("x"), mixed_keys.alias("y")
     once = (F.col("x.doc") < F.col("y.doc")) | (F.col("y.c") == F.col("y.main"))
-    met = [F.col("x.key") == F.col("y.key"), F.col("x.c") != F.col("y.c"), once, _near_sizes(F.col("x.n"), F.col("y.n"), percent), _near_maps("x", "y", percent)]
+    smaller = F.struct("x.n", "x.doc") < F.struct("y.n", "y.doc")
+    early = F.when(smaller, F.col("x.early")).otherwise(F.col("y.early"))
+    met = [F.col("x.key") == F.col("y.key"), F.col("x.c") != F.col("y.c"), once, early, _near_sizes(F.col("x.n"), F.col("y.n"), percent), _near_maps("x", "y", percent)]
     pairs = x.join(y, met)
     return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
@@ -265,7 +270,7 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     single = profiles.filter(F.col("n") >= least) if least else profiles.limit(0)
     standing = single.select("doc", "n", *_MAP, "prefix", "map").dropDuplicates(["doc"])
     standing = stored(standing.join(classes, "doc"), "join-standing")
-    entries = _entries(standing)
+    entries = _entries(standing, percent)
     # Which element how many prefixes hold; the first class is its hub.
     held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("hub"))
     shared = stored(entries.join(held.filter("held > 1"), "key"), "join-entries")
@@ -278,14 +283,14 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     described = standing.select("doc", "n", *_MAP).join(first.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     # Elements at which two components meet.
     open_keys = shared.join(described.select("doc", "c"), "doc").groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "held")
+    still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "early", "held")
     still = stored(still, "join-open")
-    alone = still.filter(F.col("held") <= frequent).select("key", "doc")
-    often = still.filter(F.col("held") > frequent).select("key", "doc").join(described.select("doc", "n"), "doc")
+    alone = still.filter(F.col("held") <= frequent).select("key", "doc", "early")
+    often = still.filter(F.col("held") > frequent).select("key", "doc", "early").join(described.select("doc", "n"), "doc")
     combined = _combined(often, F.pmod("key", F.lit(SHARED - 1))).filter(F.col("n") >= enough)
     # A pair with a set below that has none beyond the second bound.
     few = _combined(often.filter(F.col("n") < -(-100 * enough // percent) + 1), F.lit(-1))
-    combined = combined.unionByName(few).select("key", "doc")
+    combined = combined.unionByName(few).select("key", "doc", "early")
     keyed = alone.unionByName(combined).join(described, "doc")
     more = _verified(docs, _candidates(keyed, percent), maps, width, percent)
     found = components(links.unionByName(more))

@@ -97,7 +97,7 @@ def test_shared_boilerplate_makes_few_candidates(spark):
     docs = [(i, plate + " " + " ".join(f"v{rng.randrange(10**6)}" for _ in range(150))) for i in range(600)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     profiles = similarity_join._profiles(df.select("doc_id", "text", *similarity_join.row_keys(F.col("doc_id"), F.col("text"))), 3, 90)
-    held = similarity_join._entries(profiles).groupBy("key").count()
+    held = similarity_join._entries(profiles, 90).groupBy("key").count()
     # By hash alone some key holds all 600; what all share stands last, behind a prefix's end.
     assert held.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).head()[0] < 600
     assert link(df).filter("doc_id <> component_id").count() == 0
