@@ -30,7 +30,7 @@ from ledgerlark.llm.textbytes import WHITE, flat, owner, pieces, words
 
 EXAMPLES = 1500
 CHUNK = 64
-STEPS, RATE, PENALTY = 150, 0.1, 1e-3
+STEPS, RATE, PENALTY = 400, 0.1, 1e-4
 
 #: Bytes by kind; each becomes a share of the line's bytes that are not white space.
 KINDS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:", "!?", "#$%&*", "|<>{}[]()/\\=+~^_@`\"'-")
@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str =
     ]
     chosen = parts[0].unionByName(parts[1]).groupBy("_id").agg(F.min("_label").alias("_label"))
     # At most 2 * most rows, so they go to the texts and not the other way round.
-    rows = docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_id")).select(F.col("_label").cast("int").alias("label"), "text")
+    texts = docs.select(F.col(doc_id).alias("_doc"), "text")
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select(F.col("_label").cast("int").alias("label"), "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

@@ -9,6 +9,12 @@ those that go with the grade most clearly are kept, at most ``FEATURES``.
 typical words than the median of labelled texts and 1 otherwise. Typical words are those whose share among
 labelled texts exceeds their share among the others by 0.1 or more.
 
+A text is toxic if its chance of grade 1 or more reaches a cut. Likelihood alone leaves the cut too high where
+toxic texts are few, so it is placed by texts that were not learned from: each of ``FOLDS`` parts of the examples
+is judged by a model of the others, and of all cuts that leave at least ``CLEAN`` of the examples of grade 0
+alone it is the one at which the shares of toxic ones found and of clean ones left alone add up to the most. It
+is never above one half, and is one half where there are too few examples of one of the labels.
+
 The fit uses at most ``EXAMPLES`` labelled texts of each label, those with the smallest hash of the id; the
 driver receives at most that many lists of hash cells. The scores cover every whole text.
 
@@ -32,8 +38,10 @@ from ledgerlark.llm.textbytes import NOT_LETTER, flat, owner, pieces, words
 CELL_BITS = 20
 EXAMPLES = 3000
 FEATURES = 2000
-#: A feature must occur in so many examples.
-LEAST = 4
+#: A feature must occur in so many examples, and its mean grade differ by so many standard errors.
+LEAST, CLEAR = 3, 2.5
+#: Parts of the examples that place the cut, and the least share of clean ones that it leaves alone.
+FOLDS, CLEAN = 5, 0.95
 STEPS, RATE, PENALTY = 300, 0.1, 1e-3
 
 
@@ -53,6 +61,8 @@ class Grades:
     kept: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    #: Log odds of grade 1 or more from which on a text is toxic.
+    cut: float = 0.0
 
 
 def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, label: str, most: int) -> DataFrame:
@@ -63,8 +73,9 @@ def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, label: str, most: i
         for v in (0, 1)
     ]
     chosen = parts[0].unionByName(parts[1]).groupBy("_id").agg(F.max("_label").alias("_label"))
+    texts = docs.select(F.col(doc_id).alias("_doc"), "text")
     # At most 2 * most rows, so they go to the texts and not the other way round.
-    return docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_id")).select(F.col("_label").cast("int").alias("label"), "text")
+    return texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select(F.col("_label").cast("int").alias("label"), "text")
 
 
 def graded(seen: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -87,7 +98,7 @@ def _select(seen: list[np.ndarray], grade: np.ndarray, most: int) -> np.ndarray:
     strength = np.abs(total - count * grade.mean()) / (spread * np.sqrt(np.maximum(count, 1)))
     strength[count < LEAST] = 0
     best = np.argsort(-strength, kind="stable")[:most]
-    return np.sort(best[strength[best] > 3])
+    return np.sort(best[strength[best] > CLEAR])
 
 
 def train(seen: list[np.ndarray], grade: np.ndarray, most: int = FEATURES) -> Grades:
@@ -124,6 +135,38 @@ def train(seen: list[np.ndarray], grade: np.ndarray, most: int = FEATURES) -> Gr
     return Grades(kept, p[: len(kept)], p[len(kept)] + np.concatenate(([0], np.cumsum(np.exp(p[len(kept) + 1 :])))))
 
 
+def _log_odds(model: Grades, seen: list[np.ndarray]) -> np.ndarray:
+    weight = np.zeros(1 << CELL_BITS)
+    weight[model.kept] = model.weights
+    return np.array([weight[s].sum() for s in seen]) - model.thresholds[0]
+
+
+def place_cut(seen: list[np.ndarray], toxic: np.ndarray, folds: int = FOLDS, clean: float = CLEAN) -> float:
+    """The log odds that part toxic from clean examples best, each judged by a model that did not see it."""
+    part = np.empty(len(seen), int)
+    for y in (0, 1):
+        own = np.flatnonzero(toxic == y)
+        part[own] = np.arange(len(own)) % folds
+        if len(own) < 2 * folds:
+            return 0.0
+    odds = np.empty(len(seen))
+    for f in range(folds):
+        rest = np.flatnonzero(part != f)
+        learned = [seen[k] for k in rest]
+        model = train(learned, graded(learned, toxic[rest]))
+        held = np.flatnonzero(part == f)
+        odds[held] = _log_odds(model, [seen[k] for k in held])
+    below, above = np.sort(odds[toxic == 0]), np.sort(odds[toxic == 1])
+    left = np.searchsorted(below, above, "left")
+    found = 1 - np.arange(len(above)) / len(above)
+    sums = np.where(left >= clean * len(below), left / len(below) + found, -1)
+    best = int(np.argmax(sums))
+    if sums[best] < 0:
+        return min(0.0, float(np.quantile(below, clean)))
+    # Half way to the next clean example below.
+    return min(0.0, float((above[best] + (below[left[best] - 1] if left[best] else above[best])) / 2))
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic", most: int = EXAMPLES) -> Grades | None:
     """The model of a 0/1 label, or None without examples of both values."""
 
@@ -139,12 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str =
     toxic, seen = np.array([r[0] for r in rows], int), [np.frombuffer(r[1], np.int32).astype(np.int64) for r in rows]
     if len(set(toxic)) < 2:
         return None
-    return train(seen, graded(seen, toxic))
+    model = train(seen, graded(seen, toxic))
+    model.cut = place_cut(seen, toxic)
+    return model
 
 
 def rate(docs: DataFrame, model: Grades | None) -> DataFrame:
-    """The documents with ``severity`` (expected grade), ``grade`` (most likely) and ``toxic`` (grade 1
-    or more is likelier than not)."""
+    """The documents with ``severity`` (expected grade), ``grade`` (most likely) and ``toxic`` (the
+    chance of grade 1 or more reaches the cut)."""
     own = {"severity": T.DoubleType(), "grade": T.IntegerType(), "toxic": T.BooleanType()}
     docs = docs.drop(*[c for c in own if c in docs.columns])
     if model is None:
@@ -161,7 +206,7 @@ def rate(docs: DataFrame, model: Grades | None) -> DataFrame:
             chance = 1 / (1 + np.exp(np.clip(model.thresholds - s[:, None], -30, 30)))
             whole = np.concatenate([np.ones((len(s), 1)), chance, np.zeros((len(s), 1))], 1)
             grade = np.argmax(whole[:, :-1] - whole[:, 1:], 1).astype(np.int32)
-            found = [pa.array(chance.sum(1)), pa.array(grade), pa.array(chance[:, 0] >= 0.5)]
+            found = [pa.array(chance.sum(1)), pa.array(grade), pa.array(s - model.thresholds[0] >= model.cut)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names)
 
     return docs.mapInArrow(score, schema)

@@ -45,16 +45,23 @@ def test_unlearned_languages_are_rejected(spark, tables):
 def test_quality_held_out(spark, tables):
     got = QUERIES["op8_quality"](spark, SF).join(tables["labels"], "doc_id").filter("held_out")
     right = got.agg(F.avg((F.col("quality") == F.col("predicted")).cast("int"))).head()[0]
-    assert right > 0.95
+    assert right > 0.98
 
 
 def test_toxicity(spark, tables):
     got = QUERIES["op10_toxicity"](spark, SF)
     assert got.count() == 1000 and got.filter("severity < 0 or severity > 2").count() == 0
-    judged = got.withColumnRenamed("toxic", "said").join(tables["labels"], "doc_id")
-    rates = {r.toxic: r[1] for r in judged.groupBy("toxic").agg(F.avg(F.col("said").cast("int"))).collect()}
-    # 51 toxic examples at this size, of which 0.78 are found; 0.94 of them are found on a table 50 times as large.
-    assert rates[1] > 0.75 and rates[0] < 0.02
+
+
+def test_toxicity_held_out(spark):
+    """Learned from half of the labels, judged by the other half."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
+    model = toxicity.fit(docs, labels.filter(half))
+    said = toxicity.rate(docs.withColumn("severity", F.lit("clash")).withColumn("_id", F.lit(1)), model).withColumnRenamed("toxic", "said")
+    judged = said.join(labels.filter(~half), "doc_id").groupBy("toxic").agg(F.avg(F.col("said").cast("int")))
+    rates = {r.toxic: r[1] for r in judged.collect()}
+    assert rates[1] >= 0.9 and rates[0] <= 0.05
 
 
 def test_odd_rows_and_no_examples(spark, tables):
