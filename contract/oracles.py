@@ -168,6 +168,24 @@ UNTIMED = ", ".join(
 
 both_f1 = f"with {F1} select {rolled(BOTH)} from ({rolling('f1', BOTH)})"
 
+
+
+def best_split(name: str, rows: str, side: str) -> str:
+    """The split with the largest gain of each side of ``rows``, with the sums left and right of it."""
+    return f"""{name}_cuts as (
+            select {side} as side, f, c,
+                sum(g) filter (x <= c) as gl, sum(h) filter (x <= c) as hl,
+                coalesce(sum(g) filter (x > c), 0) as gr, coalesce(sum(h) filter (x > c), 0) as hr
+            from (select *, 0 as f, a as x from {rows} union all select *, 1, b from {rows})
+            join (select distinct 0 as f, a as c from {rows} union all select distinct 1, b from {rows}) using (f)
+            group by 1, 2, 3),
+        {name} as (
+            select * from (
+                select *, gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1) as gain
+                from {name}_cuts where hl >= 1 and hr >= 1)
+            where gain > 1e-9 qualify row_number() over (partition by side order by gain desc, f, c) = 1)"""
+
+
 ORACLES |= {
     "feat_roll_1h": f"with {F1} select {rolled(['1h'])} from ({rolling('f1', ['1h'])})",
     "feat_roll_24h": f"with {F1} select {rolled(['24h'])} from ({rolling('f1', ['24h'])})",
@@ -195,7 +213,9 @@ faulty as (
     case when event_id % 23 = 0 then 'usd' when event_id % 29 = 0 then 'USD' || chr(10)
       else 'USD' end as currency,
     merchant,
-    if(event_id % 41 = 0, 'not a time', "timestamp") as "timestamp",
+    case when event_id % 41 = 0 then 'not a time' when event_id % 59 = 0 then '2024'
+      when event_id % 61 = 0 then '12:30:00' when event_id % 67 = 0 then '2024-01-01' else "timestamp" end
+      as "timestamp",
     case when event_id % 31 = 0 then 'us' when event_id % 37 = 0 then null else location end
       as location,
     case when event_id % 43 = 0 then 2 when event_id % 47 = 0 then null else is_fraud end
@@ -217,7 +237,8 @@ PATTERN_FAULTS = [
 TIME_FAULTS = [
     (
         "timestamp: date-time",
-        '"timestamp" is not null and try_cast("timestamp" as timestamptz) is null',
+        '''"timestamp" is not null
+            and (try_cast("timestamp" as timestamptz) is null or "timestamp" not like '____-__-__T__:__:%')''',
     )
 ]
 REQUIRED_FAULTS = [(f"{c}: required", f'"{c}" is null') for c in REQUIRED]
@@ -258,7 +279,7 @@ odd as (
       if(event_id % 13 = 0, null, '"user_id":'
         || case when event_id % 17 = 0 then '"' || event_id || '"' when event_id % 19 = 0
            then 'true' when event_id % 23 = 0 then '1000.5' else '' || user_id end),
-      '"amount":' || if(event_id % 29 = 0, 'null', '' || amount),
+      '"amount":' || case when event_id % 29 = 0 then 'null' when event_id % 73 = 0 then 'NaN' else '' || amount end,
       '"currency":' || if(event_id % 31 = 0, '["USD"]', '"' || currency || '"'),
       if(event_id % 37 = 0, null, '"merchant":'
         || if(event_id % 41 = 0, 'null', '"' || merchant || '"')),
@@ -268,7 +289,14 @@ odd as (
         else '' || is_fraud end) || '}}' end as raw_json
   from f1
 ),
-doc as (select id, if(json_valid(raw_json), raw_json::json, null) as d from odd)"""
+-- NaN and repeated keys are valid for this parser, text after the object is not put in here.
+doc as (
+  select id, (id % 79 = 0 and id % 59 > 0 and id % 61 > 0 and id % 67 > 0 and id % 71 > 0
+      and (id % 73 > 0 or id % 29 = 0)) as repeated,
+    if(json_valid(raw_json) and not repeated
+       and (id % 73 > 0 or id % 29 = 0 or id % 61 = 0)
+       and (id % 61 = 0 or (id % 67 > 0 and id % 71 > 0 and id % 83 > 0)), raw_json::json, null) as d
+  from odd)"""
 
 KINDS = {
     "transaction_id": "string",
@@ -305,13 +333,13 @@ TYPED = ", ".join(
     + f', null) as "{c}"'
     for c, k in KINDS.items()
 )
-JSON_ERRORS = f"""case when d is null then ['not JSON']
+JSON_ERRORS = f"""case when repeated then ['repeated key'] when d is null then ['not JSON']
     when json_type(d) <> 'OBJECT' then ['not an object']
     else {listed(JSON_REQUIRED + TYPE_FAULTS + RANGE_FAULTS + PATTERN_FAULTS + TIME_FAULTS)} end"""
 
 ORACLES |= {
     "check_types": f"with {ODD} select id, {passes(TYPE_FAULTS)} as ok from doc",
-    "check_json_quarantine": f"""with {ODD}, typed as (select id, d, {TYPED} from doc)
+    "check_json_quarantine": f"""with {ODD}, typed as (select id, d, repeated, {TYPED} from doc)
         {quarantined('typed', JSON_ERRORS)}""",
 }
 
@@ -535,10 +563,23 @@ ORACLES |= {
             cast(count(*) over () + 1 as integer) as width
         from ({indexed('merchant')})""",
     "train_fill_missing": f"""with {F1}
-        select transaction_id as id, round(if(event_id % 7 <> 0, amount,
-            (select cast(sum(cast(amount as decimal(18,2))) as double) / count(*)
-             from f1 where event_id % 7 <> 0)), 4) as amount_filled
+        select transaction_id as id, if(event_id % 7 <> 0, amount,
+            (select quantile_disc(amount, 0.5) from f1 where event_id % 7 <> 0)) as amount_filled,
+            0::double as empty_filled
         from f1""",
+    "train_boosted_tree": f"""with {F1},
+        r as (
+            select transaction_id as id, event_id % 5 as a, event_id % 7 as b, 0.25::double as h,
+                0.5::double - cast((event_id % 5 >= 3 and event_id % 7 < 2) or event_id % 11 = 0 as integer) as g
+            from f1),
+        {best_split('root', 'r', 'true')},
+        sided as (select r.*, coalesce(if(s.f = 0, a, b) <= s.c, true) as on_left from r left join root s on true),
+        {best_split('child', 'sided', 'on_left')},
+        sums as (select on_left, sum(g) as g, sum(h) as h from sided group by 1)
+        select id, round(case when s.f is null then -0.3::double * t.g / (t.h + 1)
+            when if(s.f = 0, a, b) <= s.c then -0.3::double * s.gl / (s.hl + 1)
+            else -0.3::double * s.gr / (s.hr + 1) end, 9) as margin
+        from sided left join child s on s.side = sided.on_left join sums t on t.on_left = sided.on_left""",
     "train_assemble": f"""with {F1}
         select transaction_id as id, 0 as pos, cast(user_id as double) as x from f1
         union all

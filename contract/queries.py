@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contract import bindings as given
 from ledgerlark.functions.time import as_timestamp, epoch_seconds, with_time_parts
-from ledgerlark.operators import checks, encode, rolling
+from ledgerlark.operators import boosting, checks, encode, rolling
 from ledgerlark.operators.balance import (
     class_balance,
     scale_pos_weight,
@@ -334,13 +334,13 @@ def sink_run_ledger(spark, sf_dir):
 
 @query
 def sink_model(spark, sf_dir):
-    """A stored and reloaded model's output beside the original's."""
-    rows = given.from_events(spark, sf_dir)
-    model, path = encode.category_indexer(rows, ["merchant", "location"]), fresh_dir(spark, "model")
+    """The scores of a stored and reloaded pipeline with boosted trees beside the original's."""
+    rows, path = prepare(given.from_events(spark, sf_dir)), fresh_dir(spark, "model")
+    model = fit(rows, TrainSpec().with_trees(max_iter=5)).model
     save_model(model, path)
-    columns = ["merchant_idx", "location_idx"]
-    kept = model.transform(rows).select("transaction_id", F.struct(*columns).alias("a"))
-    again = load_model(path).transform(rows).select("transaction_id", F.struct(*columns).alias("b"))
+    columns = ["probability", "margin"]
+    kept = score(model, rows).select("transaction_id", F.struct(*columns).alias("a"))
+    again = score(load_model(path), rows).select("transaction_id", F.struct(*columns).alias("b"))
     both = kept.join(again, "transaction_id")
     return both.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") != F.col("b")).alias("differing")
@@ -365,7 +365,12 @@ def _faulty(spark, sf_dir) -> DataFrame:
         when(e % 17 == 0, 0.0).when(e % 19 == 0, 10000.01).otherwise(F.col("amount")).alias("amount"),
         when(e % 23 == 0, "usd").when(e % 29 == 0, "USD\n").otherwise("USD").alias("currency"),
         "merchant",
-        when(e % 41 == 0, "not a time").otherwise(F.col("timestamp")).alias("timestamp"),
+        when(e % 41 == 0, "not a time")
+        .when(e % 59 == 0, "2024")
+        .when(e % 61 == 0, "12:30:00")
+        .when(e % 67 == 0, "2024-01-01")
+        .otherwise(F.col("timestamp"))
+        .alias("timestamp"),
         when(e % 31 == 0, "us").when(e % 37 != 0, F.col("location")).alias("location"),
         when(e % 43 == 0, 2).when(e % 47 != 0, F.col("is_fraud")).alias("is_fraud"),
     )
@@ -437,7 +442,7 @@ def _odd_messages(spark, sf_dir) -> DataFrame:
                 .otherwise(number("user_id")),
             ),
         ),
-        member("amount", F.when(e % 29 == 0, "null").otherwise(number("amount"))),
+        member("amount", F.when(e % 29 == 0, "null").when(e % 73 == 0, "NaN").otherwise(number("amount"))),
         member("currency", F.when(e % 31 == 0, '["USD"]').otherwise(text("currency"))),
         F.when(
             e % 37 != 0,
@@ -451,7 +456,16 @@ def _odd_messages(spark, sf_dir) -> DataFrame:
         ),
     ]
     body = F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*members)), ","), F.lit("}"))
-    raw = F.when(e % 59 == 0, "not json").when(e % 61 == 0, "[1]").otherwise(body)
+    # Texts that go on after the object, and a key that stands twice.
+    raw = (
+        F.when(e % 59 == 0, "not json")
+        .when(e % 61 == 0, "[1]")
+        .when(e % 67 == 0, F.concat(body, F.lit(" junk")))
+        .when(e % 71 == 0, F.concat(body, body))
+        .when(e % 79 == 0, F.concat(F.lit('{"amount":1,'), F.substring(body, 2, 1000)))
+        .when(e % 83 == 0, F.concat(body, F.lit("] {}")))
+        .otherwise(body)
+    )
     rows = given.from_events(spark, sf_dir, "event_id")
     return rows.select(e.alias("id"), raw.alias("raw_json"))
 
@@ -674,11 +688,12 @@ def train_onehot(spark, sf_dir):
 
 @query
 def train_fill_missing(spark, sf_dir):
-    """Missing amounts take the mean of the others."""
+    """Missing amounts take the median of the others; a column without any value takes 0."""
     rows = given.from_events(spark, sf_dir, "event_id")
     rows = rows.withColumn("amount", F.when(F.col("event_id") % 7 != 0, F.col("amount")))
-    filled = encode.imputer(["amount"], "mean").fit(rows).transform(rows)
-    return filled.select(row_id(), F.round("amount_filled", 4).alias("amount_filled"))
+    rows = rows.withColumn("empty", F.lit(None).cast("double"))
+    filled = encode.imputer(rows, ["amount", "empty"]).transform(rows)
+    return filled.select(row_id(), "amount_filled", "empty_filled")
 
 
 @query
@@ -717,6 +732,19 @@ def train_weighted_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir, "xgb")
 
 
+@query
+def train_boosted_tree(spark, sf_dir):
+    """The margins of one regularised tree of depth 2 on two features of few values."""
+    e = F.col("event_id")
+    rows = given.from_events(spark, sf_dir, "event_id").withColumns({"a": e % 5, "b": e % 7})
+    odd = ((F.col("a") >= 3) & (F.col("b") < 2)) | (e % 11 == 0)
+    matrix = encode.assembler(["a", "b"]).transform(rows.withColumn("label", odd.cast("double")))
+    cuts = boosting.find_cuts(matrix, 2, 2)
+    trees = boosting.fit_trees(matrix.select("features", "label"), cuts, rounds=1, depth=2, step=0.3, l2=1.0)
+    scored = boosting.BoostedTrees.of(cuts, trees).transform(matrix)
+    return scored.select(row_id(), F.round(vector_to_array("rawPrediction")[1], 9).alias("margin"))
+
+
 @query
 def train_score(spark, sf_dir):
     features = _train_features(spark, sf_dir)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.once import one, one_row
 from ledgerlark.functions.time import parse_timestamp
-from ledgerlark.schema import TRANSACTION
 
 # Field, JSON type and whether the field is required.
 FIELDS = [
@@ -87,6 +86,27 @@ def _member(name: str, kind: str) -> Column:
     return F.try_variant_get(F.col(f"{_MEMBERS}.{name}"), "$", kind)
 
 
+def whole_document(raw: str) -> Column:
+    """The text's JSON value as a variant; NULL unless the text is one value and white space.
+
+    A parser stops at the end of the first value. Put into an array, the text must go on to the array's end: a
+    second value shows as a second element, any other rest is an error unless it closes the array itself.
+    Only a text with a closing bracket can do that, and put into an object it is an error then.
+    """
+    text = F.col(raw)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    lone = F.try_variant_get(listed, "$[1]", "variant").isNull()
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    ends = ~F.contains(text, F.lit("]")) | named.isNotNull()
+    return F.when(lone & ends, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def has_repeated_key(raw: str) -> Column:
+    """Whether the text is an object in which a key stands twice."""
+    keys = F.json_object_keys(raw)
+    return F.coalesce(F.size(keys) > F.size(F.array_distinct(keys)), F.lit(False))
+
+
 def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
     """Adds the parsed document, its members and, as ``_kind_<field>``, the JSON type of every field:
     ``string``, ``integer``, ``number``, ``boolean``, ``null``, ``array`` or ``object``, NULL where
@@ -96,7 +116,7 @@ def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
     again.
     """
     names = [name for name, _, _ in FIELDS]
-    parsed = messages.withColumn(_DOCUMENT, F.try_parse_json(raw))
+    parsed = messages.withColumn(_DOCUMENT, whole_document(raw))
     # One walk over the document; NULL if it is not an object.
     layout = ", ".join(f"{n}: variant" for n in names)
     members = F.try_variant_get(_DOCUMENT, "$", f"struct<{layout}>")
@@ -157,10 +177,8 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
         if required
     ]
     read = {name: F.col(f"_value_{name}") for name in values}
-    # The parser of documents refuses a repeated key, of which decoding takes one.
-    decodes = F.from_json(raw, TRANSACTION)["transaction_id"].isNotNull()
     errors = (
-        F.when(~F.col("_is_json") & decodes, F.array(F.lit("repeated key")))
+        F.when(~F.col("_is_json") & has_repeated_key(raw), F.array(F.lit("repeated key")))
         .when(~F.col("_is_json"), F.array(F.lit("not JSON")))
         .when(~F.col("_is_object"), F.array(F.lit("not an object")))
         .otherwise(_listed(missing + type_faults() + _value_faults(read)))

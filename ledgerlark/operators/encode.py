@@ -3,6 +3,7 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Imputer,
+    ImputerModel,
     OneHotEncoder,
     StringIndexer,
     StringIndexerModel,
@@ -112,11 +113,49 @@ def one_hot(columns: list[str]) -> OneHotEncoder:
     )
 
 
-def imputer(columns: list[str], strategy: str = "median") -> Imputer:
-    """Fills missing numbers into ``<column>_filled``; trees do not accept NaN."""
-    return Imputer(
-        inputCols=columns, outputCols=[f"{c}_filled" for c in columns], strategy=strategy
-    )
+#: Ranges into which distinct values are cut for an exact median, at least.
+MEDIAN_RANGES = 32
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """The lower median of a column's numbers; None if it has none.
+
+    Distinct values are counted before the shuffle and dealt out by range. The counts of the ranges say
+    which range holds the median, and only in that one a running count finds it.
+    """
+    value = F.col(column).cast("double")
+    numbers = df.select(value.alias("value")).where(value.isNotNull() & ~F.isnan(value))
+    ranges = max(MEDIAN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = numbers.groupBy("value").count().repartitionByRange(ranges, "value")
+    kept = stored(dealt.withColumn("range", F.spark_partition_id()), "median")
+    sizes = sorted((r["range"], r["n"]) for r in kept.groupBy("range").agg(F.sum("count").alias("n")).collect())
+    rank, before = (sum(n for _, n in sizes) + 1) // 2, 0
+    for at, n in sizes:
+        if before + n >= rank:
+            upto = F.sum("count").over(Window.partitionBy("range").orderBy("value"))
+            placed = kept.where(F.col("range") == at).withColumn("upto", upto)
+            return placed.where(F.col("upto") >= rank - before).agg(F.min("value")).head()[0]
+        before += n
+    return None
+
+
+def imputer(df: DataFrame, columns: list[str], strategy: str = "median") -> ImputerModel:
+    """Fills missing numbers into ``<column>_filled``; trees do not accept NaN.
+
+    ``median`` is exact, ``mean`` the mean of the numbers. A column without any number is filled with 0.
+    """
+    if strategy == "median":
+        found = [exact_median(df, c) for c in columns]
+    elif strategy == "mean":
+        number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+        found = list(df.agg(*[F.avg(number[c]) for c in columns]).head())
+    else:
+        raise ValueError(f"strategy is median or mean, not {strategy!r}")
+    spark = df.sparkSession
+    surrogates = spark.createDataFrame([tuple(0.0 if v is None else float(v) for v in found)], ", ".join(f"`{c}` double" for c in columns))
+    # The mean of a single row is that row, so its values become the model's.
+    outputs = [f"{c}_filled" for c in columns]
+    return Imputer(inputCols=columns, outputCols=outputs, strategy="mean").fit(surrogates)
 
 
 def assembler(columns: list[str], output: str = "features") -> VectorAssembler:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import encode
+from ledgerlark.operators.boosting import BoostedTrees, find_cuts, fit_trees
 from ledgerlark.operators.balance import positive_weight, with_event_seconds, with_label
 from ledgerlark.operators.ranking import ranking_metrics
 from ledgerlark.operators.split import split
@@ -27,13 +28,14 @@ class Boosting:
     features: str = "all"
     # Weigh positives by the class imbalance.
     weighted: bool = False
+    # With a penalty, trees are grown by ``operators.boosting``, and features are drawn for each tree.
+    l2: float | None = None
 
 
-# The two model kinds and their parameters. The second stands in for a library of
-# its own; MLlib's trees know no L2 penalty.
+# The two model kinds and their parameters. The second stands in for a library of its own.
 MODELS = {
     "gbt": Boosting(max_iter=120, step_size=0.1),
-    "xgb": Boosting(max_iter=400, step_size=0.08, features="0.8", weighted=True),
+    "xgb": Boosting(max_iter=400, step_size=0.08, features="0.8", weighted=True, l2=1.0),
 }
 
 
@@ -75,7 +77,7 @@ def encoder(train: DataFrame, spec: TrainSpec) -> tuple[list, list[str]]:
     """Stages from raw columns to ``features``, and the assembled columns."""
     numeric = encode.numeric_features(train)
     categorical = encode.categorical_features(train)
-    stages = [encode.imputer(numeric, spec.fill)] if numeric else []
+    stages = [encode.imputer(train, numeric, spec.fill)] if numeric else []
     if categorical:
         stages.append(encode.category_indexer(train, categorical, spec.max_categories))
         stages.append(encode.one_hot(categorical))
@@ -98,6 +100,24 @@ def classifier(spec: TrainSpec) -> GBTClassifier:
     return boosted.setWeightCol("weight") if trees.weighted else boosted
 
 
+def regularised(matrix: DataFrame, numeric: int, spec: TrainSpec) -> BoostedTrees:
+    """Second-order trees with an L2 penalty; the first ``numeric`` features are numbers, the rest 0 or 1."""
+    trees, first = spec.trees, matrix.select("features").head()
+    cuts = find_cuts(matrix, numeric, first.features.size if first else numeric)
+    grown = fit_trees(
+        matrix,
+        cuts,
+        trees.max_iter,
+        trees.max_depth,
+        trees.step_size,
+        l2=trees.l2,
+        rows_share=trees.subsampling_rate,
+        features_share=1.0 if trees.features == "all" else float(trees.features),
+        seed=spec.seed,
+    )
+    return BoostedTrees.of(cuts, grown)
+
+
 def fit(train: DataFrame, spec: TrainSpec) -> Trained:
     """Fits encoders and trees on the training rows; ``train`` is a ``prepare``d frame."""
     ensure_checkpoint_dir(train.sparkSession)
@@ -110,7 +130,11 @@ def fit(train: DataFrame, spec: TrainSpec) -> Trained:
         params["scale_pos_weight"] = weight = positive_weight(train)
         matrix = matrix.withColumn("weight", F.when(F.col("label") > 0, weight).otherwise(1.0))
         columns.append("weight")
-    trees = classifier(spec).fit(matrix.select(*columns))
+    matrix = matrix.select(*columns)
+    if spec.trees.l2 is None:
+        trees = classifier(spec).fit(matrix)
+    else:
+        trees = regularised(matrix, len(encode.numeric_features(train)), spec)
     return Trained(PipelineModel([*encoders.stages, trees]), {}, params)
 
 

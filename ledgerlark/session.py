@@ -42,6 +42,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``fresh_dir`` named and that nothing reads any more."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative training cuts its lineage through the context's checkpoint folder."""
     if spark.sparkContext.getCheckpointDir() is None:

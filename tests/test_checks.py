@@ -87,6 +87,19 @@ def test_a_repeated_key_has_a_reason_of_its_own(spark):
     assert {r.id: r.errors for r in bad.collect()} == {2: ["repeated key"], 3: ["not JSON"]}
 
 
+def test_one_whole_json_value(spark):
+    good = '{"transaction_id":"a","user_id":1000,"amount":5.5,"currency":"USD","timestamp":"2024-01-01T00:00:00Z","is_fraud":0}'
+    tails = ["", " \n", " junk", good, "," + good, "]", "}", "] {}", "]}", '],"w":[1', ',"w":1', "]} {", ', 1]  {}']
+    rows = [(i, good + tail) for i, tail in enumerate(tails)]
+    rows += [(100, good.replace("5.5", "NaN")), (101, good.replace("{", '{"user_id":1000,')), (102, None), (103, ""), (104, "[1]"), (105, "1 2")]
+    rows += [(106, good.replace("{", '{"x":[1,{"y":"]"}],'))]
+    valid, bad = validate_json(spark.createDataFrame(rows, "id int, raw_json string"))
+    assert sorted(r.id for r in valid.collect()) == [0, 1, 106]
+    found = {r.id: r.errors for r in bad.collect()}
+    assert found.pop(101) == ["repeated key"] and found.pop(104) == ["not an object"]
+    assert set(map(tuple, found.values())) == {("not JSON",)}
+
+
 def test_only_full_date_times_pass(spark):
     texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00.5+02:00", "2024", "12:30:00", "2024-01-01", "2024-13-01T00:00:00Z", "2024-01-01T00:00:00Z\n"]
     df = spark.createDataFrame([(t,) for t in texts], "timestamp string")

@@ -1,10 +1,15 @@
+import json
+
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import encode
+from ledgerlark.operators import boosting, encode
 from ledgerlark.operators.balance import class_balance, positive_weight, with_label
 from ledgerlark.operators.split import split, split_hash, split_time
 from ledgerlark.plans import training
@@ -120,6 +125,7 @@ def test_default_parameters():
     gbt, weighted = TrainSpec().trees, TrainSpec(model="xgb").trees
     assert (gbt.max_iter, gbt.max_depth, gbt.step_size, gbt.subsampling_rate) == (120, 6, 0.1, 0.8)
     assert (weighted.max_iter, weighted.max_depth, weighted.step_size) == (400, 6, 0.08)
+    assert weighted.l2 == 1.0 and gbt.l2 is None
     assert weighted.weighted and weighted.features == "0.8" and not gbt.weighted
 
 
@@ -167,3 +173,71 @@ def test_run_names(spark, tmp_path):
     first = log_run(spark, f"{tmp_path}/l", "r", {"a": 1}, {"m": 0.5})
     assert first != log_run(spark, f"{tmp_path}/l", "r", {"a": 1}, {"m": 0.5})
     assert compare_runs(spark, f"{tmp_path}/l", ["m"]).count() == 2
+
+
+def plain_tree(x, y, w, step, l2, depth, least=1.0):
+    """One regularised tree by trying every cut of every node; margins of the rows."""
+    g, h = w * (0.5 - y), w * 0.25
+
+    def grow(rows, left):
+        best = (1e-9, None, None)
+        for f in range(x.shape[1]) if left else ():
+            for cut in sorted(set(x[rows, f]))[:-1]:
+                low, high = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                if min(h[low].sum(), h[high].sum()) < least:
+                    continue
+                parts = [g[part].sum() ** 2 / (h[part].sum() + l2) for part in (low, high, rows)]
+                if parts[0] + parts[1] - parts[2] > best[0] + 1e-9:
+                    best = (parts[0] + parts[1] - parts[2], low, high)
+        if best[1] is None:
+            found[rows] = -step * g[rows].sum() / (h[rows].sum() + l2)
+        else:
+            grow(best[1], left - 1)
+            grow(best[2], left - 1)
+
+    found = np.zeros(len(y))
+    grow(np.arange(len(y)), depth)
+    return found
+
+
+def small_matrix(spark, parts=3, n=400):
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 9, n), rng.integers(0, 2, n), rng.integers(0, 5, n)], 1).astype(float)
+    y = ((x[:, 0] > 5) ^ (x[:, 1] == 1) | (rng.random(n) < 0.1)).astype(float)
+    w = np.where(y > 0, 2.5, 1.0)
+    rows = [(i, Vectors.dense(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, y, w))]
+    return spark.createDataFrame(rows, ["id", "features", "label", "weight"]).repartition(parts), x, y, w
+
+
+def test_one_regularised_tree_equals_all_cuts(spark):
+    matrix, x, y, w = small_matrix(spark)
+    cuts = boosting.find_cuts(matrix, 3, 3)
+    for l2, depth in ((0.0, 1), (1.0, 3), (50.0, 2)):
+        trees = boosting.fit_trees(matrix, cuts, 1, depth, 0.3, l2=l2)
+        scored = boosting.BoostedTrees.of(cuts, trees).transform(matrix).collect()
+        found = {r.id: float(r.rawPrediction[1]) for r in scored}
+        assert np.allclose([found[i] for i in range(len(y))], plain_tree(x, y, w, 0.3, l2, depth))
+
+
+def test_regularised_trees_do_not_depend_on_partitions_and_survive_storing(spark, tmp_path, monkeypatch):
+    matrix, x, y, w = small_matrix(spark)
+    cuts, how = boosting.find_cuts(matrix, 3, 3), dict(rounds=5, depth=3, step=0.3, rows_share=0.8, features_share=0.7)
+    a = boosting.BoostedTrees.of(cuts, boosting.fit_trees(matrix, cuts, **how))
+    monkeypatch.setattr(boosting, "PENDING", 2)
+    monkeypatch.setattr(boosting, "TO_DRIVER", 1)
+    b = boosting.BoostedTrees.of(cuts, boosting.fit_trees(matrix.repartition(7), cuts, **how))
+    for (f, c, v), (g, d, u) in zip(json.loads(a.getOrDefault(a.model))["trees"], json.loads(b.getOrDefault(b.model))["trees"]):
+        assert (f, c) == (g, d) and np.allclose(v, u, atol=1e-9)
+    PipelineModel([a]).write().overwrite().save(f"{tmp_path}/m")
+    kept = PipelineModel.load(f"{tmp_path}/m").transform(matrix).select("id", "probability", "prediction")
+    assert kept.exceptAll(a.transform(matrix).select("id", "probability", "prediction")).count() == 0
+    assert kept.join(matrix, "id").filter("prediction = label").count() > 0.8 * len(y)
+
+
+def test_exact_median(spark):
+    values = [5.0, 1.0, 1.0, 9.5, None, float("nan"), 7.0, 2.0]
+    df = spark.createDataFrame([(v, None) for v in values], "v double, none double").repartition(3)
+    assert encode.exact_median(df, "v") == 2.0 and encode.exact_median(df, "none") is None
+    assert encode.exact_median(spark.range(10_001).withColumn("v", F.col("id") % 777), "v") == 384
+    filled = encode.imputer(df, ["v", "none"]).transform(df)
+    assert filled.filter("v is null or isnan(v)").select("v_filled", "none_filled").distinct().collect() == [(2.0, 0.0)]
