@@ -19,7 +19,7 @@ than k are indexed with all combinations.
    frequent ones, the pairs from different components are the candidates. At each key the documents
    outside its largest component are joined with all, so a large group is not paired with itself.
 4. Candidates pass a length filter and two bitmap filters, which lose no pair (parity bits of the sets:
-   they differ in at most as many bits as the sets differ in elements): 512 bits while keys are joined,
+   they differ in at most as many bits as the sets differ in elements): 1024 bits while keys are joined,
    then at least a bit for every second element. The rest is verified on the whole sets.
 
 Defined results: a text of fewer words than a shingle has one shingle of all its words; a null text and one
@@ -49,8 +49,8 @@ COMBINED, SHARED = 2, 8
 FREQUENT = 64
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
-#: The short bitmap that travels with the keys: 512 bits.
-_MAP = [f"m{i}" for i in range(8)]
+#: The short bitmap that travels with the keys: 1024 bits.
+_MAP = [f"m{i}" for i in range(16)]
 BITS = 64 * len(_MAP)
 #: Counters of the sketch and how many of them travel in one piece. A counter is kept as its logarithm.
 CELLS, CELLS_AT_ONCE = 1 << 20, 1 << 16
@@ -216,8 +216,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, pe
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(classes), lists], ["id", "set"])
 
-    first = pairs.join(maps.select(F.col("doc").alias("a"), F.col("n").alias("k"), F.col("map").alias("x")), "a")
-    both = first.join(maps.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("map").alias("y")), "b")
+    left = pairs.join(maps.select(F.col("doc").alias("a"), "n", *_MAP, "map"), "a").alias("x")
+    right = maps.select(F.col("doc").alias("other"), "n", *_MAP, "map").alias("y")
+    # Sizes and short bitmaps are compared in the join itself, so few pairs leave it.
+    near = [F.col("x.b") == F.col("y.other"), _near_sizes(F.col("x.n"), F.col("y.n"), percent), _near_maps("x", "y", percent)]
+    both = left.join(right, near)
+    both = both.select("a", "b", F.col("x.n").alias("k"), F.col("x.map").alias("x"), F.col("y.n").alias("m"), F.col("y.map").alias("y"))
     pairs = stored(both.mapInArrow(sifted, "a long, b long"), "join-pairs")
     asked = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     ids = stored(maps.join(asked, "doc", "left_semi").select("doc_id").distinct(), "join-ids")
@@ -276,7 +280,7 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     shared = stored(entries.join(held.filter("held > 1"), "key"), "join-entries")
     near = shared.filter(F.col("doc") != F.col("hub"))
     hubs = near.groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
-    maps = standing.select("doc", "n", "map", "doc_id")
+    maps = standing.select("doc", "n", *_MAP, "map", "doc_id")
     links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
     links = stored(links, "join-links")
     first = components(links)
