@@ -5,7 +5,7 @@ rule's path; of several the longest wins. URLs that a rule judges are the labell
 learn the rules' verdicts from lexical features (lengths, depth, digits, entropy, parameters and
 statistics of the host's suffix), so that they carry over to URLs that no rule fits.
 
-The trees are fitted on at most ``MAX_TRAINING`` labelled URLs, those with the smallest hash. Everything
+The trees are fitted on at most ``MAX_TRAINING`` distinct labelled URLs, half of them of each verdict, those with the smallest hash. Everything
 else covers all rows. Suffix statistics are kept for ``SUFFIX_CELLS`` hash cells of the suffix, which
 bounds what is joined back.
 
@@ -120,7 +120,10 @@ def suffix_statistics(judged: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES) -> DataFrame:
     """Adds ``host``, ``path``, ``rule``, ``verdict`` and ``block_score`` (the trees' probability)."""
     own = ["host", "path", "rule", "verdict", "block_score"]
-    df = pages.drop(*[c for c in own if c in pages.columns])
+    kept = [F.col(f"`{c}`") for c in pages.columns if c not in own]
+    # The input's columns travel in one, so that none can have a name that is used here.
+    df = pages.select(F.struct(*kept).alias("_page"), F.col(url).alias("_url"))
+    url = "_url"
     host, path = split_url(F.col(url))
     df = df.withColumns({"host": host, "path": path})
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
@@ -129,7 +132,9 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES) -> Data
     suffix = F.pmod(F.xxhash64(F.substring_index("host", ".", -1)), F.lit(SUFFIX_CELLS)).cast("int")
     stats = stored(suffix_statistics(narrow.withColumn("_cell", suffix)), "url-suffixes")
     order = [F.xxhash64(F.lit(SEED), url), F.col(url)]
-    sample = narrow.filter(F.col("_verdict").isNotNull()).orderBy(*order).limit(MAX_TRAINING)
+    once = narrow.filter(F.col("_verdict").isNotNull()).dropDuplicates([url])
+    parts = [once.filter(F.col("_verdict") == v).orderBy(*order).limit(MAX_TRAINING // 2) for v in ("allow", "block")]
+    sample = parts[0].union(parts[1])
     columns = [f"_f_{n}" for n in FEATURES]
     assembler = VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep")
 
@@ -152,4 +157,4 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: tuple = RULES) -> Data
         scored = df.withColumn("block_score", F.lit(kinds[0] if kinds else 0.0))
     method = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
     scored = scored.withColumn("verdict", F.coalesce("_verdict", method))
-    return scored.select(*df.drop("_verdict").columns, "verdict", "block_score")
+    return scored.select("_page.*", *own)

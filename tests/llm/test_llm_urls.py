@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm import url_filter as urls
 
-SCHEMA = "page_id long, url string, host int, _features string"
+SCHEMA = "page_id long, url string, host int, _features string, _raw int, _verdict string, _cell int, _url string, _page int"
 CASES = {
     None: ("", "", None, None),
     "": ("", "", None, None),
@@ -22,8 +22,9 @@ CASES = {
 
 
 def test_parts_and_rules(spark):
-    rows = [(i, u, 7, "clash") for i, u in enumerate(CASES)]
-    out = urls.judge_urls(spark.createDataFrame(rows, SCHEMA).drop("_features")).orderBy("page_id").collect()
+    rows = [(i, u, 7, "clash", 1, "block", 2, "x", 3) for i, u in enumerate(CASES)]
+    out = urls.judge_urls(spark.createDataFrame(rows, SCHEMA)).orderBy("page_id").collect()
+    assert {(r._features, r._raw, r._verdict, r._cell, r._url, r._page) for r in out} == {("clash", 1, "block", 2, "x", 3)}
     for r, (url, (host, path, rule, verdict)) in zip(out, CASES.items()):
         assert (r.host, r.path, r.rule) == (host, path, rule), url
         assert r.verdict == verdict if verdict else r.verdict in ("allow", "block"), url
@@ -44,3 +45,12 @@ def test_without_labels(spark):
     one_kind = none.union(spark.createDataFrame([(2, "http://a.net/es/")], "page_id long, url string"))
     assert {r.verdict for r in urls.judge_urls(one_kind).collect()} == {"block"}
     assert urls.judge_urls(none.limit(0)).count() == 0
+
+
+def test_few_blocked_and_repeated_urls_are_learned(spark):
+    """One label is rare, and one URL stands thousands of times: both labels still reach the trees."""
+    rows = spark.range(30_000).selectExpr("id as page_id", "'http://a.com/same' as url")
+    rows = rows.union(spark.range(300).selectExpr("id", "concat('http://x', id, '.net/es/', id) as url"))
+    rows = rows.union(spark.range(300).selectExpr("id", "concat('http://y', id, '.com/p', id) as url"))
+    rows = rows.union(spark.createDataFrame([(1, "http://q77.net/it/7")], "page_id long, url string"))
+    assert urls.judge_urls(rows).filter("rule is null").head().verdict == "block"
