@@ -1,52 +1,59 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
-
-Texts are read as words (runs of letters, A-Z lower-cased). Every n-gram of a test item is a seed, so a
-copy that keeps any n words in a row meets one. Where a seed occurs in a document, the passage around it
-is aligned with the item by Smith-Waterman on words (equal +1, different -1, gap -1), which rates edited
-copies too. The passage reaches as far as an alignment of the least score through the seed can, so scores
-are those of the whole text. Passages that hold too few of the item's words for that score are not
-aligned. The score is the alignment's over the item's number of words; from ``SCORE`` on the document is
-contaminated.
-
-Seeds go to the documents, in blocks of items of bounded size: each block is one pass over the documents,
-of which nothing is shuffled.
-
-Defined results: items that are null or have fewer than n words are not searched for. Null and empty
-texts match nothing. Every row is judged by itself, so repeated rows give repeated results; of alignments
-with equal scores the first in the text counts. With an empty table of items or documents nothing is
-contaminated. Other columns of the documents are kept by ``clean``.
+"""Benchmark decontamination: rare n-grams join passages to test items, then local alignment.
+
+A word is a run of letters (A-Z lower-cased), a run of digits, or one character of a script written
+without spaces; everything else stands between words. A document is contaminated by an item if the best
+Smith-Waterman alignment of the two (equal words +1, different ones -1, gap -1) reaches a least score:
+``SCORE`` of the item's words, and at least three of them or all.
+
+An alignment of score s has runs of equal words, at most one more than it has errors, so it holds at
+least s - 1 of the item's pairs of neighbouring words whole. Of the item's pairs that the corpus holds
+at all, the most frequent ones may therefore be left out, two fewer than the least score; the others,
+the rare ones, are the item's seeds, and every alignment that counts holds one. So nothing is missed,
+and what is frequent everywhere joins nothing, unless an item consists of it.
+
+1. The pairs of all items mark the cells of a table of fixed size, which tells most pairs of the
+   documents apart inside the tasks. The rest is counted over the corpus.
+2. Each item ranks its pairs by that count and keeps the rare ones.
+3. Occurrences of seeds join the items on the pair; what meets is (row, item, place in the text).
+4. Rows that met an item get their items' words, in groups of at most about ``PAIRS`` items, and each
+   passage is aligned with its item. A passage reaches as far as an alignment of the least score
+   through the seed can, so scores are those of the whole text. Passages that hold too few of the
+   item's words for that score are not aligned.
+
+Items, documents and what they have in common stay in tables; the driver sees the table of cells only.
+
+Defined results: null items and those of fewer than two words are not searched for, as one word tells
+nothing; equal items of one id are one item. Null and empty texts match nothing. Equal rows of one id
+have equal results, one each; of alignments with equal scores the first in the text counts. With an
+empty table of items or documents nothing is contaminated. Ids may be null and of any type. Other
+columns of the documents are kept by ``clean``, whatever their names.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.textbytes import NOT_LETTER, flat, mixed, owner, pieces, words
+from ledgerlark.llm.similarity_join import row_keys
+from ledgerlark.llm.textbytes import flat, grams, owner, pieces, words
+from ledgerlark.session import stored
 
-GRAM = 3
+#: Words of a seed; the bound on what an alignment holds is one for pairs.
+GRAM = 2
 SCORE = 0.4
-#: Bytes of test items, about, that a block holds.
-BLOCK_BYTES = 4 << 20
-#: Bits of the table that tells n-grams of no item apart quickly.
+#: Equal words that an alignment needs besides, or all of a shorter item.
+LEAST_WORDS = 3
+#: Items that one row is aligned with at a time, about.
+PAIRS = 4096
+#: Bits, as a power of two, of the table that tells n-grams of no item apart quickly.
 SIEVE_BITS = 22
 #: Cells of alignment tables that are worked on at once.
 CELLS = 1 << 21
 
 
-def grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of every n consecutive words."""
-    if len(hashes) < n:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(hashes) - n + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(n):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - n + 1 + i])
-    return out
-
-
 def align(items: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignments of the rows of two padded matrices: score, begin and end in the window.
 
@@ -85,135 +92,240 @@ def shared(items: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> np.ndar
     return found
 
 
-class Items:
-    """A block of test items: their words and seeds, for use inside tasks."""
-
-    def __init__(self, ids: list, texts: list[str | None], n: int = GRAM):
-        data, offsets = flat(pa.array(texts, pa.string()))
-        begins, _, hashes = words(data, offsets, NOT_LETTER)
-        at = np.searchsorted(owner(begins, offsets), np.arange(len(ids) + 1))
-        long = [i for i in range(len(ids)) if at[i + 1] - at[i] >= n]
-        self.n, self.ids, self.words = n, [ids[i] for i in long], [hashes[at[i] : at[i + 1]] for i in long]
-        self.sizes = np.array([len(w) for w in self.words], int)
-        each = [grams(w, n) for w in self.words]
-        gram = np.concatenate([*each, np.zeros(0, np.uint64)])
-        order = np.argsort(gram, kind="stable")
-        self.gram, self.known = gram[order], np.unique(gram)
-        self.item = np.repeat(np.arange(len(each)), [len(g) for g in each])[order]
-        self.place = np.concatenate([np.arange(len(g)) for g in each] + [np.zeros(0, int)])[order]
-
-    def sieve(self) -> np.ndarray:
-        table = np.zeros(1 << SIEVE_BITS, bool)
-        table[(self.known >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
-        return table
-
-    def found(self, hashes: np.ndarray, text: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of n-grams that are known, and which; n-grams do not span texts."""
-        g = grams(hashes, self.n)
-        if not len(g) or not len(self.known):
-            return np.zeros(0, int), np.zeros(0, int)
-        at = np.flatnonzero(sieve[(g >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
-        at = at[text[at] == text[at + self.n - 1]]
-        which = np.minimum(np.searchsorted(self.known, g[at]), len(self.known) - 1)
-        hit = self.known[which] == g[at]
-        return at[hit], which[hit]
-
-    def matches(self, texts: pa.Array, sieve: np.ndarray, least: float) -> list[tuple]:
-        """(text, item, score, begin, end in bytes) of the best alignment of each text and item."""
-        data, offsets = flat(texts)
-        begins, ends, hashes = words(data, offsets, NOT_LETTER)
-        text = owner(begins, offsets)
-        at, which = self.found(hashes, text, sieve)
-        if not len(at):
-            return []
-        first = np.searchsorted(self.gram, self.known)
-        many = np.diff(np.append(first, len(self.gram)))[which]
-        seed = np.repeat(first[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        at, item = np.repeat(at, many), self.item[seed]
-        slack = reach(self.sizes[item], least)
-        # Starts that differ by less than the slack share a window, which is wider by as much.
-        start = (at - self.place[seed]) // slack
-        pairs = np.unique(np.stack([text[at], item, start], 1), axis=0)
-        pairs = pairs[np.argsort(self.sizes[pairs[:, 1]], kind="stable")]
-        edge = np.searchsorted(text, np.arange(len(texts) + 1))
-        best: dict[tuple, tuple] = {}
-        cut = 0
-        while cut < len(pairs):
-            step = 1
-            while cut + step < len(pairs) and step < 512 and (step + 1) * 3 * (self.sizes[pairs[min(cut + step, len(pairs) - 1), 1]] + 8) < CELLS // 64:
-                step += 1
-            rows = pairs[cut : cut + step]
-            cut += step
-            size = self.sizes[rows[:, 1]]
-            slack = reach(size, least)
-            lo = np.maximum((rows[:, 2] - 1) * slack, edge[rows[:, 0]])
-            hi = np.minimum((rows[:, 2] + 2) * slack + size, edge[rows[:, 0] + 1])
-            windows = np.zeros((len(rows), int((hi - lo).max())), np.uint64)
-            items = np.ones((len(rows), int(size.max())), np.uint64)
-            for k, (a, b, r) in enumerate(zip(lo, hi, rows)):
-                windows[k, : b - a] = hashes[a:b]
-                items[k, : size[k]] = self.words[r[1]]
-            # No alignment has more equal words than the item has words that occur in the window.
-            able = np.flatnonzero(shared(items, windows, size) >= least * size)
-            if not len(able):
-                continue
-            rows, lo, size = rows[able], lo[able], size[able]
-            score, begin, end = align(items[able], windows[able], size)
-            for k in np.flatnonzero(score >= least * size):
-                a, b = lo[k] + begin[k], lo[k] + end[k] - 1
-                key, base = (int(rows[k, 0]), int(rows[k, 1])), offsets[rows[k, 0]]
-                new = (-float(score[k] / size[k]), int(begins[a] - base), int(ends[b] - base))
-                best[key] = min(best.get(key, new), new)
-        return [(t, self.ids[i], -s, b, e) for (t, i), (s, b, e) in sorted(best.items())]
-
-
-def blocks(items: DataFrame, item_id: str = "item_id", n: int = GRAM) -> Iterator[Items]:
-    """Blocks of items with their seeds."""
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end in the text's bytes, hash and owner of every word of a batch of texts."""
+    data, offsets = flat(texts)
+    kind = kinds(data)
+    begins, ends, hashes = words(data, offsets, kind == 0, kind)
+    text = owner(begins, offsets)
+    return begins - offsets[text], ends - offsets[text], hashes, text
+
+
+# Fixed values, by UTF-8: lead bytes of three-byte characters of scripts written without spaces (kana and
+# Han from U+3000, Thai and Lao, Myanmar, Khmer), then the second bytes that narrow them; Han beyond
+# U+20000 has the lead byte F0 and the second byte A0 or more.
+_ALONE = np.zeros((256, 256), bool)
+for _lead, _from, _to in ((0xE0, 0xB8, 0xBB), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE3, 0x81, 0xBF), (0xF0, 0xA0, 0xAF)):
+    _ALONE[_lead, _from : _to + 1] = True
+_ALONE[0xE4:0xEA, 0x80:0xC0] = True
+# Punctuation: U+2000 to U+206F, U+3000 to U+303F, and the wide forms U+FF00 to U+FF0F, U+FF1A to U+FF20.
+_MARKS = ((0xE2, 0x80, 0x81, 0x80, 0xBF), (0xE3, 0x80, 0x80, 0x80, 0xBF), (0xEF, 0xBC, 0xBC, 0x80, 0x8F), (0xEF, 0xBC, 0xBC, 0x9A, 0xA0))
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """Per byte: 0 between words, 1 letter, 2 digit, 3 and 4 the first and later bytes of a character that
+    is a word of its own."""
+    kind = np.zeros(len(data), np.uint8)
+    low = data | 0x20
+    kind[(data >= 128) | ((low >= ord("a")) & (low <= ord("z")))] = 1
+    kind[(data >= ord("0")) & (data <= ord("9"))] = 2
+    if not len(data) or data.max() < 128:
+        return kind
+    second = np.append(data[1:], 0)
+    third = np.append(data[2:], [0, 0])[: len(data)]
+    for lead, a, b, c, d in _MARKS:
+        at = np.flatnonzero((data == lead) & (second >= a) & (second <= b) & (third >= c) & (third <= d))
+        for step in range(3):
+            kind[at + step] = 0
+    at = np.flatnonzero(_ALONE[data, second] & (kind == 1))
+    for step, later in ((0, at), (1, at), (2, at), (3, at[data[at] == 0xF0])):
+        kind[later + step] = 4 if step else 3
+    return kind
+
+
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
+
+
+def known_items(items: DataFrame, item_id: str, least: float) -> DataFrame:
+    """The items as a table: ``item`` (a key), ``item_id``, ``words`` (hashes), ``need`` (least score) and
+    ``slack`` (words a passage reaches beyond an item on either side)."""
     rows = items.select(F.col(item_id).alias("item_id"), "text").filter(F.col("text").isNotNull())
-    total = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    count = total // BLOCK_BYTES + 1
-    for b in range(count):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()
-        block = Items([r.item_id for r in part], [r.text for r in part], n)
-        if len(block.known):
-            yield block
+    rows = rows.withColumn("item", F.md5(F.to_json(F.struct("item_id", "text")))).dropDuplicates(["item"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            _, _, hashes, text = tokens(batch.column("text"))
+            split = lists(hashes, np.bincount(text, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), batch.column("item"), split], ["item_id", "item", "words"])
+
+    kind = dict(rows.dtypes)["item_id"]
+    size = F.size("words")
+    need = F.greatest(F.ceil(size * least - 1e-9), F.least(size, F.lit(LEAST_WORDS)))
+    found = rows.select("item_id", "item", "text").mapInArrow(read, f"item_id {kind}, item string, words array<long>")
+    found = found.filter(size >= GRAM).withColumns({"need": need, "slack": F.ceil((1 - least) * size) + 1})
+    return stored(found, "items")
+
+
+def item_grams(known: DataFrame) -> DataFrame:
+    """Rows ``item``, ``need``, ``slack``, ``place`` and ``gram`` of every pair of neighbouring words."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("words")
+            size = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+            whole = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            first = np.repeat(np.cumsum(size) - size, size - GRAM + 1)
+            place = np.arange(len(first)) - np.repeat(np.cumsum(size - GRAM + 1) - (size - GRAM + 1), size - GRAM + 1)
+            which = pa.array(np.repeat(np.arange(len(size)), size - GRAM + 1))
+            gram = grams(whole, GRAM)[first + place].view(np.int64)
+            rest = [batch.column(name).take(which) for name in ("item", "need", "slack")]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(place), pa.array(gram)], ["item", "need", "slack", "place", "gram"])
+
+    return known.select("item", "need", "slack", "words").mapInArrow(read, "item string, need long, slack long, place long, gram long")
+
+
+class Sieve:
+    """A table of fixed size that tells most n-grams apart from the given ones."""
+
+    def __init__(self, given: DataFrame):
+        cell = F.shiftrightunsigned("gram", 64 - SIEVE_BITS)
+        bit = F.expr("shiftleft(1L, cast(cell & 63 as int))")
+        rows = given.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("at")).agg(F.bit_or(bit).alias("bits"))
+        # At most 2^(SIEVE_BITS - 6) rows, whatever the tables hold.
+        self.table = np.zeros(1 << SIEVE_BITS - 6, np.int64)
+        for row in rows.collect():
+            self.table[row["at"]] = row["bits"]
+
+    def places(self, hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where n-grams begin that may be given ones, and the n-grams; none spans texts."""
+        g = grams(hashes, GRAM)
+        cell = g >> np.uint64(64 - SIEVE_BITS)
+        bits = self.table.view(np.uint64)[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))
+        at = np.flatnonzero(bits & np.uint64(1))
+        at = at[text[at] == text[at + GRAM - 1]]
+        return at, g[at].view(np.int64)
+
+
+def counts(rows: DataFrame, sieve: Sieve) -> DataFrame:
+    """``gram`` and ``n``, how often the texts hold it, of all n-grams that pass the sieve."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            _, _, hashes, text = tokens(batch.column("text"))
+            gram, n = np.unique(sieve.places(hashes, text)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
+
+    return rows.select("text").mapInArrow(read, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def seeds(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rare n-grams of every item among those that the texts hold: all but its ``need - 2`` most frequent."""
+    every = stored(item_grams(known), "item-grams")
+    held = every.join(counts(rows, Sieve(every)), "gram")
+    often = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "gram", "place"))
+    return stored(held.withColumn("often", often).filter("often > need - 2").select("gram", "item", "place", "slack"), "seeds")
+
+
+def occurrences(rows: DataFrame, sieve: Sieve) -> DataFrame:
+    """``row0``, ``row1``, ``at`` (word number) and ``gram`` of n-grams that pass the sieve."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            _, _, hashes, text = tokens(batch.column("text"))
+            at, gram = sieve.places(hashes, text)
+            first = np.searchsorted(text, np.arange(batch.num_rows))
+            keys = [batch.column(name).take(pa.array(text[at])) for name in ("row0", "row1")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(at - first[text[at]]), pa.array(gram)], ["row0", "row1", "at", "gram"])
+
+    return rows.select("row0", "row1", "text").mapInArrow(read, "row0 long, row1 long, at long, gram long")
+
+
+def passages(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``row0``, ``row1``, ``item`` and ``starts``: where in the text, in steps of the slack, the item may begin."""
+    rare = seeds(rows, known)
+    met = occurrences(rows, Sieve(rare)).join(rare, "gram")
+    start = F.floor((F.col("at") - F.col("place")) / F.col("slack"))
+    return stored(met.groupBy("row0", "row1", "item").agg(F.collect_set(start).alias("starts")), "passages")
+
+
+def best_alignments(texts: pa.Array, picked: pa.ListArray, least: float) -> list[tuple]:
+    """(text, pick, score, begin, end in bytes) of the best alignment of each text and picked item."""
+    begins, ends, hashes, text = tokens(texts)
+    edge = np.searchsorted(text, np.arange(len(texts) + 1))
+    picks = picked.flatten()
+    of_text = np.repeat(np.arange(len(texts)), pc.list_value_length(picked).to_numpy(zero_copy_only=False))
+    listed, starts = picks.field("words"), picks.field("starts")
+    need = picks.field("need").to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
+    item_words, item_edge = listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(sizes) - sizes
+    many = pc.list_value_length(starts).to_numpy(zero_copy_only=False)
+    pick, start = np.repeat(np.arange(len(picks)), many), starts.flatten().to_numpy(zero_copy_only=False)
+    order = np.lexsort((start, pick, sizes[pick]))
+    pick, start = pick[order], start[order]
+    best: dict[int, tuple] = {}
+    cut = 0
+    while cut < len(pick):
+        step = 1
+        while cut + step < len(pick) and step < 512 and (step + 1) * 3 * (sizes[pick[cut + step]] + 8) < CELLS // 64:
+            step += 1
+        rows, begin_step = pick[cut : cut + step], start[cut : cut + step]
+        cut += step
+        size, own = sizes[rows], of_text[rows]
+        slack = reach(size, least)
+        lo = np.maximum((begin_step - 1) * slack, 0) + edge[own]
+        hi = np.maximum(np.minimum((begin_step + 2) * slack + size + edge[own], edge[own + 1]), lo)
+        windows = np.zeros((len(rows), int((hi - lo).max())), np.uint64)
+        items = np.ones((len(rows), int(size.max())), np.uint64)
+        for k, (a, b, r) in enumerate(zip(lo, hi, rows)):
+            windows[k, : b - a] = hashes[a:b]
+            items[k, : size[k]] = item_words[item_edge[r] : item_edge[r] + size[k]]
+        # No alignment has more equal words than the item has words that occur in the window.
+        able = np.flatnonzero(shared(items, windows, size) >= need[rows])
+        if not len(able):
+            continue
+        rows, lo, size = rows[able], lo[able], size[able]
+        score, begin, end = align(items[able], windows[able], size)
+        for k in np.flatnonzero(score >= need[rows]):
+            a, b = lo[k] + begin[k], lo[k] + end[k] - 1
+            new = (-float(score[k] / size[k]), int(begins[a]), int(ends[b]))
+            best[int(rows[k])] = min(best.get(int(rows[k]), new), new)
+    return [(int(of_text[p]), p, -s, b, e) for p, (s, b, e) in sorted(best.items())]
+
+
+def hits(rows: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """``doc_id``, ``row0``, ``row1``, ``item``, ``score``, ``begin`` and ``end`` for rows with ``doc_id``,
+    ``text``, ``row0`` and ``row1``."""
+    key = ["row0", "row1"]
+    met = passages(rows, known)
+    # Items of a row go in groups of a bounded number, each beside a copy of the text.
+    groups = met.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PAIRS).alias("groups"))
+    dealt = met.join(groups, key).withColumn("group", F.pmod(F.xxhash64("item"), "groups"))
+    dealt = dealt.join(known.select("item", "words", "need"), "item")
+    dealt = dealt.groupBy(*key, "group").agg(F.collect_list(F.struct("item", "words", "need", "starts")).alias("picked"))
+    able = rows.join(met.select(*key).distinct(), key, "left_semi").join(dealt, key)
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = best_alignments(batch.column("text"), batch.column("picked"), least)
+            if found:
+                text, pick, score, begin, end = zip(*found)
+                left = [batch.column(name).take(pa.array(text)) for name in ("doc_id", *key)]
+                item = batch.column("picked").flatten().field("item").take(pa.array(pick))
+                right = [pa.array(score), pa.array(begin, pa.int64()), pa.array(end, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*left, item, *right], ["doc_id", *key, "item", "score", "begin", "end"])
+
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, row0 long, row1 long, item string, score double, begin long, end long"
+    return able.select("doc_id", *key, "text", "picked").mapInArrow(matched, schema)
+
+
+def keyed(docs: DataFrame, doc_id: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), "text", *row_keys(F.col(doc_id), F.col("text")))
 
 
 def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", least: float = SCORE) -> DataFrame:
     """One row per contaminated document and item: ``doc_id``, ``item_id``, ``score``, and the passage as
     ``begin`` and ``end`` in the text's UTF-8 bytes."""
-    kinds = dict(docs.select(F.col(doc_id)).dtypes)[doc_id], dict(items.select(F.col(item_id)).dtypes)[item_id]
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, begin long, end long"
-    rows = docs.select(F.col(doc_id).alias("doc_id"), "text")
-    out = docs.sparkSession.createDataFrame([], schema)
-    item_type = pa.string() if kinds[1] == "string" else pa.int64()
-    for block in blocks(items, item_id):
-
-        def matched(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
-            sieve = block.sieve()
-            for batch in pieces(batches):
-                found = block.matches(batch.column("text"), sieve, least)
-                if found:
-                    text, item, score, begin, end = zip(*found)
-                    columns = [batch.column("doc_id").take(pa.array(text)), pa.array(item, item_type), pa.array(score), pa.array(begin, pa.int64()), pa.array(end, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "begin", "end"])
-
-        out = out.unionByName(rows.mapInArrow(matched, schema))
-    return out
-
-
-def clean(docs: DataFrame, items: DataFrame, item_id: str = "item_id", least: float = SCORE) -> DataFrame:
+    known = known_items(items, item_id, least)
+    found = hits(keyed(docs, doc_id), known, least).join(known.select("item", "item_id"), "item")
+    return found.select("doc_id", "item_id", "score", "begin", "end")
+
+
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", least: float = SCORE) -> DataFrame:
     """The documents without the contaminated ones."""
-    at = docs.columns.index("text")
-    kept = docs
-    for block in blocks(items, item_id):
-
-        def passed(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
-            sieve = block.sieve()
-            for batch in pieces(batches):
-                good = np.ones(batch.num_rows, bool)
-                good[[m[0] for m in block.matches(batch.column(at), sieve, least)]] = False
-                yield batch.filter(pa.array(good))
-
-        kept = kept.mapInArrow(passed, docs.schema)
-    return kept
+    found = hits(keyed(docs, doc_id), known_items(items, item_id, least), least)
+    bad = stored(found.select("row0", "row1").distinct(), "contaminated")
+    row = F.struct(*[F.col(name) for name in docs.columns]).alias("row")
+    rows = docs.select(row, *row_keys(F.col(doc_id), F.col("text")))
+    return rows.join(bad, ["row0", "row1"], "left_anti").select("row.*")

@@ -38,8 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.components import components
-from ledgerlark.llm.decontaminate import grams
-from ledgerlark.llm.textbytes import WHITE, flat, mixed, owner, pieces, words
+from ledgerlark.llm.textbytes import WHITE, flat, grams, mixed, owner, pieces, words
 from ledgerlark.session import stored
 
 SHINGLE = 3

@@ -87,16 +87,22 @@ with np.errstate(over="ignore"):
     _VALUE = _values()
 
 
-def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and 64-bit hash of every word, A-Z and a-z alike; words do not span texts."""
+def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = WHITE, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and 64-bit hash of every word, A-Z and a-z alike; words do not span texts.
+
+    ``apart`` says it per byte value; with a ``kind`` per byte it says it per byte, and a word also ends
+    where the kind changes, unless to 4 (inside a character), and before every 3.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64)
     inside = np.zeros(n + 1, bool)
-    inside[:n] = ~apart[data]
+    inside[:n] = ~apart[data] if kind is None else ~apart
     first = np.zeros(n + 1, bool)
     first[offsets] = True
+    if kind is not None:
+        first[1:n] |= ((kind[1:] != kind[:-1]) & (kind[1:] != 4)) | (kind[1:] == 3)
     begins = np.flatnonzero(inside[:n] & (first[:n] | ~np.concatenate(([False], inside[: n - 1]))))
     ends = np.flatnonzero(inside[:n] & (first[1:] | ~inside[1:])) + 1
     with np.errstate(over="ignore"):
@@ -106,6 +112,17 @@ def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = WHITE) -> t
     return begins, ends, mixed(hashes)
 
 
+def grams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every n consecutive words."""
+    if len(hashes) < n:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(hashes) - n + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - n + 1 + i])
+    return out
+
+
 def owner(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The index of the text that holds each position."""
     return np.searchsorted(offsets, positions, "right") - 1
