@@ -14,7 +14,8 @@ and what is frequent everywhere joins nothing, unless an item consists of it.
 1. The pairs of all items mark the cells of a table of fixed size, which tells most pairs of the
    documents apart inside the tasks. The rest is counted over the corpus.
 2. Each item ranks its pairs by that count and keeps the rare ones.
-3. Occurrences of seeds join the items on the pair; what meets is (row, item, place in the text).
+3. Rows with a seed are written to a table, all others are read no more. Occurrences of seeds join the
+   items on the pair; what meets is (row, item, place in the text).
 4. Rows that met an item get their items' words, in groups of at most about ``PAIRS`` items, and each
    passage is aligned with its item. A passage reaches as far as an alignment of the least score
    through the seed can, so scores are those of the whole text. Passages that hold too few of the
@@ -218,24 +219,27 @@ def seeds(rows: DataFrame, known: DataFrame) -> DataFrame:
     return stored(held.withColumn("often", often).filter("often > need - 2").select("gram", "item", "place", "slack"), "seeds")
 
 
-def occurrences(rows: DataFrame, sieve: Sieve) -> DataFrame:
-    """``row0``, ``row1``, ``at`` (word number) and ``gram`` of n-grams that pass the sieve."""
+def holders(rows: DataFrame, sieve: Sieve) -> DataFrame:
+    """The rows with an n-gram that passes the sieve, with these: ``at`` (word numbers) and ``gram``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             _, _, hashes, text = tokens(batch.column("text"))
             at, gram = sieve.places(hashes, text)
             first = np.searchsorted(text, np.arange(batch.num_rows))
-            keys = [batch.column(name).take(pa.array(text[at])) for name in ("row0", "row1")]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(at - first[text[at]]), pa.array(gram)], ["row0", "row1", "at", "gram"])
+            many = np.bincount(text[at], minlength=batch.num_rows)
+            with_any = pa.array(np.flatnonzero(many))
+            found = [lists(values, many[many > 0]) for values in (at - first[text[at]], gram)]
+            yield pa.RecordBatch.from_arrays([*batch.take(with_any).columns, *found], [*batch.schema.names, "at", "gram"])
 
-    return rows.select("row0", "row1", "text").mapInArrow(read, "row0 long, row1 long, at long, gram long")
+    rows = rows.select("doc_id", "text", "row0", "row1")
+    kind = dict(rows.dtypes)["doc_id"]
+    return rows.mapInArrow(read, f"doc_id {kind}, text string, row0 long, row1 long, at array<long>, gram array<long>")
 
 
-def passages(rows: DataFrame, known: DataFrame) -> DataFrame:
+def passages(held: DataFrame, rare: DataFrame) -> DataFrame:
     """``row0``, ``row1``, ``item`` and ``starts``: where in the text, in steps of the slack, the item may begin."""
-    rare = seeds(rows, known)
-    met = occurrences(rows, Sieve(rare)).join(rare, "gram")
+    met = held.select("row0", "row1", F.inline(F.arrays_zip("at", "gram"))).join(rare, "gram")
     start = F.floor((F.col("at") - F.col("place")) / F.col("slack"))
     return stored(met.groupBy("row0", "row1", "item").agg(F.collect_set(start).alias("starts")), "passages")
 
@@ -288,13 +292,15 @@ def hits(rows: DataFrame, known: DataFrame, least: float) -> DataFrame:
     """``doc_id``, ``row0``, ``row1``, ``item``, ``score``, ``begin`` and ``end`` for rows with ``doc_id``,
     ``text``, ``row0`` and ``row1``."""
     key = ["row0", "row1"]
-    met = passages(rows, known)
+    rare = seeds(rows, known)
+    held = stored(holders(rows, Sieve(rare)), "holders")
+    met = passages(held, rare)
     # Items of a row go in groups of a bounded number, each beside a copy of the text.
     groups = met.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PAIRS).alias("groups"))
     dealt = met.join(groups, key).withColumn("group", F.pmod(F.xxhash64("item"), "groups"))
     dealt = dealt.join(known.select("item", "words", "need"), "item")
     dealt = dealt.groupBy(*key, "group").agg(F.collect_list(F.struct("item", "words", "need", "starts")).alias("picked"))
-    able = rows.join(met.select(*key).distinct(), key, "left_semi").join(dealt, key)
+    able = held.join(dealt, key)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
