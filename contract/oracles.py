@@ -21,6 +21,22 @@ f1 as (
   from events
 )"""
 
+# Three steps of a stream, and the watermark of each: an hour behind the latest event of those before.
+# A row of the last step repeats one that an earlier step kept, if it is not late itself.
+STEPS = f"""with {F1},
+steps as (
+  select transaction_id as id, user_id, amount, ts, false as again,
+    if(event_id <= (select max(event_id) // 2 from events), 0, 1) as step
+  from f1
+  union all select transaction_id, user_id, amount, ts, true, 2 from f1
+  union all select 'late-' || transaction_id, user_id, amount, ts, false, 2 from f1
+),
+marks as (
+  select n.step, (select date_trunc('milliseconds', max(ts)) from steps t where t.step < n.step)
+    - interval 60 minutes as mark
+  from (select distinct step from steps) n
+)"""
+
 F2 = """
 f2 as (
   select cast(o_orderkey as varchar) as transaction_id, cast(o_custkey as integer) as user_id,
@@ -94,6 +110,17 @@ ORACLES = {
         union all
         select 'late-' || transaction_id, cast(ts as date) from f1
         where ts > (select date_trunc('milliseconds', max(ts)) from f1) - interval 60 minutes""",
+    "stream_late_account": f"""{STEPS}
+        select cast(m.step as integer) as batch, count(*) as rows,
+            count(*) filter (s.ts <= m.mark) as late,
+            count(*) filter (s.again and (m.mark is null or s.ts > m.mark)) as repeated,
+            count(*) filter (not s.again and (m.mark is null or s.ts > m.mark)) as kept,
+            (select date_trunc('milliseconds', max(ts)) from steps t where t.step <= m.step) as latest
+        from steps s join marks m on s.step = m.step group by m.step""",
+    "stream_dedup_table": f"""{STEPS}
+        select id, user_id, amount, cast(ts as date) as event_date, cast(s.step as integer) as batch
+        from steps s join marks m on s.step = m.step
+        where not again and (m.mark is null or ts > m.mark)""",
     "feat_event_ts": f"""with {F1}
         select transaction_id as id, ts as from_text, ts as from_timestamp from f1""",
     "feat_time_parts": f"""with {F1}

@@ -30,6 +30,7 @@ from ledgerlark.sources import synthetic
 from ledgerlark.sources.streams import LandingFolder
 from ledgerlark.sources.tables import scan_features, scan_silver
 from ledgerlark.streaming import ingest
+from ledgerlark.streaming.accounted import scan_account, scan_accounted
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,6 +207,44 @@ def stream_late_drop(spark, sf_dir):
     return scan_silver(spark, f"{root}/silver").select(row_id(), "event_date")
 
 
+def _accounted(spark, sf_dir) -> str:
+    """Half of the table, the other half, then all of it again under its own and under new ids; the
+    stream is started anew for each of the three."""
+    root = fresh_dir(spark, "accounted")
+    rows = given.from_events(spark, sf_dir, "event_id", "ts")
+    middle = rows.agg(F.floor(F.max("event_id") / 2)).head()[0]
+    late = rows.withColumn("transaction_id", F.concat(F.lit("late-"), "transaction_id"))
+    halves = [rows.where(F.col("event_id") <= middle), rows.where(F.col("event_id") > middle)]
+    for step in [*halves, rows.unionByName(late)]:
+        sent = step.select(
+            F.lit(None).cast("binary").alias("key"),
+            F.to_json(F.struct(*PAYLOAD)).cast("binary").alias("value"),
+            F.lit("transactions").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
+        sent.write.mode("append").parquet(f"{root}/landing")
+        bronze = to_bronze(LandingFolder(f"{root}/landing").open(spark))
+        _finish(ingest.start_silver(bronze, f"{root}/silver", f"{root}/ckpt", mode="table", drain=True))
+    return f"{root}/silver"
+
+
+@query
+def stream_late_account(spark, sf_dir):
+    """What every micro-batch received, found late or repeated, and kept, over three starts."""
+    rows = scan_account(spark, _accounted(spark, sf_dir))
+    return rows.select("batch", "rows", "late", "repeated", "kept", plain("latest"))
+
+
+@query
+def stream_dedup_table(spark, sf_dir):
+    """Ids of the first micro-batch are still refused in the last one, without any state."""
+    rows = scan_accounted(spark, _accounted(spark, sf_dir))
+    return rows.select(row_id(), "user_id", "amount", "event_date", "batch")
+
+
 # Features
 
 

@@ -3,7 +3,7 @@
 import argparse
 
 from ledgerlark.jobs.common import add_topic_arguments, topic_from
-from ledgerlark.operators.dedup import FOREVER, WATERMARK
+from ledgerlark.operators.dedup import FOREVER, TABLE, WATERMARK
 from ledgerlark.plans.ingest import WATERMARK_MINUTES
 from ledgerlark.session import job_session
 from ledgerlark.sources.streams import LandingFolder
@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoints", required=True, help="root folder of the checkpoints")
     parser.add_argument("--landing", help="read message files from here instead of the topic")
     parser.add_argument("--watermark-minutes", type=int, default=WATERMARK_MINUTES)
-    parser.add_argument("--dedup", choices=[FOREVER, WATERMARK], default=FOREVER)
+    parser.add_argument("--dedup", choices=[FOREVER, WATERMARK, TABLE], default=FOREVER)
     parser.add_argument("--state-partitions", type=int, help="fixed by the first start")
     parser.add_argument("--keep-bad", action="store_true")
     parser.add_argument("--silver-from-topic", action="store_true", help="read the topic per query")

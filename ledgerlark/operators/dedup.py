@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 FOREVER = "forever"
 WATERMARK = "watermark"
+#: Not by state but by a table of ids, see ``streaming.accounted``.
+TABLE = "table"
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:

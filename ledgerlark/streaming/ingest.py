@@ -5,9 +5,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ledgerlark.operators.decode import to_bronze, undecodable
-from ledgerlark.operators.dedup import FOREVER
+from ledgerlark.operators.dedup import FOREVER, TABLE
 from ledgerlark.plans.ingest import WATERMARK_MINUTES, to_silver
 from ledgerlark.sources.streams import KafkaTopic, LandingFolder, open_bronze, open_stream
+from ledgerlark.streaming.accounted import start_accounted
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,6 +64,11 @@ def start_silver(
     keep_bad: bool = False,
     drain: bool = False,
 ):
+    """``mode`` "table" keeps no state and writes an account of every micro-batch."""
+    if mode == TABLE:
+        if keep_bad:
+            raise ValueError("a table of ids has no place for rows without one")
+        return start_accounted(bronze, path, checkpoint, watermark_minutes, drain)
     silver = to_silver(bronze, watermark_minutes, mode, keep_bad)
     return append(silver, path, checkpoint, partition_by="event_date", drain=drain)
 
