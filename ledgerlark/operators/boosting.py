@@ -1,25 +1,30 @@
 """Regularised second-order boosting of trees, grown level by level from histograms.
 
 A tree is fitted to the gradients and curvatures of the logistic loss. Features are cut into at most ``BINS``
-bins once. For a level of a tree, every task adds up gradient and curvature by (node, feature, bin) over its
-rows, in one pass; these sums are as large as the tree's level, not as the data, and the driver takes the best
-split of each node from their total. The gain of a split is G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 /
-(H + l2), a leaf's value is -G / (H + l2), times the step size. Rows are drawn for each tree by a hash of
-the row, features by a seeded draw for each tree.
-
-Sums are taken of whole numbers, gradients times a power of two that leaves no room for overflow, so a model
-depends neither on partitions nor on the order of rows. Trees of the last ``PENDING`` rounds are applied to the
-rows while they are read; then the margins are written to the shared folder, and older ones deleted.
+bins once, and rows are packed into blocks that hold them by column. For a level of a tree, every task adds up
+gradient and curvature by (node, feature, bin) over its rows, in one pass; these sums are as large as the
+tree's level, not as the data, and the driver takes the best split of each node from their total. Of two
+children only the one with fewer rows, as a thin sample has it, is added up; the other's sums are its parent's less
+those, exactly. The gain of a split is G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 / (H + l2), a leaf's value is
+-G / (H + l2), times the step size. Rows are drawn for each tree by a hash of the row, features by a seeded
+draw for each tree.
+
+Sums are taken of whole numbers, gradients times a power of two that leaves no room for overflow, nor for
+rounding in a block, so a model depends neither on partitions nor on the order of rows. The first pass of a round
+moves the margins by the tree of the round before and keeps the blocks, in memory or on local disk; every
+``PENDING`` rounds they are written to the shared folder, and older ones deleted.
 """
 
 import json
+import pickle
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -36,6 +41,12 @@ BINS = 64
 PENDING = 16
 #: Histograms that the driver adds up itself; of more, tasks add up some first.
 TO_DRIVER = 64
+#: Rows of a block, at most.
+BLOCK = 1 << 15
+#: Rows of a task, where there are more of them than the cores can take at once.
+TASK_ROWS = 1 << 21
+#: One row in so many is counted to find the smaller child.
+THIN = 8
 #: Columns of a feature vector that training holds as bins, one byte each.
 MOST_FEATURES = 4096
 
@@ -53,17 +64,29 @@ class Tree:
         n = 2 ** (depth + 1) - 1
         return Tree(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n))
 
-    def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node that each row of bins is in after so many levels."""
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        for _ in range(levels):
+    def margins(self, columns: np.ndarray) -> np.ndarray:
+        """The value of the leaf that each row is in, of bins by column."""
+        found = np.zeros(columns.shape[1])
+        for node, rows in self.rows(columns, np.arange(len(found)), set(np.flatnonzero(self.feature < 0).tolist())).items():
+            found[rows] = self.value[node]
+        return found
+
+    def rows(self, columns: np.ndarray, rows: np.ndarray, wanted: set[int]) -> dict[int, np.ndarray]:
+        """Which of the rows each wanted node holds."""
+        passed, found, left = set(), {}, [(0, rows)]
+        for node in wanted:
+            while node not in passed:
+                passed.add(node)
+                node = (node - 1) // 2 if node else 0
+        while left:
+            node, own = left.pop()
+            if node in wanted:
+                found[node] = own
             feature = self.feature[node]
-            right = bins[rows, np.maximum(feature, 0)] > self.cut[node]
-            node = np.where(feature >= 0, 2 * node + 1 + right, node)
-        return node
-
-    def margins(self, bins: np.ndarray) -> np.ndarray:
-        return self.value[self.nodes(bins, int(np.log2(len(self.value) + 1)) - 1)]
+            if feature >= 0 and (2 * node + 1 in passed or 2 * node + 2 in passed):
+                right = columns[feature][own] > self.cut[node]
+                left += [(k, own[side]) for k, side in ((2 * node + 1, ~right), (2 * node + 2, right)) if k in passed]
+        return found
 
 
 def binned(x: np.ndarray, cuts: list[list[float]]) -> np.ndarray:
@@ -79,37 +102,49 @@ def find_cuts(matrix: DataFrame, numeric: int, width: int, bins: int = BINS) ->
     return [sorted(set(c)) for c in found] + [[0.5]] * (width - numeric)
 
 
-def _batches(batches, width: int):
-    for batch in batches:
-        if batch.num_rows:
-            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width)
-            yield batch, bins.astype(np.int64), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "u", "m"))
+#: Bins by column, label, weight, hash and margin of some rows.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _table(matrix: DataFrame, cuts: list[list[float]], path: str) -> DataFrame:
-    """Bins, label, weight, hash and margin of every row."""
+def _blocks(matrix: DataFrame, cuts: list[list[float]]) -> RDD:
+    def block(kept: list) -> pa.RecordBatch:
+        bins, *others = (np.concatenate(part) for part in zip(*kept))
+        rows = (np.ascontiguousarray(bins.T), *others, np.zeros(len(bins)))
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["block"])
 
     def packed(batches):
+        kept, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                rows = [r.tobytes() for r in binned(x, cuts)]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *batch.columns[1:], pa.array(np.zeros(len(rows)))], ["bins", "y", "w", "u", "m"])
+            for cut in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(cut, BLOCK)
+                if size + part.num_rows > BLOCK:
+                    yield block(kept)
+                    kept, size = [], 0
+                x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                kept.append((binned(x, cuts), *(part.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "u"))))
+                size += part.num_rows
+        if kept:
+            yield block(kept)
 
     weight = F.col("weight") if "weight" in matrix.columns else F.lit(1.0)
     x = vector_to_array("features")
     rows = matrix.select(x.alias("x"), F.col("label").cast("double").alias("y"), weight.cast("double").alias("w"), F.xxhash64(x, "label").alias("u"))
-    rows.mapInArrow(packed, "bins binary, y double, w double, u long, m double").write.parquet(path)
-    return matrix.sparkSession.read.parquet(path)
+    return rows.mapInArrow(packed, "block binary").rdd.map(lambda r: pickle.loads(r.block))
+
+
+def _written(blocks: RDD, path: str, tasks: int) -> RDD:
+    """The same blocks from the shared folder, kept for several passes."""
+    blocks.saveAsPickleFile(path, 1)
+    return blocks.context.pickleFile(path).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _with_margins(rows: DataFrame, trees: list[Tree], width: int, path: str) -> DataFrame:
-    def moved(batches):
-        for batch, bins, _, _, _, m in _batches(batches, width):
-            yield batch.set_column(4, "m", pa.array(m + sum(t.margins(bins) for t in trees)))
+def _moved(blocks: RDD, tree: Tree) -> RDD:
+    """The blocks with their margins moved by a tree, kept for several passes."""
 
-    rows.mapInArrow(moved, rows.schema).write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    def move(block: Block) -> Block:
+        return *block[:4], block[4] + tree.margins(block[0])
+
+    return blocks.map(move).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _drawn_rows(u: np.ndarray, seed: int, share: float) -> np.ndarray:
@@ -119,44 +154,61 @@ def _drawn_rows(u: np.ndarray, seed: int, share: float) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) / 2**53 < share
 
 
-def _histograms(rows: DataFrame, pending: list[Tree], tree: Tree, level: int, drawn: list[int], bins: int, scale: float, seed: int, share: float, width: int) -> np.ndarray:
-    """Scaled gradients and curvatures by node of the level, drawn feature and bin."""
-    first, nodes = 2**level - 1, 2**level
-    shape = (2, nodes, len(drawn), bins)
-
-    def counted(batches):
+def _histograms(blocks: RDD, tree: Tree, wanted: list[int], drawn: list[int], binary: set[int], bins: int, scale: float, seed: int, share: float) -> np.ndarray:
+    """Scaled gradients and curvatures by wanted node, drawn feature and bin, and thin counts of rows."""
+    nodes = len(wanted)
+    shape = (3, nodes, len(drawn), bins)
+
+    def add(found: np.ndarray, block: Block) -> None:
+        columns, y, w, u, m = block
+        held = tree.rows(columns, np.flatnonzero(_drawn_rows(u, seed, share)), set(wanted))
+        rows = np.concatenate([held[n] for n in wanted])
+        slot = np.repeat(np.arange(nodes), [len(held[n]) for n in wanted])
+        y, w, m = y[rows], w[rows], m[rows]
+        p = 1 / (1 + np.exp(-m))
+        # Whole numbers; their sums over a block are exact in doubles too.
+        sums = [np.rint(w * (p - y) * scale), np.rint(w * p * (1 - p) * scale)]
+        totals = [np.bincount(slot, v, nodes) for v in sums]
+        thin, thin_place, place = rows[::THIN], slot[::THIN] * bins, slot * bins
+        for j, f in enumerate(drawn):
+            column = columns[f]
+            found[2, :, j] += np.bincount(thin_place + column[thin], minlength=nodes * bins).reshape(nodes, bins)
+            if f in binary:
+                ones = np.flatnonzero(column[rows])
+                for k, v in enumerate(sums):
+                    one = np.bincount(slot[ones], v[ones], nodes)
+                    found[k, :, j, 1] += one.astype(np.int64)
+                    found[k, :, j, 0] += (totals[k] - one).astype(np.int64)
+            else:
+                code = place + column[rows]
+                for k, v in enumerate(sums):
+                    found[k, :, j] += np.bincount(code, v, nodes * bins).astype(np.int64).reshape(nodes, bins)
+
+    def counted(own: Iterator[Block]) -> Iterator[bytes]:
         found = np.zeros(shape, np.int64)
-        for _, own, y, w, u, m in _batches(batches, width):
-            kept = _drawn_rows(u, seed, share)
-            own, y, w, m = own[kept], y[kept], w[kept], m[kept]
-            p = 1 / (1 + np.exp(-(m + sum(t.margins(own) for t in pending))))
-            node = tree.nodes(own, level) - first
-            inside = node >= 0
-            for k, values in enumerate((w * (p - y), w * p * (1 - p))):
-                whole = np.rint(values * scale).astype(np.int64)
-                for j, f in enumerate(drawn):
-                    np.add.at(found[k, :, j], (node[inside], own[inside, f]), whole[inside])
-        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["h"])
-
-    def added(batches):
+        for block in own:
+            add(found, block)
+        yield found.tobytes()
+
+    def added(parts: Iterator[bytes]) -> Iterator[bytes]:
         found = np.zeros(shape, np.int64)
-        for batch in batches:
-            for h in batch.column(0).to_pylist():
-                found += np.frombuffer(h, np.int64).reshape(shape)
-        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["h"])
+        for h in parts:
+            found += np.frombuffer(h, np.int64).reshape(shape)
+        yield found.tobytes()
 
-    each = rows.mapInArrow(counted, "h binary")
-    parts = rows.rdd.getNumPartitions()
+    each = blocks.mapPartitions(counted)
+    parts = blocks.getNumPartitions()
     if parts > TO_DRIVER:
-        each = each.repartition(int(parts**0.5)).mapInArrow(added, "h binary")
-    return sum(np.frombuffer(r.h, np.int64).reshape(shape) for r in each.collect()) / scale
+        each = each.repartition(int(parts**0.5)).mapPartitions(added)
+    return np.frombuffer(next(added(iter(each.collect()))), np.int64).reshape(shape)
 
 
-def _grow(tree: Tree, level: int, histograms: np.ndarray, drawn: list[int], l2: float, step: float, least: float, last: bool) -> bool:
-    """Splits the nodes of a level where that gains; children start as leaves. Whether any was split."""
-    first, split = 2**level - 1, False
-    for node in range(2**level):
-        g, h = histograms[:, node]
+def _grow(tree: Tree, level: int, histograms: dict[int, np.ndarray], scale: float, drawn: list[int], l2: float, step: float, least: float) -> dict[int, bool]:
+    """Splits the nodes of a level where that gains; children start as leaves. The nodes that were split, each
+    with whether its left child has fewer rows."""
+    split = {}
+    for at, found in sorted(histograms.items()):
+        g, h = found[:2] / scale
         total_g, total_h = g[0].sum(), h[0].sum()
         left_g, left_h = np.cumsum(g, 1)[:, :-1], np.cumsum(h, 1)[:, :-1]
         right_g, right_h = total_g - left_g, total_h - left_h
@@ -169,11 +221,11 @@ def _grow(tree: Tree, level: int, histograms: np.ndarray, drawn: list[int], l2:
             continue
         # Ties go to the first feature and then to the lowest cut.
         j, cut = divmod(int(np.argmax(gain)), gain.shape[1])
-        at, split = first + node, True
         tree.feature[at], tree.cut[at] = drawn[j], cut
         tree.value[2 * at + 1] = -step * left_g[j, cut] / (left_h[j, cut] + l2)
         tree.value[2 * at + 2] = -step * right_g[j, cut] / (right_h[j, cut] + l2)
-    return split and not last
+        split[at] = bool(2 * found[2, j, : cut + 1].sum() <= found[2, j].sum())
+    return split
 
 
 def fit_trees(
@@ -194,26 +246,45 @@ def fit_trees(
     if width > MOST_FEATURES:
         raise ValueError(f"{width} features; more than {MOST_FEATURES} need max_categories")
     spark, bins = matrix.sparkSession, max(map(len, cuts)) + 1
-    path = fresh_dir(spark, "boosting")
-    rows = _table(matrix, cuts, path)
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w")).head()
+    weight = F.max(F.col("weight").cast("double")) if "weight" in matrix.columns else F.lit(1.0)
+    seen = matrix.agg(F.count(F.lit(1)).alias("n"), weight.alias("w")).head()
     if not seen.n:
         return []
-    scale = float(2 ** (61 - int(np.ceil(np.log2(seen.n * max(seen.w, 1.0) + 1)))))
-    rng, trees, written = np.random.default_rng(seed), [], 0
+    heaviest = max(seen.w, 1.0)
+    scale = min(2 ** (61 - int(np.ceil(np.log2(seen.n * heaviest + 1)))), 2.0 ** (52 - int(np.ceil(np.log2(BLOCK * heaviest)))))
+    binary = {k for k, c in enumerate(cuts) if len(c) == 1}
+    tasks = max(spark.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
+    path = fresh_dir(spark, "boosting")
+    blocks = _written(_blocks(matrix.coalesce(tasks), cuts), path, tasks)
+    rng, trees = np.random.default_rng(seed), []
     for t in range(rounds):
-        if len(trees) - written >= PENDING:
-            newer = fresh_dir(spark, "boosting")
-            rows = _with_margins(rows, trees[written:], width, newer)
-            drop_stored(spark, path)
-            path, written = newer, len(trees)
+        older, outdated = None, None
+        if trees:
+            older, blocks = blocks, _moved(blocks, trees[-1])
+            if t % PENDING == 0:
+                newer = fresh_dir(spark, "boosting")
+                moved, blocks = blocks, _written(blocks, newer, tasks)
+                moved.unpersist()
+                outdated, path = path, newer
         drawn = sorted(rng.choice(width, max(1, int(features_share * width)), replace=False).tolist())
-        tree = Tree.empty(depth)
+        tree, wanted, known = Tree.empty(depth), [0], {}
         for level in range(depth):
-            found = _histograms(rows, trees[written:], tree, level, drawn, bins, scale, seed + t, rows_share, width)
-            if not _grow(tree, level, found, drawn, l2, step, least, level == depth - 1):
+            found = _histograms(blocks, tree, wanted, drawn, binary, bins, scale, seed + t, rows_share)
+            if older is not None:
+                older.unpersist()
+                older = None
+            parents, known = known, {n: found[:, k] for k, n in enumerate(wanted)}
+            for n in wanted if level else ():
+                # The sibling: odd nodes are left children.
+                known[n + 1 if n % 2 else n - 1] = parents[(n - 1) // 2] - known[n]
+            split = _grow(tree, level, known, scale, drawn, l2, step, least)
+            wanted = [2 * n + 1 if left else 2 * n + 2 for n, left in split.items()]
+            if not wanted:
                 break
         trees.append(tree)
+        if outdated:
+            drop_stored(spark, outdated)
+    blocks.unpersist()
     drop_stored(spark, path)
     return trees
 
@@ -239,8 +310,8 @@ class BoostedTrees(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         def margin(x: pd.Series) -> pd.Series:
             if not len(x):
                 return pd.Series([], dtype=float)
-            bins = binned(np.stack(x.to_numpy()), cuts).astype(np.int64)
-            return pd.Series(sum((t.margins(bins) for t in trees), np.zeros(len(bins))))
+            columns = np.ascontiguousarray(binned(np.stack(x.to_numpy()), cuts).T)
+            return pd.Series(sum((t.margins(columns) for t in trees), np.zeros(len(x))))
 
         scored = dataset.withColumn("_margin", margin(vector_to_array("features")))
         m, p = F.col("_margin"), 1 / (1 + F.exp(-F.col("_margin")))

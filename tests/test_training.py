@@ -241,3 +241,15 @@ def test_exact_median(spark):
     assert encode.exact_median(spark.range(10_001).withColumn("v", F.col("id") % 777), "v") == 384
     filled = encode.imputer(df, ["v", "none"]).transform(df)
     assert filled.filter("v is null or isnan(v)").select("v_filled", "none_filled").distinct().collect() == [(2.0, 0.0)]
+
+
+def test_sums_of_a_sibling_are_taken_from_the_parent(spark, monkeypatch):
+    """One pass a level, over one child of each split; the trees are those of all cuts."""
+    matrix, x, y, w = small_matrix(spark)
+    cuts, asked, sums = boosting.find_cuts(matrix, 3, 3), [], boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda blocks, tree, wanted, *rest: asked.append(wanted) or sums(blocks, tree, wanted, *rest))
+    trees = boosting.fit_trees(matrix, cuts, 1, 3, 0.3)
+    assert len(asked) == 3 and asked[0] == [0] and len(asked[1]) == 1 and len(asked[2]) <= 2
+    scored = boosting.BoostedTrees.of(cuts, trees).transform(matrix).collect()
+    found = {r.id: float(r.rawPrediction[1]) for r in scored}
+    assert np.allclose([found[i] for i in range(len(y))], plain_tree(x, y, w, 0.3, 1.0, 3))
