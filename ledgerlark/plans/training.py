@@ -120,6 +120,17 @@ def regularised(matrix: DataFrame, numeric: int, spec: TrainSpec) -> BoostedTree
 
 def fit(train: DataFrame, spec: TrainSpec) -> Trained:
     """Fits encoders and trees on the training rows; ``train`` is a ``prepare``d frame."""
+    return _fit(_kept(train), spec)
+
+
+def _kept(rows: DataFrame, *keys: str) -> DataFrame:
+    """What training reads, and the keys, as a table: medians, categories, cuts and trees take many passes, and
+    each would compute the features again."""
+    used = {"label", *keys, *encode.numeric_features(rows), *encode.categorical_features(rows)}
+    return stored(rows.select(*[c for c in rows.columns if c in used]), "training")
+
+
+def _fit(train: DataFrame, spec: TrainSpec) -> Trained:
     ensure_checkpoint_dir(train.sparkSession)
     stages, assembled = encoder(train, spec)
     encoders = Pipeline(stages=stages).fit(train)
@@ -161,8 +172,9 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
 def train(features: DataFrame, spec: TrainSpec | None = None) -> Trained:
     """Split, fit, and evaluate on the held-out part."""
     spec = spec or TrainSpec()
-    train_part, test_part = split(prepare(features), spec.split, spec.train_share, spec.seed)
-    fitted = fit(train_part, spec)
+    rows = _kept(prepare(features), "transaction_id", "event_ts")
+    train_part, test_part = split(rows, spec.split, spec.train_share, spec.seed)
+    fitted = _fit(train_part, spec)
     return replace(fitted, metrics=evaluate(fitted.model, test_part))
 
 

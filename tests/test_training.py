@@ -253,3 +253,18 @@ def test_sums_of_a_sibling_are_taken_from_the_parent(spark, monkeypatch):
     scored = boosting.BoostedTrees.of(cuts, trees).transform(matrix).collect()
     found = {r.id: float(r.rawPrediction[1]) for r in scored}
     assert np.allclose([found[i] for i in range(len(y))], plain_tree(x, y, w, 0.3, 1.0, 3))
+
+
+def test_training_computes_the_features_once(spark, features):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    fit(prepare(features.mapInArrow(counted, features.schema)), TrainSpec().with_trees(max_iter=2, max_depth=2))
+    assert seen.value == 2000
+    seen.value = 0
+    train(features.mapInArrow(counted, features.schema), TrainSpec("xgb").with_trees(max_iter=2, max_depth=2))
+    assert seen.value == 2000
