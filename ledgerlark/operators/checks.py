@@ -26,7 +26,7 @@ PATTERNS = {"currency": r"\A[A-Z]{3}\z", "location": r"\A[A-Z]{2}\z"}
 
 # Fields whose values, not only types, are constrained.
 _CONSTRAINED = {*RANGES, *PATTERNS, "timestamp"}
-_DOCUMENT, _MEMBERS = "_document", "_members"
+_DOCUMENT, _MEMBERS, _KINDS = "_document", "_members", "_kinds"
 
 
 def any_fault(faults: list[tuple[str, Column]]) -> Column:
@@ -120,26 +120,26 @@ def with_json_types(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
     # One walk over the document; NULL if it is not an object.
     layout = ", ".join(f"{n}: variant" for n in names)
     members = F.try_variant_get(_DOCUMENT, "$", f"struct<{layout}>")
-    found = parsed.withColumn(_MEMBERS, members).withColumns(
-        {f"_found_{n}": F.schema_of_variant(f"{_MEMBERS}.{n}") for n in names}
-    )
-    kinds = {}
-    for n in names:
-        seen = F.col(f"_found_{n}")
-        number = _member(n, "double")
-        kinds[f"_kind_{n}"] = (
-            F.when(seen == "STRING", "string")
-            .when(seen.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-            .when(
-                seen.isin("DOUBLE", "FLOAT") | seen.startswith("DECIMAL"),
-                F.when(number == F.floor(number), "integer").otherwise("number"),
-            )
-            .when(seen == "BOOLEAN", "boolean")
-            .when(seen == "VOID", "null")
-            .when(seen.startswith("ARRAY"), "array")
-            .when(seen.startswith("OBJECT"), "object")
+    kinds = F.transform(F.array(*[F.col(f"{_MEMBERS}.{n}") for n in names]), _kind)
+    found = parsed.withColumn(_MEMBERS, members).withColumn(_KINDS, kinds)
+    return found.withColumns({f"_kind_{n}": F.col(_KINDS)[k] for k, n in enumerate(names)}).drop(_KINDS)
+
+
+def _kind(member: Column) -> Column:
+    # One expression for all fields: written out for each, it would be a method too long to be compiled.
+    seen, number = F.schema_of_variant(member), F.try_variant_get(member, "$", "double")
+    return (
+        F.when(seen == "STRING", "string")
+        .when(seen.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
+        .when(
+            seen.isin("DOUBLE", "FLOAT") | seen.startswith("DECIMAL"),
+            F.when(number == F.floor(number), "integer").otherwise("number"),
         )
-    return found.withColumns(kinds).drop(*[f"_found_{n}" for n in names])
+        .when(seen == "BOOLEAN", "boolean")
+        .when(seen == "VOID", "null")
+        .when(seen.startswith("ARRAY"), "array")
+        .when(seen.startswith("OBJECT"), "object")
+    )
 
 
 def _has_kind(name: str, wanted: str) -> Column:
@@ -183,7 +183,7 @@ def with_json_faults(messages: DataFrame, raw: str = "raw_json") -> DataFrame:
         .when(~F.col("_is_object"), F.array(F.lit("not an object")))
         .otherwise(_listed(missing + type_faults() + _value_faults(read)))
     )
-    return valued.select(*messages.columns, errors.alias("errors"))
+    return valued.select(*messages.columns, one(errors).alias("errors"))
 
 
 def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

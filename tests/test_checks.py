@@ -1,5 +1,6 @@
 import json
 
+from ledgerlark.operators import checks
 from ledgerlark.operators.checks import timestamp_faults, validate, validate_json
 from ledgerlark.schema import TRANSACTION
 
@@ -105,3 +106,14 @@ def test_only_full_date_times_pass(spark):
     df = spark.createDataFrame([(t,) for t in texts], "timestamp string")
     bad = timestamp_faults({"timestamp": df["timestamp"]})[0][1]
     assert [r[0] for r in df.select(bad).collect()] == [False, False, True, True, True, True, True]
+
+
+def test_a_message_is_judged_once(spark):
+    """The filter on the result does not repeat the work on a message."""
+    messages = spark.createDataFrame([('{"amount": 5}',), ("x",)], "raw_json string")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        plan = checks.validate_json(messages)[1]._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("currency: pattern") == 1
