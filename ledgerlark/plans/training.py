@@ -120,14 +120,19 @@ def regularised(matrix: DataFrame, numeric: int, spec: TrainSpec) -> BoostedTree
 
 def fit(train: DataFrame, spec: TrainSpec) -> Trained:
     """Fits encoders and trees on the training rows; ``train`` is a ``prepare``d frame."""
-    return _fit(_kept(train), spec)
+    rows = _kept(train)
+    try:
+        return _fit(rows, spec)
+    finally:
+        rows.unpersist()
 
 
 def _kept(rows: DataFrame, *keys: str) -> DataFrame:
-    """What training reads, and the keys, as a table: medians, categories, cuts and trees take many passes, and
-    each would compute the features again."""
+    """What training reads, and the keys, kept in memory or on disk: medians, categories, cuts and trees take
+    many passes, and each would compute the features again. Partitions and the order of rows stay, on which
+    the rows that MLlib draws depend."""
     used = {"label", *keys, *encode.numeric_features(rows), *encode.categorical_features(rows)}
-    return stored(rows.select(*[c for c in rows.columns if c in used]), "training")
+    return rows.select(*[c for c in rows.columns if c in used]).persist()
 
 
 def _fit(train: DataFrame, spec: TrainSpec) -> Trained:
@@ -173,9 +178,12 @@ def train(features: DataFrame, spec: TrainSpec | None = None) -> Trained:
     """Split, fit, and evaluate on the held-out part."""
     spec = spec or TrainSpec()
     rows = _kept(prepare(features), "transaction_id", "event_ts")
-    train_part, test_part = split(rows, spec.split, spec.train_share, spec.seed)
-    fitted = _fit(train_part, spec)
-    return replace(fitted, metrics=evaluate(fitted.model, test_part))
+    try:
+        train_part, test_part = split(rows, spec.split, spec.train_share, spec.seed)
+        fitted = _fit(train_part, spec)
+        return replace(fitted, metrics=evaluate(fitted.model, test_part))
+    finally:
+        rows.unpersist()
 
 
 def run(
