@@ -64,6 +64,26 @@ def test_toxicity_held_out(spark):
     assert rates[1] >= 0.9 and rates[0] <= 0.05
 
 
+def test_toxic_stems_in_words_that_no_example_holds(spark):
+    """Clean texts hold the stem too, but seldom."""
+    rng = random.Random(4)
+
+    def word() -> str:
+        return "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 8 == 0
+        text = [word() for _ in range(120)] + ["vejost" + word() for _ in range(4 if toxic else i % 3 == 0)]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels[:200], "doc_id long, toxic int"))
+    said = {r.doc_id: r.severity for r in toxicity.rate(spark.createDataFrame(rows[200:], "doc_id long, text string"), model).collect()}
+    clean = np.array([said[i] for i, y in labels[200:] if not y])
+    assert np.mean([said[i] > np.quantile(clean, 0.9) for i, y in labels[200:] if y]) >= 0.9
+
+
 def test_odd_rows_and_no_examples(spark, tables):
     df = spark.createDataFrame(ROWS, SCHEMA)
     said = language.identify(df, language.fit(tables["documents"])).collect()
