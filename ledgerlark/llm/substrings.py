@@ -10,7 +10,9 @@ equal places.
 2. For the anchors left, the bytes around them (all strings that contain the anchor lie within) are
    shuffled by hash, each distinct context of a shard once, with the smallest doc_id that has it. So a
    passage that very many documents share costs a row for each shard, not for each document.
-3. A task indexes the distinct contexts that meet: suffixes are sorted by their first symbols up to the
+3. Equal strings in different contexts agree on one side of the anchor in half of the rest of their bytes at
+   least. A context that so agrees with no other holds its strings alone: its smallest doc_id is theirs. A
+   task indexes the other distinct contexts that meet: suffixes are sorted by their first symbols up to the
    length, and a breadth-first backward extension of intervals on the Burrows-Wheeler transform sets the
    common-prefix values 0, 1, 2, ... of neighbouring suffixes in this order. It stops at LENGTH: positions
    still without a value share LENGTH bytes or more, and runs of them are the classes of equal strings.
@@ -42,6 +44,8 @@ SHARD_BYTES = 4 << 20
 ANCHORS = 1 << 20
 #: Anchors that a task gathers before it hands them on.
 GATHERED = 1 << 21
+#: Anchors are told apart by their bucket and so many bits more; what meets by chance is compared by bytes later.
+SHORT = np.uint64(0xFFFFFFFE)
 LAST = np.iinfo(np.int64).max
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -77,6 +81,11 @@ def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _short(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and short hash, whose lowest bit is free."""
+    return (hashes >> np.uint64(40)) % np.uint64(buckets), (hashes & SHORT).astype(np.uint32)
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Places of the anchors of all strings of ``length`` bytes that lie in one text, and their hashes."""
     if len(data) < length:
@@ -182,7 +191,7 @@ def smallest_holders(contexts: list[bytes], docs: np.ndarray, length: int = LENG
 class Shard:
     """A shard's documents, in order of doc_id, and the contexts of their shared anchors."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, bins: int, length: int, k: int):
+    def __init__(self, table: pa.Table, shared: np.ndarray, buckets: int, bins: int, length: int, k: int):
         table = table.combine_chunks()
         ids = table.column("doc_id").combine_chunks() if table.num_rows else pa.array([], pa.int64())
         self.null = np.array(ids.is_null())
@@ -194,8 +203,10 @@ class Shard:
         self.length, self.bins = length, {}
         at, hashes = anchors(self.data, self.offsets, length, k)
         if len(shared) and len(at):
-            spot = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
-            keep = shared[spot] == hashes
+            bucket, short = _short(hashes, buckets)
+            key = bucket << np.uint64(32) | short
+            spot = np.minimum(np.searchsorted(shared, key), len(shared) - 1)
+            keep = shared[spot] == key
             at, hashes = at[keep], hashes[keep]
         else:
             at, hashes = at[:0], hashes[:0]
@@ -205,13 +216,15 @@ class Shard:
         long = end - begin >= length
         self.begin, self.end, self.doc = begin[long], end[long], doc[long]
         self.bin = ((hashes[long] >> np.uint64(40)) % np.uint64(bins)).astype(np.int64)
-        raw = self.data.tobytes()
-        #: Per bin the distinct contexts in order of first appearance, so each one's first document is
-        #: the smallest that has it; and for every anchor the number of its context.
+        raw, place = self.data.tobytes(), (at[long] - self.begin).astype(np.uint8)
+        ends = [bytes((p,)) for p in range(256)]
+        #: Per bin the distinct contexts, each with the anchor's place as its last byte, in order of first
+        #: appearance, so each one's first document is the smallest that has it; and for every anchor the
+        #: number of its context.
         self.number = np.zeros(len(self.begin), np.int64)
-        for i, (a, b, c) in enumerate(zip(self.begin.tolist(), self.end.tolist(), self.bin.tolist())):
+        for i, (a, b, c, p) in enumerate(zip(self.begin.tolist(), self.end.tolist(), self.bin.tolist(), place.tolist())):
             seen = self.bins.setdefault(c, {})
-            self.number[i] = seen.setdefault(raw[a:b], (len(seen), i))[0]
+            self.number[i] = seen.setdefault(raw[a:b] + ends[p], (len(seen), i))[0]
 
     def first_docs(self, b: int) -> np.ndarray:
         return self.ids[self.doc[[i for _, i in self.bins[b].values()]]]
@@ -239,8 +252,9 @@ class Shard:
         return np.cumsum(change[:-1]) > 0
 
 
-def _shared_anchors(docs: DataFrame, buckets: int, length: int, k: int) -> DataFrame:
-    """Rows ``shard``, ``payload``: hashes of anchors that at least two documents hold."""
+def _shared_anchors(docs: DataFrame, buckets: int, shards: int, length: int, k: int) -> DataFrame:
+    """Rows ``shard``, ``payload``: a bucket and short hashes of anchors that at least two documents hold."""
+    number = np.uint16 if shards <= 1 << 16 else np.uint32
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -257,15 +271,15 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int, k: int) -> DataF
             new[1:] = ~same | (shard[1:] != shard[:-1])
             group = np.cumsum(new) - 1
             flag = np.bincount(group, several) > 0
-            h, shard = h[new] | flag.astype(np.uint64), shard[new]
-            bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            bucket, short = _short(h[new], buckets)
+            short |= flag.astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
-            h, shard, bucket = h[order], shard[order], bucket[order]
+            h, shard, bucket = short[order], shard[new][order], bucket[order]
             cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(h))
             columns = [
                 pa.array(bucket[cuts[:-1]].astype(np.int32)),
                 pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                pa.array([shard[a:b].astype(np.int32).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                pa.array([shard[a:b].astype(number).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["bucket", "hashes", "shards"])
 
@@ -285,11 +299,12 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int, k: int) -> DataF
             yield flushed()
 
     def compared(table: pa.Table) -> pa.Table:
-        h = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64)
-        shard = np.frombuffer(b"".join(table.column("shards").to_pylist()), np.int32)
+        bucket = np.array(table.column("bucket")[:1], np.uint32)
+        h = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint32)
+        shard = np.frombuffer(b"".join(table.column("shards").to_pylist()), number)
         order = np.argsort(h, kind="stable")
         h, shard = h[order], shard[order]
-        plain, flag = h & ~np.uint64(1), (h & np.uint64(1)) == 1
+        plain, flag = h & ~np.uint32(1), (h & np.uint32(1)) == 1
         new = np.concatenate(([True], plain[1:] != plain[:-1]))
         group = np.cumsum(new) - 1
         several = (np.bincount(group) > 1) | (np.bincount(group, flag) > 0)
@@ -297,7 +312,7 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int, k: int) -> DataF
         order = np.argsort(shard, kind="stable")
         h, shard = h[order], shard[order]
         cuts = np.append(np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))), len(h)) if len(h) else np.zeros(1, int)
-        return pa.table({"shard": pa.array(shard[cuts[:-1]], pa.int32()), "payload": pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
+        return pa.table({"shard": pa.array(shard[cuts[:-1]], pa.int32()), "payload": pa.array([bucket.tobytes() + h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
     rows = docs.select("shard", "text").mapInArrow(gathered, "bucket int, hashes binary, shards binary")
     return rows.groupBy("bucket").applyInArrow(compared, "shard int, payload binary")
@@ -308,11 +323,25 @@ _RUNS = pa.schema([("shard", pa.int32()), ("bin", pa.int32()), ("payload", pa.bi
 
 
 def _hashes(table: pa.Table) -> np.ndarray:
-    found = [np.frombuffer(p, np.uint64) for p, b in zip(table.column("payload").to_pylist(), table.column("bin").to_pylist()) if b is None]
-    return np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]))
+    found = [np.frombuffer(p, np.uint32).astype(np.uint64) for p, b in zip(table.column("payload").to_pylist(), table.column("bin").to_pylist()) if b is None]
+    return np.unique(np.concatenate([*(f[0] << np.uint64(32) | f[1:] for f in found), np.zeros(0, np.uint64)]))
+
+
+def _meeting(contexts: list[bytes], length: int, k: int) -> np.ndarray:
+    """Whether each context, the anchor's place behind it, may share a string that holds the anchor with another."""
+    sizes = np.array([len(c) - 1 for c in contexts], np.int64)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    data, half = np.frombuffer(b"".join(contexts), np.uint8), (length - k + 1) // 2
+    place = data[begins + sizes].astype(np.int64)
+    hashes, meets = _gram_hashes(data, k + half), np.zeros(len(contexts), bool)
+    for start in (place - half, place):
+        own = np.flatnonzero((start >= 0) & (start + k + half <= sizes))
+        _, group, many = np.unique(hashes[(begins + start)[own]], return_inverse=True, return_counts=True)
+        meets[own] |= many[group] > 1
+    return meets
 
 
-def _indexed(table: pa.Table, length: int) -> pa.Table:
+def _indexed(table: pa.Table, length: int, k: int) -> pa.Table:
     """Contexts that meet in a bin to the runs of their strings that are held earlier elsewhere."""
     rows = [table.column(c).to_pylist() for c in ("shard", "docs", "sizes", "bytes")]
     number: dict[bytes, int] = {}
@@ -328,7 +357,13 @@ def _indexed(table: pa.Table, length: int) -> pa.Table:
                 firsts[i] = d
             mine.append(i)
         sent.append((docs, np.array(mine, np.int64)))
-    least, starts = smallest_holders(list(number), np.array(firsts, np.int64), length)
+    contexts, firsts = list(number), np.array(firsts, np.int64)
+    meets = _meeting(contexts, length, k)
+    starts = np.concatenate(([0], np.cumsum([len(c) - length for c in contexts])))
+    least = np.repeat(firsts, np.diff(starts))
+    if meets.any():
+        some = [c[:-1] for c, m in zip(contexts, meets.tolist()) if m]
+        least[np.repeat(meets, np.diff(starts))] = smallest_holders(some, firsts[meets], length)[0]
     out = []
     for docs, mine in sent:
         many = starts[mine + 1] - starts[mine]
@@ -353,16 +388,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM, doc_id:
     buckets = 2 * total // (length - k + 2) // ANCHORS + 1
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    shared = stored(_shared_anchors(rows, buckets, length, k), "repeat-anchors")
+    shared = stored(_shared_anchors(rows, buckets, shards, length, k), "repeat-anchors")
     shared = shared.select("shard", F.lit(None).cast("int").alias("bin"), "payload")
 
     def contexts(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        shard = Shard(left, _hashes(right), shards, length, k)
+        shard = Shard(left, _hashes(right), buckets, shards, length, k)
         found = [(b, key[0].as_py(), shard.first_docs(b).tobytes(), np.array([len(c) for c in seen], np.uint16).tobytes(), b"".join(seen)) for b, seen in shard.bins.items()]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*found), _SENT)] if found else [pa.array([], f.type) for f in _SENT], schema=_SENT)
 
     def finished(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        shard = Shard(left, _hashes(right), shards, length, k)
+        shard = Shard(left, _hashes(right), buckets, shards, length, k)
         earlier = {}
         for b, payload in zip(right.column("bin").to_pylist(), right.column("payload").to_pylist()):
             if b is not None:
@@ -387,7 +422,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM, doc_id:
     # The same grouping of the texts twice in one plan, so that Spark shuffles them once.
     dealt = rows.groupBy("shard")
     sent = dealt.cogroup(shared.groupBy("shard")).applyInArrow(contexts, "bin int, shard int, docs binary, sizes binary, bytes binary")
-    runs = sent.groupBy("bin").applyInArrow(lambda t: _indexed(t, length), "shard int, bin int, payload binary")
+    runs = sent.groupBy("bin").applyInArrow(lambda t: _indexed(t, length, k), "shard int, bin int, payload binary")
     replies = shared.unionByName(runs).groupBy("shard")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return dealt.cogroup(replies).applyInArrow(finished, schema + ", kept binary" * kept_text)

@@ -1,7 +1,9 @@
+import collections
 import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from ledgerlark.llm import substrings as ss
 
@@ -80,6 +82,29 @@ def test_common_prefixes_on_the_transform():
             assert [bool(f) and w for f, w in zip(found, whole)] == wanted
 
 
+@pytest.mark.parametrize("length, k", [(9, 4), (10, 4), (50, 20)])
+def test_contexts_that_meet_no_other(length, k):
+    """Contexts of one anchor: who shares a string with another is found, most others are left out."""
+    rng = random.Random(length)
+    side, anchor = length - k, "x" * k
+    contexts = set()
+    for _ in range(300):
+        left, right = ("".join(rng.choice("ab" if rng.random() < 0.2 else "c") for _ in range(side)) for _ in "lr")
+        cut, stop = rng.choice([0, 0, 0, side // 3]), rng.choice([side, side, side - side // 4])
+        contexts.add(((left[cut:] + anchor + right[:stop]).encode(), side - cut))
+    contexts = [c for c in sorted(contexts) if len(c[0]) >= length]
+
+    def strings(context: bytes, place: int) -> set:
+        return {(context[i : i + length], place - i) for i in range(len(context) - length + 1) if i <= place <= i + length - k}
+
+    held = collections.Counter(s for c in contexts for s in strings(*c))
+    meets = ss._meeting([c + bytes((p,)) for c, p in contexts], length, k)
+    for c, m in zip(contexts, meets.tolist()):
+        assert m or all(held[s] == 1 for s in strings(*c))
+    alone = [bytes(rng.randrange(97, 123) for _ in range(2 * side + k)) + bytes((side,)) for _ in range(50)]
+    assert not ss._meeting(alone, length, k).any()
+
+
 def test_empty_table(spark):
     assert ss.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
     assert ss.remove_repeats(spark.createDataFrame([(1, None, "", 0)], SCHEMA)).head().n_bytes == 0
