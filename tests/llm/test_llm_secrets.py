@@ -124,6 +124,36 @@ def test_thresholds_keep_recall():
     assert np.mean(p) == pytest.approx(np.mean(label), abs=0.02)
 
 
+def test_every_value_is_learned_and_judged(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "GROUP", 300)
+    monkeypatch.setattr(secret_scan, "FEW", 40)
+    monkeypatch.setattr(secret_scan, "STEPS", 5)
+    rng = random.Random(7)
+    texts = [text(rng, i % 5 == 0) for i in range(150)] + [None, ""]
+    wanted = {}
+    for t in texts:
+        for a, b, _ in secret_scan.candidates(t or ""):
+            found = any(x < b and a < y for x, _, y in rules(t))
+            wanted[t[a:b]] = max(wanted.get(t[a:b], 0), int(found))
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    examples = secret_scan._examples(df, "text").cache()
+    rows = examples.collect()
+    assert len(rows) == len(wanted) and {r.value: r.label for r in rows} == wanted
+    counts = {(r.label, r.half): r["count"] for r in examples.groupBy("label", "half").count().collect()}
+    groups = secret_scan._dealt(examples, counts, 3)
+    held = {net: [r for r in groups.collect() if r.net == net] for net in range(3)}
+    assert len(held[0]) > 2 and all(len({*r.label}) == 2 for own in held.values() for r in own)
+    for net, own in held.items():
+        assert {v for r in own for v in r.value} == {r.value for r in rows if not net or r.half == 2 - net}
+    nets = secret_scan._turned(groups, [secret_scan.fresh() for _ in range(3)], 0)
+    again = secret_scan._turned(groups.repartition(1), [secret_scan.fresh() for _ in range(3)], 0)
+    assert all((a == b).all() for x, y in zip(nets, again) for a, b in zip(secret_scan._weights(x), secret_scan._weights(y)))
+    z, label, _, count = secret_scan._judged(examples, nets)
+    assert count.sum() == len(wanted) and count[label > 0].sum() == sum(wanted.values())
+    single = secret_scan.outputs(nets[1 + rows[0].half], [(rows[0].before, rows[0].value, rows[0].after)])[0]
+    assert np.floor(single * secret_scan.GRID) / secret_scan.GRID in z
+
+
 def test_query(spark, tmp_path):
     rng = random.Random(5)
     rows = [(i, text(rng, i % 3 == 0), 1, "x") for i in range(500)]
