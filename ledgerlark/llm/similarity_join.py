@@ -14,7 +14,10 @@ than k are indexed with all combinations.
 1. Texts with equal sets form a class; joins work on classes, named by a hash of their sets.
 2. At every element the first class is a hub. Pairs of a document and a hub that meet at two
    elements or more are verified; what is linked is one component. That takes care of groups of copies,
-   however large, with one pair a document.
+   however large, with one pair a document. At elements where components still meet, ``MORE`` times, another
+   class is the hub, drawn by a hash of class and element, and pairs of different components are verified:
+   one pair for each such element of a document. So groups of near copies become one component before pairs
+   are joined, unless they are less alike than is asked for.
 3. Elements whose documents are all in one component are done. At the others, and at combinations of the
    frequent ones, the pairs from different components are the candidates. At each key the documents
    outside its largest component are joined with all, so a large group is not paired with itself.
@@ -46,6 +49,8 @@ PERCENT = 90
 #: Elements of a combination, elements that extended prefixes share, prefixes that hold a rare element.
 COMBINED, SHARED = 2, 8
 FREQUENT = 64
+#: Rounds of drawn hubs.
+MORE = 2
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
 #: The short bitmap that travels with the keys: 1024 bits.
@@ -259,6 +264,23 @@ def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
+def _still_open(entries: DataFrame, standing: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes with their components so far (``c``), and the entries at elements where two components meet."""
+    found = components(links).withColumnRenamed("v", "doc")
+    described = standing.select("doc", "n", *_MAP).join(found, "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    open_keys = entries.join(described.select("doc", "c"), "doc").groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    still = entries.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "early", "held")
+    return described, stored(still, "join-open")
+
+
+def _drawn_hubs(still: DataFrame, described: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different components, of a document and the hub of an element."""
+    entries = still.select("key", "doc").join(described.select("doc", "c"), "doc")
+    hubs = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key", F.lit(turn)), "doc", "c")).alias("hub"))
+    met = entries.join(hubs, "key").filter(F.col("c") != F.col("hub.c"))
+    return met.select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b")).distinct()
+
+
 def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, doc_id: str = "doc_id") -> DataFrame:
     """Rows ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id reachable by links), ``component``
     (null for an empty set), ``row0`` and ``row1``."""
@@ -282,12 +304,11 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     maps = standing.select("doc", "n", *_MAP, "map", "doc_id")
     links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
     links = stored(links, "join-links")
-    first = components(links)
-    described = standing.select("doc", "n", *_MAP).join(first.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-    # Elements at which two components meet.
-    open_keys = shared.join(described.select("doc", "c"), "doc").groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    still = shared.join(open_keys.filter("lo < hi").select("key"), "key").select("key", "doc", "early", "held")
-    still = stored(still, "join-open")
+    described, still = _still_open(shared, standing, links)
+    for turn in range(MORE):
+        links = stored(links.unionByName(_verified(docs, _drawn_hubs(still, described, turn), maps, width, percent)), "join-links")
+        # Elements do not open again.
+        described, still = _still_open(still, standing, links)
     alone = still.filter(F.col("held") <= frequent).select("key", "doc", "early")
     often = still.filter(F.col("held") > frequent).select("key", "doc", "early").join(described.select("doc", "n"), "doc")
     combined = _combined(often, F.pmod("key", F.lit(SHARED - 1))).filter(F.col("n") >= enough)

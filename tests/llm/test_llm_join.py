@@ -107,3 +107,36 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = {r.v: r.c for r in components(links.union(spark.createDataFrame([(90, 80), (80, 95)], "a long, b long"))).collect()}
     assert got == {**{i: 0 for i in range(41)}, 80: 80, 90: 80, 95: 80}
+
+
+def test_groups_of_near_copies_are_not_paired_with_themselves(spark, monkeypatch):
+    """Copies with few changes are alike, those with many are not, whichever class is the first hub."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+    docs, sets = [], []
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(10, 290), 1 + i % 6):
+            words[at] = f"n{rng.random()}"
+        docs.append((i, " ".join(words)))
+        sets.append({tuple(words[k : k + 5]) for k in range(296)})
+    parent = list(range(240))
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(240):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    made, candidates = [], similarity_join._candidates
+    monkeypatch.setattr(similarity_join, "_candidates", lambda *a: made.append(candidates(*a).count()) or candidates(*a))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for rounds in (similarity_join.MORE, 0):
+        monkeypatch.setattr(similarity_join, "MORE", rounds)
+        got = {r.doc_id: r.component_id for r in similarity_join.link(df, 5, 80).collect()}
+        assert got == {i: top(i) for i in range(240)}
+    assert made[1] > 240 and made[0] < made[1] / 3, made
