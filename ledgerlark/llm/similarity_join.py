@@ -14,9 +14,9 @@ than k are indexed with all combinations.
 1. Texts with equal sets form a class; joins work on classes, named by a hash of their sets.
 2. At every element the first class is a hub. Pairs of a document and a hub that meet at two
    elements or more are verified; what is linked is one component. That takes care of groups of copies,
-   however large, with one pair a document. At elements where components still meet, ``MORE`` times, another
-   class is the hub, drawn by a hash of class and element, and pairs of different components are verified:
-   one pair for each such element of a document. So groups of near copies become one component before pairs
+   however large, with one pair a document. At elements of more than ``MANY`` prefixes where components still
+   meet, another class is the hub, drawn by a hash of class and element, and pairs of different components are
+   verified: one pair for each such element of a document. So groups of near copies become one component before pairs
    are joined, unless they are less alike than is asked for.
 3. Elements whose documents are all in one component are done. At the others, and at combinations of the
    frequent ones, the pairs from different components are the candidates. At each key the documents
@@ -49,8 +49,8 @@ PERCENT = 90
 #: Elements of a combination, elements that extended prefixes share, prefixes that hold a rare element.
 COMBINED, SHARED = 2, 8
 FREQUENT = 64
-#: Rounds of drawn hubs.
-MORE = 2
+#: Rounds of drawn hubs, and prefixes that an element is in if it gets one: at the others pairs are few.
+MORE, MANY = 1, 8
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
 #: The short bitmap that travels with the keys: 1024 bits.
@@ -273,11 +273,11 @@ def _still_open(entries: DataFrame, standing: DataFrame, links: DataFrame) -> tu
     return described, stored(still, "join-open")
 
 
-def _drawn_hubs(still: DataFrame, described: DataFrame, turn: int) -> DataFrame:
+def _drawn_hubs(still: DataFrame, described: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs of different components, of a document and the hub of an element."""
-    entries = still.select("key", "doc").join(described.select("doc", "c"), "doc")
-    hubs = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key", F.lit(turn)), "doc", "c")).alias("hub"))
-    met = entries.join(hubs, "key").filter(F.col("c") != F.col("hub.c"))
+    entries = still.filter(F.col("held") > MANY).select("key", "doc").join(described.select("doc", "c", "n"), "doc")
+    hubs = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key", F.lit(turn)), "doc", "c", "n")).alias("hub"))
+    met = entries.join(hubs, "key").filter((F.col("c") != F.col("hub.c")) & _near_sizes(F.col("n"), F.col("hub.n"), percent))
     return met.select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b")).distinct()
 
 
@@ -306,7 +306,7 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     links = stored(links, "join-links")
     described, still = _still_open(shared, standing, links)
     for turn in range(MORE):
-        links = stored(links.unionByName(_verified(docs, _drawn_hubs(still, described, turn), maps, width, percent)), "join-links")
+        links = stored(links.unionByName(_verified(docs, _drawn_hubs(still, described, percent, turn), maps, width, percent)), "join-links")
         # Elements do not open again.
         described, still = _still_open(still, standing, links)
     alone = still.filter(F.col("held") <= frequent).select("key", "doc", "early")
