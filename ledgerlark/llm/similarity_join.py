@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.components import components
 from ledgerlark.llm.textbytes import WHITE, flat, grams, mixed, owner, pieces, words
-from ledgerlark.session import stored
+from ledgerlark.session import drop_stored, fresh_dir, stored
 
 SHINGLE = 3
 PERCENT = 90
@@ -195,9 +195,11 @@ def _near_maps(x: str, y: str, percent: int) -> Column:
 
 
 def _restricted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is listed; a short list is sent to all tasks, a long one is joined."""
-    listed = ids.limit(SENT + 1).count()
-    return docs.join(F.broadcast(ids) if listed <= SENT else ids, "doc_id", "left_semi")
+    """The documents whose id is listed; a short list is sent to all tasks, a long one is joined. Rows without an
+    id are read if null is listed."""
+    listed, null = ids.agg(F.count("doc_id"), F.max(F.col("doc_id").isNull())).head()
+    texts = docs.join(F.broadcast(ids) if listed <= SENT else ids, "doc_id", "left_semi")
+    return texts.unionByName(docs.filter("doc_id is null")) if null else texts
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -230,10 +232,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, maps: DataFrame, width: int, pe
     asked = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     ids = stored(maps.join(asked, "doc", "left_semi").select("doc_id").distinct(), "join-ids")
     # A row without an id is read if any class has no other.
-    texts = _restricted(docs, ids.filter("doc_id is not null"))
-    if not ids.filter("doc_id is null").isEmpty():
-        texts = texts.unionByName(docs.filter("doc_id is null"))
-    sets = texts.mapInArrow(full, "id long, set array<long>").join(asked.withColumnRenamed("doc", "id"), "id", "left_semi")
+    sets = _restricted(docs, ids).mapInArrow(full, "id long, set array<long>").join(asked.withColumnRenamed("doc", "id"), "id", "left_semi")
     sets = stored(sets.dropDuplicates(["id"]), "join-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
     whole = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
@@ -250,17 +249,22 @@ def _combined(often: DataFrame, group: Column) -> DataFrame:
     return both.select(F.xxhash64("key", "other", "group").alias("key"), "doc", (F.col("early") & F.col("too")).alias("early"), "n")
 
 
-def _candidates(keyed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents of different components (``c``) that share a key and pass both filters."""
+def _candidates(keyed: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of different components (``c``) that share a key and pass both filters.
+
+    Keys at which components meet are a table: with all of it in one plan, dozens of stages would be planned and
+    run at a time, which is the driver's memory. Bitmaps join what is left.
+    """
     each = keyed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
     main = each.groupBy("key").agg(F.max(F.struct("size", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    mixed_keys = keyed.join(main.filter("parts > 1").drop("parts"), "key")
+    met = stored(keyed.join(main.filter("parts > 1").drop("parts"), "key"), "join-met")
+    mixed_keys = met.join(described.select("doc", "n", *_MAP), "doc")
     x, y = mixed_keys.filter("c <> main").alias("x"), mixed_keys.alias("y")
     once = (F.col("x.doc") < F.col("y.doc")) | (F.col("y.c") == F.col("y.main"))
     smaller = F.struct("x.n", "x.doc") < F.struct("y.n", "y.doc")
     early = F.when(smaller, F.col("x.early")).otherwise(F.col("y.early"))
-    met = [F.col("x.key") == F.col("y.key"), F.col("x.c") != F.col("y.c"), once, early, _near_sizes(F.col("x.n"), F.col("y.n"), percent), _near_maps("x", "y", percent)]
-    pairs = x.join(y, met)
+    near = [F.col("x.key") == F.col("y.key"), F.col("x.c") != F.col("y.c"), once, early, _near_sizes(F.col("x.n"), F.col("y.n"), percent), _near_maps("x", "y", percent)]
+    pairs = x.join(y, near)
     return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
@@ -298,14 +302,21 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     entries = _entries(standing, percent)
     # Which element how many prefixes hold; the first class is its hub.
     held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("hub"))
-    shared = stored(entries.join(held.filter("held > 1"), "key"), "join-entries")
+    path = fresh_dir(docs.sparkSession, "join-entries")
+    entries.join(held.filter("held > 1"), "key").write.parquet(path)
+    shared = docs.sparkSession.read.parquet(path)
     near = shared.filter(F.col("doc") != F.col("hub"))
     hubs = near.groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
     maps = standing.select("doc", "n", *_MAP, "map", "doc_id")
     links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
     links = stored(links, "join-links")
     described, still = _still_open(shared, standing, links)
+    # The largest of the tables; from here on only its open part is read.
+    drop_stored(docs.sparkSession, path)
     for turn in range(MORE):
+        if still.filter(F.col("held") > MANY).isEmpty():
+            # No element gets a hub, so the round would plan and run some thirty jobs on empty tables.
+            break
         links = stored(links.unionByName(_verified(docs, _drawn_hubs(still, described, percent, turn), maps, width, percent)), "join-links")
         # Elements do not open again.
         described, still = _still_open(still, standing, links)
@@ -315,8 +326,8 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     # A pair with a set below that has none beyond the second bound.
     few = _combined(often.filter(F.col("n") < -(-100 * enough // percent) + 1), F.lit(-1))
     combined = combined.unionByName(few).select("key", "doc", "early")
-    keyed = alone.unionByName(combined).join(described, "doc")
-    more = _verified(docs, _candidates(keyed, percent), maps, width, percent)
+    keyed = alone.unionByName(combined).join(described.select("doc", "c"), "doc")
+    more = _verified(docs, _candidates(keyed, described, percent), maps, width, percent)
     found = components(links.unionByName(more))
     named = classes.join(found.withColumnRenamed("v", "doc"), "doc", "left").withColumn("component", F.coalesce("c", "doc"))
     least_id = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

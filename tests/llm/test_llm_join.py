@@ -140,3 +140,23 @@ def test_groups_of_near_copies_are_not_paired_with_themselves(spark, monkeypatch
         got = {r.doc_id: r.component_id for r in similarity_join.link(df, 5, 80).collect()}
         assert got == {i: top(i) for i in range(240)}
     assert made[1] > 240 and made[0] < made[1] / 3, made
+
+
+def test_plans_stay_small_and_rounds_without_hubs_are_left_out(spark, monkeypatch):
+    """The driver plans every table; a large plan or a round on empty tables is its memory."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    base = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(20)]
+    rows = [(2 * i + k, text + " end" * k, 0, 0) for i, text in enumerate(base) for k in (0, 1)]
+    written, kept = [], similarity_join.stored
+
+    def watched(df, purpose):
+        written.append((purpose, len(df._jdf.queryExecution().executedPlan().toString())))
+        return kept(df, purpose)
+
+    monkeypatch.setattr(similarity_join, "stored", watched)
+    found = {r.doc_id: r.component_id for r in link(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {2 * i + k: 2 * i for i in range(20) for k in (0, 1)}
+    # Pairs of the first hub and of what is left; no round of drawn hubs between them.
+    assert [p for p, _ in written].count("join-pairs") == 2
+    assert max(size for _, size in written) < 60_000
