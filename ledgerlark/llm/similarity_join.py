@@ -5,19 +5,21 @@ elements first: a sketch of ``CELLS`` counters, in which every document counts i
 element's frequency, and the hash decides among equals. Any order that is the same for all sets loses no pair;
 this one keeps what many documents share out of their prefixes. If two sets of n and m elements share
 enough, the first ``n - ceil(t n) + k`` elements of each (the prefix, extended by k - 1) share at least k =
-``SHARED``; the smaller set's prefix needs to be no longer than ``n - ceil(2 t n / (1 + t)) + k``. How many prefixes hold an element is counted over all documents. An element held by at most
-``FREQUENT`` prefixes is indexed by itself, the others in combinations of two from one of k - 1 groups, into
-which the hash deals them. So a pair of documents meets at an element of the first kind, or it shares k of the
+``SHARED``; the smaller set's prefix needs to be no longer than ``n - ceil(2 t n / (1 + t)) + k``. How many prefixes hold an element is counted over all documents. At
+an element that at most ``MANY`` hold all pairs are made, at most (``MANY`` - 1) / 2 for each of them; a pair made twice is
+verified. Any other pair that is alike shares k - 1 elements of more prefixes. Of these, an element held by at most
+``FREQUENT`` prefixes is indexed by itself, the others in combinations of two from one of k - 2 groups, into
+which the hash deals them. So a pair of documents meets at an element of the first kind, or it shares k - 1 of the
 second kind, two of them in one group, and meets at that combination. Sets so small that they may share fewer
-than k are indexed with all combinations.
+than k are indexed with all combinations; if two may share two only, every pair made is verified.
 
 1. Texts with equal sets form a class; joins work on classes, named by a hash of their sets.
-2. At every element the first class is a hub. Pairs of a document and a hub that meet at two
-   elements or more are verified; what is linked is one component. That takes care of groups of copies,
-   however large, with one pair a document. At elements of more than ``MANY`` prefixes where components still
-   meet, another class is the hub, drawn by a hash of class and element, and pairs of different components are
-   verified: one pair for each such element of a document. So groups of near copies become one component before pairs
-   are joined, unless they are less alike than is asked for.
+2. At every element of more than ``MANY`` prefixes the first class is a hub. Pairs of a document and a hub, and
+   pairs at the other elements, that meet at two elements or more are verified; what is linked is one component. That
+   takes care of groups of copies, however large, with one pair a document. The other elements are done with. At those
+   where components still meet, another class is the hub, drawn by a hash of class and element, and pairs of
+   different components are verified: one pair for each such element of a document. So groups of near copies become
+   one component before pairs are joined, unless they are less alike than is asked for.
 3. Elements whose documents are all in one component are done. At the others, and at combinations of the
    frequent ones, the pairs from different components are the candidates. At each key the documents
    outside its largest component are joined with all, so a large group is not paired with itself.
@@ -49,7 +51,7 @@ PERCENT = 90
 #: Elements of a combination, elements that extended prefixes share, prefixes that hold a rare element.
 COMBINED, SHARED = 2, 8
 FREQUENT = 64
-#: Rounds of drawn hubs, and prefixes that an element is in if it gets one: at the others pairs are few.
+#: Rounds of drawn hubs, and prefixes that an element is in if it gets a hub: at the others pairs are few and all made.
 MORE, MANY = 1, 8
 #: Ids that are sent to all tasks at most; more are joined by a shuffle.
 SENT = 200_000
@@ -268,6 +270,16 @@ def _candidates(keyed: DataFrame, described: DataFrame, percent: int) -> DataFra
     return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
+def _first_pairs(shared: DataFrame, least: int) -> DataFrame:
+    """Pairs that meet ``least`` times: at elements of few prefixes any two classes, at others each with the first."""
+    lists = shared.filter(F.col("held") <= MANY).groupBy("key").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    each = lists.select("docs", F.posexplode("docs").alias("at", "a"))
+    few = each.select("a", F.explode(F.expr("slice(docs, at + 2, size(docs))")).alias("b"))
+    hubs = shared.filter((F.col("held") > MANY) & (F.col("doc") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    met = few.unionByName(hubs).groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
+    return met.filter(F.col("met") >= least).select("a", "b")
+
+
 def _still_open(entries: DataFrame, standing: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The classes with their components so far (``c``), and the entries at elements where two components meet."""
     found = components(links).withColumnRenamed("v", "doc")
@@ -279,7 +291,7 @@ def _still_open(entries: DataFrame, standing: DataFrame, links: DataFrame) -> tu
 
 def _drawn_hubs(still: DataFrame, described: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs of different components, of a document and the hub of an element."""
-    entries = still.filter(F.col("held") > MANY).select("key", "doc").join(described.select("doc", "c", "n"), "doc")
+    entries = still.select("key", "doc").join(described.select("doc", "c", "n"), "doc")
     hubs = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc", "key", F.lit(turn)), "doc", "c", "n")).alias("hub"))
     met = entries.join(hubs, "key").filter((F.col("c") != F.col("hub.c")) & _near_sizes(F.col("n"), F.col("hub.n"), percent))
     return met.select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b")).distinct()
@@ -305,16 +317,16 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
     path = fresh_dir(docs.sparkSession, "join-entries")
     entries.join(held.filter("held > 1"), "key").write.parquet(path)
     shared = docs.sparkSession.read.parquet(path)
-    near = shared.filter(F.col("doc") != F.col("hub"))
-    hubs = near.groupBy(F.col("hub").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("met"))
+    # Sets that need not share more than two elements may meet once here and share one other.
+    twice = least is None or percent * least > 100 * COMBINED
     maps = standing.select("doc", "n", *_MAP, "map", "doc_id")
-    links = _verified(docs, hubs.filter(F.col("met") >= COMBINED).select("a", "b"), maps, width, percent)
+    links = _verified(docs, _first_pairs(shared, COMBINED if twice else 1), maps, width, percent)
     links = stored(links, "join-links")
-    described, still = _still_open(shared, standing, links)
+    described, still = _still_open(shared.filter(F.col("held") > MANY), standing, links)
     # The largest of the tables; from here on only its open part is read.
     drop_stored(docs.sparkSession, path)
     for turn in range(MORE):
-        if still.filter(F.col("held") > MANY).isEmpty():
+        if still.isEmpty():
             # No element gets a hub, so the round would plan and run some thirty jobs on empty tables.
             break
         links = stored(links.unionByName(_verified(docs, _drawn_hubs(still, described, percent, turn), maps, width, percent)), "join-links")
@@ -322,7 +334,7 @@ def link(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, frequent
         described, still = _still_open(still, standing, links)
     alone = still.filter(F.col("held") <= frequent).select("key", "doc", "early")
     often = still.filter(F.col("held") > frequent).select("key", "doc", "early").join(described.select("doc", "n"), "doc")
-    combined = _combined(often, F.pmod("key", F.lit(SHARED - 1))).filter(F.col("n") >= enough)
+    combined = _combined(often, F.pmod("key", F.lit(SHARED - COMBINED))).filter(F.col("n") >= enough)
     # A pair with a set below that has none beyond the second bound.
     few = _combined(often.filter(F.col("n") < -(-100 * enough // percent) + 1), F.lit(-1))
     combined = combined.unionByName(few).select("key", "doc", "early")

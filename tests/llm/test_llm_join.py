@@ -160,3 +160,27 @@ def test_plans_stay_small_and_rounds_without_hubs_are_left_out(spark, monkeypatc
     # Pairs of the first hub and of what is left; no round of drawn hubs between them.
     assert [p for p, _ in written].count("join-pairs") == 2
     assert max(size for _, size in written) < 60_000
+
+
+def test_elements_of_few_prefixes_are_done_after_the_first_pairs(spark, monkeypatch):
+    """What unrelated texts share by chance grows with the table; none of it travels on, and no link is lost."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(20)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(300)]
+    for i in range(0, 60, 2):
+        copy = docs[i][1].split(" ")
+        copy[rng.randrange(60)] = rng.choice(words)
+        docs.append((300 + i, " ".join(copy)))
+    written, kept = [], similarity_join.stored
+
+    def watched(df, purpose):
+        found = kept(df, purpose)
+        written.append((purpose, found.count()))
+        return found
+
+    monkeypatch.setattr(similarity_join, "stored", watched)
+    got = link(spark.createDataFrame([(*d, 0, 0) for d in docs], SCHEMA), 3, 90, 4).collect()
+    wanted = brute(docs, 3, 90)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == wanted
+    assert sum(i != c for i, (_, c) in wanted.items()) > 10
+    assert [n for purpose, n in written if purpose == "join-open"][0] < 100, written
