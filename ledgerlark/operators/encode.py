@@ -113,30 +113,52 @@ def one_hot(columns: list[str]) -> OneHotEncoder:
     )
 
 
-#: Ranges into which distinct values are cut for an exact median, at least.
-MEDIAN_RANGES = 32
+#: Share of the ranks by which an approximate quantile may miss.
+MEDIAN_ERROR = 1e-4
 
 
-def exact_median(df: DataFrame, column: str) -> float | None:
-    """The lower median of a column's numbers; None if it has none.
+def exact_medians(df: DataFrame, columns: list[str]) -> list[float | None]:
+    """The lower median of each column's numbers; None for a column that has none.
 
-    Distinct values are counted before the shuffle and dealt out by range. The counts of the ranges say
-    which range holds the median, and only in that one a running count finds it.
+    Approximate quantiles close to the middle enclose the median; a pass counts the numbers below and up to
+    them, and only the distinct values in between are counted and ordered. All columns share the passes.
     """
-    value = F.col(column).cast("double")
-    numbers = df.select(value.alias("value")).where(value.isNotNull() & ~F.isnan(value))
-    ranges = max(MEDIAN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = numbers.groupBy("value").count().repartitionByRange(ranges, "value")
-    kept = stored(dealt.withColumn("range", F.spark_partition_id()), "median")
-    sizes = sorted((r["range"], r["n"]) for r in kept.groupBy("range").agg(F.sum("count").alias("n")).collect())
-    rank, before = (sum(n for _, n in sizes) + 1) // 2, 0
-    for at, n in sizes:
-        if before + n >= rank:
-            upto = F.sum("count").over(Window.partitionBy("range").orderBy("value"))
-            placed = kept.where(F.col("range") == at).withColumn("upto", upto)
-            return placed.where(F.col("upto") >= rank - before).agg(F.min("value")).head()[0]
-        before += n
-    return None
+    if not columns:
+        return []
+    values = [F.col(c).cast("double") for c in columns]
+    names = [f"v{i}" for i in range(len(columns))]
+    numbers = df.select(*[F.when(~F.isnan(v), v).alias(name) for v, name in zip(values, names)])
+    near = numbers.approxQuantile(names, [0.5 - 2 * MEDIAN_ERROR, 0.5 + 2 * MEDIAN_ERROR], MEDIAN_ERROR)
+    sides = []
+    for name, bounds in zip(names, near):
+        low, high = bounds or (0.0, 0.0)
+        sides += [F.count(name), F.count_if(F.col(name) < low), F.count_if(F.col(name) <= high)]
+    counts = numbers.agg(*[c.alias(f"n{i}") for i, c in enumerate(sides)]).head()
+    held = []
+    for i, (name, bounds) in enumerate(zip(names, near)):
+        n, below, upto = counts[3 * i : 3 * i + 3]
+        if not n:
+            continue
+        value, middle = F.col(name), (n + 1) // 2
+        # Of few numbers the quantiles can miss the median by a rank.
+        if below >= middle:
+            between, rank = value < bounds[0], middle
+        elif upto < middle:
+            between, rank = value > bounds[1], middle - upto
+        else:
+            between, rank = value.between(*bounds), middle - below
+        held.append(F.when(between, F.struct(F.lit(i).alias("i"), value.alias("value"), F.lit(rank).alias("rank"))))
+    if not held:
+        return [None] * len(columns)
+    counted = numbers.select(F.inline(F.array_compact(F.array(*held)))).groupBy("i", "rank", "value").count()
+    placed = counted.withColumn("upto", F.sum("count").over(Window.partitionBy("i").orderBy("value")))
+    found = dict(placed.where("upto >= rank").groupBy("i").agg(F.min("value")).collect())
+    return [found.get(i) for i in range(len(columns))]
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """The lower median of a column's numbers; None if it has none."""
+    return exact_medians(df, [column])[0]
 
 
 def imputer(df: DataFrame, columns: list[str], strategy: str = "median") -> ImputerModel:
@@ -145,7 +167,7 @@ def imputer(df: DataFrame, columns: list[str], strategy: str = "median") -> Impu
     ``median`` is exact, ``mean`` the mean of the numbers. A column without any number is filled with 0.
     """
     if strategy == "median":
-        found = [exact_median(df, c) for c in columns]
+        found = exact_medians(df, columns)
     elif strategy == "mean":
         number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
         found = list(df.agg(*[F.avg(number[c]) for c in columns]).head())

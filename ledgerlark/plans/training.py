@@ -18,6 +18,12 @@ from ledgerlark.sinks.runs import default_run_name, log_run, save_model
 from ledgerlark.sources.tables import scan_features
 
 
+#: MLlib's trees run two stages for every level of every tree: a stage has so many tasks for each core at most, unless
+#: a task would hold more than so many rows.
+TREE_TASKS = 2
+TREE_TASK_ROWS = 1 << 19
+
+
 @dataclass(frozen=True)
 class Boosting:
     max_iter: int
@@ -135,6 +141,13 @@ def _kept(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c in used]).persist()
 
 
+def _in_few_tasks(matrix: DataFrame, rows: int) -> DataFrame:
+    """The same rows in no more partitions than the cores need. Kept rows have as many as the shuffle that made them,
+    which Spark does not merge, and hundreds of tasks a stage take longer to start than to run."""
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    return matrix.coalesce(max(TREE_TASKS * cores, -(-rows // TREE_TASK_ROWS)))
+
+
 def _fit(train: DataFrame, spec: TrainSpec) -> Trained:
     ensure_checkpoint_dir(train.sparkSession)
     stages, assembled = encoder(train, spec)
@@ -148,7 +161,7 @@ def _fit(train: DataFrame, spec: TrainSpec) -> Trained:
         columns.append("weight")
     matrix = matrix.select(*columns)
     if spec.trees.l2 is None:
-        trees = classifier(spec).fit(matrix)
+        trees = classifier(spec).fit(_in_few_tasks(matrix, train.count()))
     else:
         trees = regularised(matrix, len(encode.numeric_features(train)), spec)
     return Trained(PipelineModel([*encoders.stages, trees]), {}, params)

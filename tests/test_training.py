@@ -268,3 +268,47 @@ def test_training_computes_the_features_once(spark, features):
     seen.value = 0
     train(features.mapInArrow(counted, features.schema), TrainSpec("xgb").with_trees(max_iter=2, max_depth=2))
     assert seen.value == 2000
+
+
+def test_mllib_trees_run_in_no_more_tasks_than_cores_need(spark, features, monkeypatch):
+    parts, cores = [], spark.sparkContext.defaultParallelism
+
+    class Seen:
+        def fit(self, matrix):
+            parts.append(matrix.rdd.getNumPartitions())
+            return training.GBTClassifier(labelCol="label", maxIter=1, maxDepth=1).fit(matrix)
+
+    monkeypatch.setattr(training, "classifier", lambda spec: Seen())
+    fit(prepare(features.repartition(10 * cores)), TrainSpec())
+    fit(prepare(features.repartition(3)), TrainSpec())
+    monkeypatch.setattr(training, "TREE_TASK_ROWS", 2000 // (4 * cores))
+    fit(prepare(features.repartition(10 * cores)), TrainSpec())
+    assert parts[:2] == [training.TREE_TASKS * cores, 3] and 4 * cores <= parts[2] < 5 * cores
+
+
+def test_medians_of_all_columns_share_their_passes(spark):
+    rng = np.random.default_rng(5)
+    columns = {
+        "few": rng.integers(0, 3, 5000) * 1.0,
+        "wide": rng.normal(size=5000) * 10.0 ** rng.integers(-300, 300, 5000),
+        "gaps": np.where(rng.random(5000) < 0.9, np.nan, rng.random(5000)),
+        "ends": np.where(rng.random(5000) < 0.6, -np.inf, np.inf),
+        "two": np.where(np.arange(5000) < 2, np.arange(5000) * 1.0, np.nan),
+        "zeros": np.where(rng.random(5000) < 0.5, -0.0, 0.0),
+        "none": np.full(5000, np.nan),
+    }
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns.values())], [*columns]).repartition(5)
+    found = encode.exact_medians(df.mapInArrow(counted, df.schema), [*columns])
+    numbers = [sorted(v[~np.isnan(v)]) for v in columns.values()]
+    assert found == [v[(len(v) + 1) // 2 - 1] if v else None for v in numbers]
+    assert seen.value <= 3 * 5000
+    for n in range(1, 12):
+        assert encode.exact_medians(spark.range(n), ["id"]) == [(n + 1) // 2 - 1]
+    assert encode.exact_medians(spark.range(0), ["id", "id"]) == [None, None]
