@@ -12,7 +12,10 @@ draw for each tree.
 Sums are taken of whole numbers, gradients times a power of two that leaves no room for overflow, nor for
 rounding in a block, so a model depends neither on partitions nor on the order of rows. The first pass of a round
 moves the margins by the tree of the round before and keeps the blocks, in memory or on local disk; every
-``PENDING`` rounds they are written to the shared folder, and older ones deleted.
+``PENDING`` rounds they are checkpointed, and older checkpoints deleted.
+
+Every pass moves all blocks to the tasks, so they are narrow: features of two bins share a byte, whose values are
+counted like bins and added up by bit, and a weight that follows from the label is two numbers a block.
 """
 
 import json
@@ -32,7 +35,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.session import drop_stored, fresh_dir
+from ledgerlark.session import ensure_checkpoint_dir
 
 # Functions of this module travel to the tasks by value, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,8 +46,8 @@ PENDING = 16
 TO_DRIVER = 64
 #: Rows of a block, at most.
 BLOCK = 1 << 15
-#: Rows of a task, where there are more of them than the cores can take at once.
-TASK_ROWS = 1 << 21
+#: Rows of a task, at most; the tasks of a pass are a multiple of the cores, so none of these waits for a last few.
+TASK_ROWS = 1 << 22
 #: One row in so many is counted to find the smaller child.
 THIN = 8
 #: Columns of a feature vector that training holds as bins, one byte each.
@@ -64,15 +67,16 @@ class Tree:
         n = 2 ** (depth + 1) - 1
         return Tree(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n))
 
-    def margins(self, columns: np.ndarray) -> np.ndarray:
+    def margins(self, columns: np.ndarray, places: "Places | None" = None) -> np.ndarray:
         """The value of the leaf that each row is in, of bins by column."""
         found = np.zeros(columns.shape[1])
-        for node, rows in self.rows(columns, np.arange(len(found)), set(np.flatnonzero(self.feature < 0).tolist())).items():
+        leaves = set(np.flatnonzero(self.feature < 0).tolist())
+        for node, rows in self.rows(columns, np.arange(len(found)), leaves, places).items():
             found[rows] = self.value[node]
         return found
 
-    def rows(self, columns: np.ndarray, rows: np.ndarray, wanted: set[int]) -> dict[int, np.ndarray]:
-        """Which of the rows each wanted node holds."""
+    def rows(self, columns: np.ndarray, rows: np.ndarray, wanted: set[int], places: "Places | None" = None) -> dict[int, np.ndarray]:
+        """Which of the rows each wanted node holds; without ``places`` every feature has its own column."""
         passed, found, left = set(), {}, [(0, rows)]
         for node in wanted:
             while node not in passed:
@@ -84,8 +88,11 @@ class Tree:
                 found[node] = own
             feature = self.feature[node]
             if feature >= 0 and (2 * node + 1 in passed or 2 * node + 2 in passed):
-                right = columns[feature][own] > self.cut[node]
-                left += [(k, own[side]) for k, side in ((2 * node + 1, ~right), (2 * node + 2, right)) if k in passed]
+                column, bit = places[feature] if places else (feature, None)
+                bins = columns[column].take(own)
+                right = bins > self.cut[node] if bit is None else bins & (1 << bit) != 0
+                # Taking by number is several times faster than by a mask.
+                left += [(k, own.take(np.flatnonzero(side))) for k, side in ((2 * node + 1, ~right), (2 * node + 2, right)) if k in passed]
         return found
 
 
@@ -102,14 +109,41 @@ def find_cuts(matrix: DataFrame, numeric: int, width: int, bins: int = BINS) ->
     return [sorted(set(c)) for c in found] + [[0.5]] * (width - numeric)
 
 
-#: Bins by column, label, weight, hash and margin of some rows.
-Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: The stored column of each feature, and its bit in it if it shares the column.
+Places = list[tuple[int, int | None]]
+
+
+def places_of(cuts: list[list[float]]) -> Places:
+    """Features of two bins share columns, so many that a column's values are no more than the bins."""
+    bits, own, shared, places = (max(map(len, cuts)) + 1).bit_length() - 1, 0, 0, []
+    alone = sum(len(c) != 1 for c in cuts)
+    for c in cuts:
+        if len(c) == 1:
+            places.append((alone + shared // bits, shared % bits))
+            shared += 1
+        else:
+            places.append((own, None))
+            own += 1
+    return places
+
+
+#: Bins by stored column, label, weight (or that of either label), hash and margin of some rows.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray | tuple[float, float], np.ndarray, np.ndarray]
 
 
 def _blocks(matrix: DataFrame, cuts: list[list[float]]) -> RDD:
+    places = places_of(cuts)
+
     def block(kept: list) -> pa.RecordBatch:
-        bins, *others = (np.concatenate(part) for part in zip(*kept))
-        rows = (np.ascontiguousarray(bins.T), *others, np.zeros(len(bins)))
+        bins, y, w, u = (np.concatenate(part) for part in zip(*kept))
+        columns = np.zeros((1 + max(c for c, _ in places), len(bins)), np.uint8)
+        for f, (column, bit) in enumerate(places):
+            columns[column] |= bins[:, f] << (bit or 0)
+        positive = y > 0
+        by_label = tuple(float(w[positive == side].max(initial=0.0)) for side in (False, True))
+        weights = by_label if np.array_equal(np.where(positive, by_label[1], by_label[0]), w) else w
+        labels = positive if np.array_equal(positive, y) else y
+        rows = (columns, labels, weights, u, np.zeros(len(bins)))
         return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["block"])
 
     def packed(batches):
@@ -132,57 +166,70 @@ def _blocks(matrix: DataFrame, cuts: list[list[float]]) -> RDD:
     return rows.mapInArrow(packed, "block binary").rdd.map(lambda r: pickle.loads(r.block))
 
 
-def _written(blocks: RDD, path: str, tasks: int) -> RDD:
-    """The same blocks from the shared folder, kept for several passes."""
-    blocks.saveAsPickleFile(path, 1)
-    return blocks.context.pickleFile(path).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _moved(blocks: RDD, tree: Tree) -> RDD:
+def _moved(blocks: RDD, tree: Tree, places: Places) -> RDD:
     """The blocks with their margins moved by a tree, kept for several passes."""
 
     def move(block: Block) -> Block:
-        return *block[:4], block[4] + tree.margins(block[0])
+        return *block[:4], block[4] + tree.margins(block[0], places)
 
     return blocks.map(move).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _drop_checkpoint(blocks: RDD) -> None:
+    path = blocks.getCheckpointFile()
+    if path:
+        target = blocks.context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(blocks.context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _drawn_rows(u: np.ndarray, seed: int, share: float) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = (u.view(np.uint64) ^ np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(11)).astype(np.float64) / 2**53 < share
+        h = u.view(np.uint64) ^ np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+    h >>= np.uint64(11)
+    return h < np.uint64(np.ceil(share * 2**53))
 
 
-def _histograms(blocks: RDD, tree: Tree, wanted: list[int], drawn: list[int], binary: set[int], bins: int, scale: float, seed: int, share: float) -> np.ndarray:
+def _histograms(blocks: RDD, tree: Tree, wanted: list[int], drawn: list[int], places: Places, bins: int, scale: float, seed: int, share: float) -> np.ndarray:
     """Scaled gradients and curvatures by wanted node, drawn feature and bin, and thin counts of rows."""
     nodes = len(wanted)
     shape = (3, nodes, len(drawn), bins)
+    alone = [(places[f][0], j) for j, f in enumerate(drawn) if places[f][1] is None]
+    # The drawn features of each shared column, and which of its values have their bits.
+    shared = {}
+    for j, f in enumerate(drawn):
+        if places[f][1] is not None:
+            own, has = shared.setdefault(places[f][0], ([], []))
+            own.append(j)
+            has.append(np.arange(bins) >> places[f][1] & 1)
+    shared = [(at, own, np.array(has, float).T) for at, (own, has) in shared.items()]
 
     def add(found: np.ndarray, block: Block) -> None:
         columns, y, w, u, m = block
-        held = tree.rows(columns, np.flatnonzero(_drawn_rows(u, seed, share)), set(wanted))
+        held = tree.rows(columns, np.flatnonzero(_drawn_rows(u, seed, share)), set(wanted), places)
         rows = np.concatenate([held[n] for n in wanted])
-        slot = np.repeat(np.arange(nodes), [len(held[n]) for n in wanted])
-        y, w, m = y[rows], w[rows], m[rows]
+        slot = np.repeat(np.arange(nodes) * bins, [len(held[n]) for n in wanted])
+        y, m = y.take(rows), m.take(rows)
+        w = np.where(y > 0, w[1], w[0]) if isinstance(w, tuple) else w.take(rows)
         p = 1 / (1 + np.exp(-m))
         # Whole numbers; their sums over a block are exact in doubles too.
         sums = [np.rint(w * (p - y) * scale), np.rint(w * p * (1 - p) * scale)]
-        totals = [np.bincount(slot, v, nodes) for v in sums]
-        thin, thin_place, place = rows[::THIN], slot[::THIN] * bins, slot * bins
-        for j, f in enumerate(drawn):
-            column = columns[f]
-            found[2, :, j] += np.bincount(thin_place + column[thin], minlength=nodes * bins).reshape(nodes, bins)
-            if f in binary:
-                ones = np.flatnonzero(column[rows])
-                for k, v in enumerate(sums):
-                    one = np.bincount(slot[ones], v[ones], nodes)
-                    found[k, :, j, 1] += one.astype(np.int64)
-                    found[k, :, j, 0] += (totals[k] - one).astype(np.int64)
-            else:
-                code = place + column[rows]
-                for k, v in enumerate(sums):
-                    found[k, :, j] += np.bincount(code, v, nodes * bins).astype(np.int64).reshape(nodes, bins)
+
+        def counts(column: np.ndarray) -> list[np.ndarray]:
+            code = slot + column.take(rows)
+            each = [*(np.bincount(code, v, nodes * bins) for v in sums), np.bincount(code[::THIN], None, nodes * bins)]
+            return [h.reshape(nodes, bins) for h in each]
+
+        for at, j in alone:
+            for k, h in enumerate(counts(columns[at])):
+                found[k, :, j] += h.astype(np.int64)
+        for at, own, has in shared:
+            for k, h in enumerate(counts(columns[at])):
+                ones = h @ has
+                found[k][:, own, 1] += ones.astype(np.int64)
+                found[k][:, own, 0] += (h.sum(1, keepdims=True) - ones).astype(np.int64)
 
     def counted(own: Iterator[Block]) -> Iterator[bytes]:
         found = np.zeros(shape, np.int64)
@@ -252,24 +299,23 @@ def fit_trees(
         return []
     heaviest = max(seen.w, 1.0)
     scale = min(2 ** (61 - int(np.ceil(np.log2(seen.n * heaviest + 1)))), 2.0 ** (52 - int(np.ceil(np.log2(BLOCK * heaviest)))))
-    binary = {k for k, c in enumerate(cuts) if len(c) == 1}
-    tasks = max(spark.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
-    path = fresh_dir(spark, "boosting")
-    blocks = _written(_blocks(matrix.coalesce(tasks), cuts), path, tasks)
+    places, cores = places_of(cuts), spark.sparkContext.defaultParallelism
+    ensure_checkpoint_dir(spark)
+    blocks = _blocks(matrix.coalesce(cores * -(-seen.n // (cores * TASK_ROWS))), cuts).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks.checkpoint()
+    settled = blocks
     rng, trees = np.random.default_rng(seed), []
     for t in range(rounds):
         older, outdated = None, None
         if trees:
-            older, blocks = blocks, _moved(blocks, trees[-1])
+            older, blocks = blocks, _moved(blocks, trees[-1], places)
             if t % PENDING == 0:
-                newer = fresh_dir(spark, "boosting")
-                moved, blocks = blocks, _written(blocks, newer, tasks)
-                moved.unpersist()
-                outdated, path = path, newer
+                blocks.checkpoint()
+                outdated, settled = settled, blocks
         drawn = sorted(rng.choice(width, max(1, int(features_share * width)), replace=False).tolist())
         tree, wanted, known = Tree.empty(depth), [0], {}
         for level in range(depth):
-            found = _histograms(blocks, tree, wanted, drawn, binary, bins, scale, seed + t, rows_share)
+            found = _histograms(blocks, tree, wanted, drawn, places, bins, scale, seed + t, rows_share)
             if older is not None:
                 older.unpersist()
                 older = None
@@ -282,10 +328,10 @@ def fit_trees(
             if not wanted:
                 break
         trees.append(tree)
-        if outdated:
-            drop_stored(spark, outdated)
+        if outdated is not None:
+            _drop_checkpoint(outdated)
     blocks.unpersist()
-    drop_stored(spark, path)
+    _drop_checkpoint(settled)
     return trees
 
 

@@ -312,3 +312,25 @@ def test_medians_of_all_columns_share_their_passes(spark):
     for n in range(1, 12):
         assert encode.exact_medians(spark.range(n), ["id"]) == [(n + 1) // 2 - 1]
     assert encode.exact_medians(spark.range(0), ["id", "id"]) == [None, None]
+
+
+def test_passes_have_even_tasks_and_narrow_blocks(spark, monkeypatch):
+    """Tasks are a multiple of the cores, features of two bins share columns; the trees are those of all cuts."""
+    rng, n, cores = np.random.default_rng(7), 600, spark.sparkContext.defaultParallelism
+    x = np.hstack([rng.integers(0, 9, (n, 1)), rng.integers(0, 5, (n, 1)), rng.integers(0, 2, (n, 7))]).astype(float)
+    y = ((x[:, 0] > 5) ^ (x[:, 4] == 1) | (x[:, 7] == 1) & (x[:, 1] > 2)).astype(float)
+    rows = [(i, Vectors.dense(a), float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    matrix = spark.createDataFrame(rows, ["id", "features", "label"]).repartition(4 * cores)
+    seen, sums = [], boosting._histograms
+    monkeypatch.setattr(boosting, "TASK_ROWS", n // (cores + 1))
+    monkeypatch.setattr(boosting, "_histograms", lambda blocks, *rest: seen.append(blocks) or sums(blocks, *rest))
+    cuts = boosting.find_cuts(matrix, 2, 9)
+    for weights in (np.where(y > 0, 3.0, 1.0), 1.0 + np.arange(n) % 3):
+        weighted = matrix.withColumn("weight", F.element_at(F.array(*map(F.lit, weights.tolist())), (F.col("id") + 1).cast("int")))
+        trees = boosting.fit_trees(weighted, cuts, 1, 3, 0.3)
+        assert seen[-1].getNumPartitions() == 2 * cores
+        scored = boosting.BoostedTrees.of(cuts, trees).transform(matrix).collect()
+        found = {r.id: float(r.rawPrediction[1]) for r in scored}
+        assert np.allclose([found[i] for i in range(n)], plain_tree(x, y, weights, 0.3, 1.0, 3))
+    assert [c for c, _ in boosting.places_of(cuts)] == [0, 1, 2, 2, 2, 3, 3, 3, 4]
+    assert boosting.places_of([[0.5]] * 3) == [(0, 0), (1, 0), (2, 0)]
