@@ -145,7 +145,9 @@ def _in_few_tasks(matrix: DataFrame, rows: int) -> DataFrame:
     """The same rows in no more partitions than the cores need. Kept rows have as many as the shuffle that made them,
     which Spark does not merge, and hundreds of tasks a stage take longer to start than to run."""
     cores = matrix.sparkSession.sparkContext.defaultParallelism
-    return matrix.coalesce(max(TREE_TASKS * cores, -(-rows // TREE_TASK_ROWS)))
+    most = max(TREE_TASKS * cores, -(-rows // TREE_TASK_ROWS))
+    # Coalescing no more than that would still number the partitions anew, and MLlib draws rows by their numbers.
+    return matrix.coalesce(most) if matrix.rdd.getNumPartitions() > most else matrix
 
 
 def _fit(train: DataFrame, spec: TrainSpec) -> Trained:
